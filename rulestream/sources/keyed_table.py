@@ -1,0 +1,113 @@
+"""A keyed table on plain Parquet folders, for stores without an upsert of their own.
+
+A batch writes its rows to ``batch_id=<n>``, the first load being batch -1, and a
+reader keeps the row of the highest batch per key. A batch therefore costs what its
+own rows cost, whatever the size of the table, and a replayed batch replaces its own
+folder and nothing else. Rows are further spread over ``bucket=<hash of the key>``,
+so that a lookup reads only the buckets its keys fall into.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
+
+from rulestream.operators.joins import distinct_keys, lookup_semi
+from rulestream.operators.merge import complete_rows
+from rulestream.operators.transform import latest_per_key
+from rulestream.sources.sinks import BATCH
+
+BUCKET = "bucket"
+FIRST_LOAD = -1
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    """``buckets`` bounds the folders a batch writes; about 1 GB each is a good size."""
+
+    path: str
+    keys: tuple[str, ...]
+    schema: StructType
+    buckets: int = 16
+
+    @property
+    def columns(self) -> list[str]:
+        return self.schema.fieldNames()
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _typed(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        return df.select(*(F.col(c).cast(self.schema[c].dataType).alias(c) for c in columns))
+
+    def create(self, rows: DataFrame) -> None:
+        """First load. ``rows`` holds each key once and may be empty."""
+        self.put(rows, FIRST_LOAD)
+
+    def put(self, rows: DataFrame, batch_id: int) -> None:
+        """Write the rows of a batch: all columns, each key at most once."""
+        placed = self._typed(rows, self.columns).withColumn(BUCKET, self._bucket())
+        (
+            placed.hint("rebalance", F.col(BUCKET))
+            .write.mode("overwrite")
+            .partitionBy(BUCKET)
+            .parquet(f"{self.path}/{BATCH}={batch_id}")
+        )
+
+    def merge(self, updates: DataFrame, batch_id: int) -> None:
+        """Write updates that may lack columns; those keep the value of earlier batches."""
+        given = {c.lower() for c in updates.columns}
+        if not all(c.lower() in given for c in self.columns):
+            old = self.lookup(updates, before=batch_id)
+            updates = complete_rows(updates, old, self.keys, self.columns)
+        self.put(updates, batch_id)
+
+    def _versions(self, spark: SparkSession, before: int | None) -> DataFrame:
+        full = StructType([*self.schema.fields]).add(BATCH, IntegerType())
+        rows = spark.read.schema(full.add(BUCKET, IntegerType())).parquet(self.path)
+        return rows if before is None else rows.filter(F.col(BATCH) < before)
+
+    def current(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The table as of now, or as it was before a batch.
+
+        Only the batches after the first load are ranked; the first load is filtered
+        against their keys.
+        """
+        versions = self._versions(spark, before)
+        changed = self._latest(versions.filter(F.col(BATCH) > FIRST_LOAD))
+        loaded = versions.filter(F.col(BATCH) == FIRST_LOAD).select(*self.columns)
+        kept = loaded.join(changed.select(*self.keys), list(self.keys), "left_anti")
+        return kept.select(*self.columns).unionByName(changed)
+
+    def lookup(
+        self,
+        incoming: DataFrame,
+        before: int | None = None,
+        columns: Sequence[str] = ("*",),
+    ) -> DataFrame:
+        """Current rows of the keys in ``incoming``.
+
+        The list of buckets brought to the driver has at most ``buckets`` entries.
+        """
+        wanted = distinct_keys(self._typed(incoming, self.keys), self.keys)
+        touched = wanted.select(self._bucket().alias(BUCKET)).distinct().collect()
+        versions = self._versions(incoming.sparkSession, before)
+        pruned = versions.filter(F.col(BUCKET).isin([r[BUCKET] for r in touched]))
+        return self._latest(lookup_semi(pruned, wanted, self.keys)).select(*columns)
+
+    def _latest(self, versions: DataFrame) -> DataFrame:
+        return latest_per_key(versions, self.keys, (), (BATCH,)).select(*self.columns)
+
+    def fold(self, spark: SparkSession, path: str) -> KeyedTable:
+        """The same table in a new folder, with all batches folded into a first load.
+
+        For use between runs: the next run starts on the folded table with a fresh
+        checkpoint and the offsets of the ledger.
+        """
+        folded = KeyedTable(path, self.keys, self.schema, self.buckets)
+        folded.create(self.current(spark))
+        return folded
