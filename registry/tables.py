@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.data import ACCOUNTS_SQL, MESSAGES_SQL, accounts, table
 from registry.transforms import LATEST_SQL, ROUTED_SQL, balance_update
+from rulestream.operators.joins import lookup_semi
 from rulestream.operators.merge import upsert
 from rulestream.sources.keyed_table import KeyedTable
 from rulestream.sources.readers import read_csv
-from rulestream.sources.shared import run_folder
+from rulestream.sources.shared import run_folder, written
 
 ACCOUNT_COLUMNS = (
     "account_key, account_name, nation, ledger_amt, ledger_seq, ledger_at, "
@@ -33,7 +34,8 @@ UNION ALL SELECT {ACCOUNT_COLUMNS} FROM updates"""
 
 
 def updates(spark: SparkSession, sf: str) -> DataFrame:
-    return balance_update(spark, sf).filter("account_key IS NOT NULL")
+    rows = balance_update(spark, sf).filter("account_key IS NOT NULL")
+    return written(rows, run_folder(spark, "updates"))
 
 
 def account_table(spark: SparkSession, sf: str) -> KeyedTable:
@@ -70,8 +72,9 @@ def upsert_whole_rows(spark: SparkSession, sf: str) -> DataFrame:
 def keyed_table_current(spark: SparkSession, sf: str) -> DataFrame:
     """The same upsert through the table on files, with the batch written twice."""
     made = account_table(spark, sf)
-    made.merge(updates(spark, sf), batch_id=0)
-    made.merge(updates(spark, sf), batch_id=0)
+    changes = updates(spark, sf)
+    made.merge(changes, batch_id=0)
+    made.merge(changes, batch_id=0)
     return made.current(spark)
 
 
@@ -82,9 +85,9 @@ WHERE account_key IN (SELECT account_key FROM accounts)"""
 def keyed_table_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Only the rows of the updated keys that were there before, as they are now."""
     made = account_table(spark, sf)
-    made.merge(updates(spark, sf), batch_id=0)
-    known = accounts(spark, sf).join(updates(spark, sf).select("account_key"), "account_key")
-    return made.lookup(known)
+    changes = updates(spark, sf)
+    made.merge(changes, batch_id=0)
+    return made.lookup(lookup_semi(accounts(spark, sf), changes, ["account_key"]))
 
 
 @query(UPSERTED_SQL)

@@ -28,8 +28,10 @@ def complete_rows(
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table after the updates. ``updates`` holds at most one row per key.
 
-    Kept rows are passed on by an anti join against the update keys, so with few
-    updates the table is read in place and never shuffled.
+    Kept rows are passed on by an anti join against the update keys. With updates that
+    Spark knows to be small the table is read in place and not shuffled; larger ones
+    are sorted and merged. The updates are read two or three times, so hand in a frame
+    that is persisted or written out, which also tells Spark their size.
     """
     columns = target.columns
     old = lookup_semi(target, updates, keys)

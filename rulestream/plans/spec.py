@@ -63,8 +63,6 @@ class ValidationStage(Enum):
 VALIDATION_KEY = "validation_key"
 PASSTHROUGH = "passthrough"
 PROCESS_NAME = "stream_process_name"
-TABLE_STORES = ("phoenix", "hive")
-SQL_STORES = ("hive", "sparksql")
 
 
 @dataclass(frozen=True)
@@ -192,13 +190,14 @@ def _of_task(rows: Iterable[Row], task_id: str) -> list[Row]:
 
 
 def _step_kind(store: str, query: str) -> StepKind:
-    store = store.lower()
-    if store not in set(TABLE_STORES) | set(SQL_STORES):
-        raise ValueError(f"Unknown database type: {store}")
-    if store not in SQL_STORES:
-        return StepKind.TABLE
-    is_name = store in TABLE_STORES and len(query.split()) == 1
-    return StepKind.TABLE if is_name else StepKind.SQL
+    match store.lower():
+        case "phoenix":
+            return StepKind.TABLE
+        case "sparksql":
+            return StepKind.SQL
+        case "hive":
+            return StepKind.TABLE if len(query.split()) == 1 else StepKind.SQL
+    raise ValueError(f"Unknown database type: {store}")
 
 
 def remap_schema(step: SqlStep, schemas: Mapping[str, str]) -> SqlStep:
@@ -284,3 +283,24 @@ def rules_from_rows(rows: Iterable[Row], task_id: str, stage: ValidationStage) -
     )
     key = tuple(c.strip() for c in keys[0]["col_name"].split(",")) if keys else ()
     return RuleSet(key, rules)
+
+
+def pipeline_from_rows(
+    name: str,
+    task_id: str,
+    steps: Iterable[Row],
+    sources: Iterable[Row],
+    mappings: Iterable[Row],
+    rules: Iterable[Row],
+    schemas: Mapping[str, str] | None = None,
+) -> PipelineSpec:
+    """The whole specification of a task from the rows of its four tables."""
+    rules = list(rules)
+    return PipelineSpec(
+        name=name,
+        source=source_from_rows(sources, task_id),
+        mappings=mappings_from_rows(mappings, task_id),
+        steps=steps_from_rows(steps, task_id, schemas),
+        pre_rules=rules_from_rows(rules, task_id, ValidationStage.PRE),
+        post_rules=rules_from_rows(rules, task_id, ValidationStage.POST),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -22,3 +22,13 @@ def run_folder(spark: SparkSession, name: str) -> str:
             raise ValueError(f"Set {SETTING} to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, folder: str) -> DataFrame:
+    """The frame as a Parquet table in a new folder.
+
+    For a frame that several branches of a plan read: it is computed once, survives the
+    loss of executors, and Spark knows its size when it chooses a join.
+    """
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -105,7 +105,9 @@ class StreamJob:
             self.dead_letters.write(dead_letters(invalid), batch_id)
 
         result = process_batch(valid, self.spec, self._table_reader(batch_id))
-        before = reject_counts(result.normalised, self.spec.pre_rules).first()["rejected"]
+        before = 0
+        if self.spec.pre_rules.rules:
+            before = reject_counts(result.normalised, self.spec.pre_rules).first()["rejected"]
         transformed = result.transformed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             after = reject_counts(transformed, self.spec.post_rules).first()
