@@ -1,0 +1,109 @@
+"""Truth tables of the validation predicates."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rulestream.functions.checks import is_date, is_enum, is_float, is_integer, is_mandatory
+
+# The formats as they are documented, without the tuning of the library's patterns.
+PLAIN_INTEGER = re.compile(r"^\s*[-+]?\d*\s*$", re.ASCII)
+PLAIN_FLOAT = re.compile(r"[-+]?\d*\.\d+(?:[eE][-+]?\d+)?", re.ASCII)
+
+
+def outcome(spark, values, check, kind="string"):
+    df = spark.createDataFrame(list(enumerate(values)), f"id int, v {kind}")
+    rows = df.select("id", check.alias("ok")).orderBy("id").collect()
+    return [r["ok"] for r in rows]
+
+
+def found(pattern, text):
+    match = pattern.search(text)
+    return bool(match and match.group(0))
+
+
+@pytest.mark.parametrize(
+    "check, values, expected",
+    [
+        (
+            lambda: is_integer("v"),
+            ["x1", "7", "0", "3.5", None, "?", "+44", "-9", " 8 ", "", " ", "+", "1 2", "5\n"],
+            [False, True, True, False, True, False, True, True, True, False, True, True, False]
+            + [True],
+        ),
+        (
+            lambda: is_integer("v", strict=True),
+            ["7", " 8 ", None, "", " ", "+", "-9", "1 2"],
+            [True, True, True, False, False, False, True, False],
+        ),
+        (
+            lambda: is_float("v"),
+            ["x", "7", "3.5", None, "-1.0", ".5", "1.", "1e5", "a1.5b", "1.2.3", "2.5E-3", ""],
+            [False, False, True, True, True, True, False, False, True, True, True, False],
+        ),
+        (
+            lambda: is_float("v", strict=True),
+            ["3.5", None, "a1.5b", "1.2.3", "2.5E-3", "+.5", "1."],
+            [True, True, False, False, True, True, False],
+        ),
+        (lambda: is_enum("v", ["a", "b"]), ["a", "b", "c", None, ""], [True, True, False, False, False]),
+        (lambda: is_enum("v", ["a", None]), ["a", "b", None], [True, False, True]),
+        (lambda: is_enum("v", ["", None]), ["", "b", None], [True, False, True]),
+        (lambda: is_enum("v", [None]), ["a", None], [False, True]),
+        (lambda: is_enum("v", []), ["a", None], [False, False]),
+        (lambda: is_mandatory("v"), ["a", None, ""], [True, False, True]),
+        (
+            lambda: is_date("v", "dd/MM/yyyy"),
+            ["02/28/2023", "30/02/2023", "28/02/2023", "11/12/2023", "soon", None, "1/2/2023"],
+            [False, False, True, True, False, True, False],
+        ),
+    ],
+)
+def test_truth_table(spark, check, values, expected):
+    assert outcome(spark, values, check()) == expected
+
+
+def test_rules_on_columns_that_are_not_text(spark):
+    assert outcome(spark, [1, 2, None], is_enum("v", ["1", "x"]), "int") == [True, False, False]
+    assert outcome(spark, [1, -2], is_integer("v"), "bigint") == [True, True]
+    assert outcome(spark, [1.5, 2.0], is_float("v"), "double") == [True, True]
+    assert outcome(spark, [dt.date(2024, 1, 1), None], is_date("v", "yyyy-MM-dd"), "date") == [
+        True,
+        True,
+    ]
+
+
+@settings(
+    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.text(alphabet="01 9+-.eEa\n\t", max_size=12), min_size=50, max_size=300))
+def test_tuned_patterns_agree_with_the_plain_ones(spark, texts):
+    assert outcome(spark, texts, is_integer("v")) == [found(PLAIN_INTEGER, t) for t in texts]
+    assert outcome(spark, texts, is_float("v")) == [found(PLAIN_FLOAT, t) for t in texts]
+
+
+def test_long_runs_stay_linear(spark):
+    texts = [" " * 200_000 + "x", "1" * 200_000 + "x", "1" * 200_000]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    rows = df.select(is_integer("v").alias("i"), is_float("v").alias("f")).collect()
+    assert [(r.i, r.f) for r in rows] == [(False, False), (False, False), (True, False)]
+
+
+def test_checks_are_never_null(spark):
+    checks = [
+        is_mandatory("v"),
+        is_integer("v"),
+        is_float("v"),
+        is_enum("v", ["a"]),
+        is_enum("v", ["a", None]),
+        is_date("v", "yyyy"),
+    ]
+    df = spark.createDataFrame([(None,), ("a",), ("",)], "v string")
+    nulls = df.select(*(F.count_if(c.isNull()).alias(f"c{i}") for i, c in enumerate(checks)))
+    assert set(nulls.first()) == {0}
