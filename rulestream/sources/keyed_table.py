@@ -1,10 +1,12 @@
 """A keyed table on plain Parquet folders, for stores without an upsert of their own.
 
-A batch writes its rows to ``batch_id=<n>``, the first load being batch -1, and a
+The first load lies in ``first`` and each later batch in ``batches/batch_id=<n>``; a
 reader keeps the row of the highest batch per key. A batch therefore costs what its
 own rows cost, whatever the size of the table, and a replayed batch replaces its own
-folder and nothing else. Rows are further spread over ``bucket=<hash of the key>``,
-so that a lookup reads only the buckets its keys fall into.
+folder and nothing else. Both parts are spread over ``bucket=<hash of the key>``, so
+that a lookup reads only the buckets its keys fall into. The parts have roots of their
+own because Spark estimates the size of a scan from all files below its root: the
+batches have to look as small as they are for a join to broadcast them.
 """
 
 from __future__ import annotations
@@ -46,17 +48,17 @@ class KeyedTable:
 
     def create(self, rows: DataFrame) -> None:
         """First load. ``rows`` holds each key once and may be empty."""
-        self.put(rows, FIRST_LOAD)
+        self._write(rows, f"{self.path}/first")
+        self.put(rows.limit(0), FIRST_LOAD)
 
     def put(self, rows: DataFrame, batch_id: int) -> None:
         """Write the rows of a batch: all columns, each key at most once."""
+        self._write(rows, f"{self.path}/batches/{BATCH}={batch_id}")
+
+    def _write(self, rows: DataFrame, path: str) -> None:
         placed = self._typed(rows, self.columns).withColumn(BUCKET, self._bucket())
-        (
-            placed.hint("rebalance", F.col(BUCKET))
-            .write.mode("overwrite")
-            .partitionBy(BUCKET)
-            .parquet(f"{self.path}/{BATCH}={batch_id}")
-        )
+        balanced = placed.hint("rebalance", F.col(BUCKET))
+        balanced.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
     def merge(self, updates: DataFrame, batch_id: int) -> None:
         """Write updates that may lack columns; those keep the value of earlier batches."""
@@ -66,21 +68,24 @@ class KeyedTable:
             updates = complete_rows(updates, old, self.keys, self.columns)
         self.put(updates, batch_id)
 
-    def _versions(self, spark: SparkSession, before: int | None) -> DataFrame:
-        full = StructType([*self.schema.fields]).add(BATCH, IntegerType())
-        rows = spark.read.schema(full.add(BUCKET, IntegerType())).parquet(self.path)
+    def _first(self, spark: SparkSession) -> DataFrame:
+        schema = StructType([*self.schema.fields]).add(BUCKET, IntegerType())
+        return spark.read.schema(schema).parquet(f"{self.path}/first")
+
+    def _batches(self, spark: SparkSession, before: int | None) -> DataFrame:
+        schema = StructType([*self.schema.fields]).add(BATCH, IntegerType())
+        schema = schema.add(BUCKET, IntegerType())
+        rows = spark.read.schema(schema).parquet(f"{self.path}/batches")
         return rows if before is None else rows.filter(F.col(BATCH) < before)
 
     def current(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The table as of now, or as it was before a batch.
 
-        Only the batches after the first load are ranked; the first load is filtered
-        against their keys.
+        Only the batches are ranked; the first load is filtered against their keys.
         """
-        versions = self._versions(spark, before)
-        changed = self._latest(versions.filter(F.col(BATCH) > FIRST_LOAD))
-        loaded = versions.filter(F.col(BATCH) == FIRST_LOAD).select(*self.columns)
-        kept = loaded.join(changed.select(*self.keys), list(self.keys), "left_anti")
+        changed = self._latest(self._batches(spark, before))
+        first = self._first(spark).select(*self.columns)
+        kept = first.join(changed.select(*self.keys), list(self.keys), "left_anti")
         return kept.select(*self.columns).unionByName(changed)
 
     def lookup(
@@ -93,11 +98,16 @@ class KeyedTable:
 
         The list of buckets brought to the driver has at most ``buckets`` entries.
         """
+        spark = incoming.sparkSession
         wanted = distinct_keys(self._typed(incoming, self.keys), self.keys)
         touched = wanted.select(self._bucket().alias(BUCKET)).distinct().collect()
-        versions = self._versions(incoming.sparkSession, before)
-        pruned = versions.filter(F.col(BUCKET).isin([r[BUCKET] for r in touched]))
-        return self._latest(lookup_semi(pruned, wanted, self.keys)).select(*columns)
+        in_touched = F.col(BUCKET).isin([r[BUCKET] for r in touched])
+        first = self._first(spark).withColumn(BATCH, F.lit(FIRST_LOAD))
+        parts = [
+            lookup_semi(part.filter(in_touched), wanted, self.keys)
+            for part in (first, self._batches(spark, before))
+        ]
+        return self._latest(parts[0].unionByName(parts[1])).select(*columns)
 
     def _latest(self, versions: DataFrame) -> DataFrame:
         return latest_per_key(versions, self.keys, (), (BATCH,)).select(*self.columns)

@@ -1,0 +1,106 @@
+"""Decoding, splitting and encoding."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from rulestream.functions import codec
+from rulestream.operators.transform import flatten
+from rulestream.sources.sinks import dead_letters
+
+SCHEMA = "header struct<origin:string>, body struct<num:string, amount:decimal(32,6)>"
+GOOD = '{"header":{"origin":"A"},"body":{"num":"1","amount":2.5}}'
+PAYLOADS = [
+    GOOD,
+    GOOD[:-1],
+    "not json",
+    "",
+    '{"header":{"origin":"A"}}',
+    '{"header":{"origin":"B"},"body":{"num":"9"}}',
+    None,
+]
+
+
+@pytest.fixture
+def topic(spark):
+    rows = [
+        (i % 2, i, None if p is None else bytearray(p.encode())) for i, p in enumerate(PAYLOADS)
+    ]
+    return spark.createDataFrame(rows, "partition int, offset bigint, value binary")
+
+
+def test_split_is_complementary_and_keeps_the_payload(topic):
+    valid, invalid = codec.split_decoded(codec.decode(topic, SCHEMA), "body")
+    assert valid.columns == ["partition", "offset", "value", "data"]
+    assert sorted(r.offset for r in valid.collect()) == [0, 5]
+    letters = dead_letters(invalid).orderBy("offset").collect()
+    assert [r.offset for r in letters] == [1, 2, 3, 4, 6]
+    assert letters[0].key == "1"
+    assert bytes(letters[1].value) == b"not json"
+
+
+def test_flatten_after_decode(topic):
+    flat = flatten(
+        codec.decode(topic, SCHEMA),
+        {"num": "data.body.num", "amount": "data.body.amount"},
+        where=F.col("data.header.origin") == "A",
+    )
+    assert {tuple(r) for r in flat.collect()} == {("1", Decimal("2.500000")), (None, None)}
+
+
+def test_encode_then_decode(spark):
+    df = spark.createDataFrame([(7, "A", "1")], "p int, origin string, num string").select(
+        "p",
+        F.struct("origin").alias("header"),
+        F.struct("num", F.lit(1.5).cast("decimal(32,6)").alias("amount")).alias("body"),
+    )
+    sent = codec.encode(df, F.col("p"), ["header", "body"])
+    assert sent.dtypes == [("key", "string"), ("value", "string")]
+    back = sent.select(codec.decode_payload(F.col("value"), SCHEMA).alias("data")).first().data
+    assert (back.header.origin, back.body.num, back.body.amount) == ("A", "1", Decimal("1.500000"))
+
+
+def test_json_of_a_row_is_whole(spark):
+    moment = dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    df = spark.createDataFrame([(1, None, moment)], "a int, b string, c timestamp_ntz")
+    value = json.loads(codec.as_json(df).first().value)
+    assert value == {"a": 1, "b": None, "c": "2024-01-02T03:04:05.678901"}
+    assert json.loads(codec.as_json(df, ["a"]).first().value) == {"a": 1}
+
+
+def test_codec_names(spark):
+    with pytest.raises(ValueError, match="Unknown codec"):
+        codec.decode_payload(F.col("v"), SCHEMA, "xml")
+    with pytest.raises(ValueError, match="Unknown codec"):
+        codec.encode_payload(["v"], "xml")
+    with pytest.raises(ValueError, match="Avro schema"):
+        from pyspark.sql.types import StructType
+
+        codec.decode_payload(F.col("v"), StructType(), "avro")
+
+
+def test_avro_goes_through_the_avro_functions(spark, monkeypatch):
+    calls = []
+
+    def fake(name):
+        def function(column, *args):
+            calls.append((name, args))
+            return column
+
+        return function
+
+    monkeypatch.setattr(codec, "from_avro", fake("from"))
+    monkeypatch.setattr(codec, "to_avro", fake("to"))
+    codec.decode_payload(F.lit("x"), '{"type":"record"}', "avro")
+    codec.encode_payload(["a"], "avro", '{"type":"record"}')
+    codec.encode_payload(["a"], "avro")
+    assert calls == [
+        ("from", ('{"type":"record"}', {"mode": "PERMISSIVE"})),
+        ("to", ('{"type":"record"}',)),
+        ("to", ()),
+    ]

@@ -1,0 +1,161 @@
+"""Upserts and the keyed table on files."""
+
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from rulestream.operators.merge import upsert
+from rulestream.sources.keyed_table import KeyedTable
+from rulestream.sources.shared import run_folder, written
+from rulestream.sources.sinks import FolderSink
+
+COLUMNS = "k int, a string, b string"
+
+
+def bag(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture
+def rows(spark):
+    return spark.createDataFrame([(i, f"a{i}", f"b{i}") for i in range(20)], COLUMNS)
+
+
+@pytest.fixture
+def made(folder, rows):
+    table = KeyedTable(f"{folder}/table", ("k",), rows.schema, buckets=4)
+    table.create(rows)
+    return table
+
+
+def test_upsert_of_whole_rows(spark, rows):
+    updates = spark.createDataFrame([(3, "x", None), (50, "y", "z")], COLUMNS)
+    result = {r.k: (r.a, r.b) for r in upsert(rows, updates, ["k"]).collect()}
+    assert len(result) == 21
+    assert result[3] == ("x", None)
+    assert result[50] == ("y", "z")
+    assert result[4] == ("a4", "b4")
+
+
+def test_upsert_keeps_columns_it_does_not_carry(spark, rows):
+    updates = spark.createDataFrame([(3, None), (50, "z")], "K bigint, B string")
+    merged = upsert(rows, updates, ["k"])
+    assert merged.dtypes == rows.dtypes
+    result = {r.k: (r.a, r.b) for r in merged.collect()}
+    assert result[3] == ("a3", None)
+    assert result[50] == (None, "z")
+
+
+def test_table_reads_back_its_first_load(spark, rows, made):
+    assert bag(made.current(spark)) == bag(rows)
+
+
+def test_a_table_may_start_empty(spark, folder, rows):
+    table = KeyedTable(f"{folder}/empty", ("k",), rows.schema)
+    table.create(rows.limit(0))
+    assert bag(table.current(spark)) == []
+    assert bag(table.lookup(rows)) == []
+    table.merge(rows.filter("k < 2").select("k", "a"), 0)
+    assert bag(table.current(spark)) == [(0, "a0", None), (1, "a1", None)]
+
+
+def test_replayed_batch_changes_nothing(spark, made):
+    first = spark.createDataFrame([(1, "one"), (99, "new")], "k int, a string")
+    second = spark.createDataFrame([(1, "two")], "k int, b string")
+    made.merge(first, 0)
+    made.merge(second, 1)
+    once = bag(made.current(spark))
+    assert (1, "one", "two") in once
+    # the run fails after its write and processes the last batch again
+    made.merge(second, 1)
+    assert bag(made.current(spark)) == once
+    # a replay that finds other rows replaces all rows of the first attempt
+    made.merge(spark.createDataFrame([(2, "three")], "k int, b string"), 1)
+    assert (1, "one", "b1") in bag(made.current(spark))
+
+
+def test_a_batch_does_not_see_its_own_rows(spark, made):
+    made.merge(spark.createDataFrame([(1, "x")], "k int, a string"), 0)
+    keys = spark.createDataFrame([(1,)], "k int")
+    assert made.lookup(keys, before=0).first().a == "a1"
+    assert made.lookup(keys, before=1).first().a == "x"
+    assert made.lookup(keys).first().a == "x"
+    assert {r.k: r.a for r in made.current(spark, before=0).collect()}[1] == "a1"
+
+
+def test_lookup_reads_only_the_buckets_of_its_keys(spark, made):
+    one = spark.createDataFrame([(7,)], "k bigint")
+    found = made.lookup(one, columns=["k", "b"])
+    assert bag(found) == [(7, "b7")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(bucket#\d+\), \(bucket#\d+ = \d\)\]", plan)
+    assert bag(made.lookup(one.limit(0))) == []
+
+
+def test_first_load_is_neither_ranked_nor_shuffled(spark, made):
+    made.merge(spark.createDataFrame([(1, "x")], "k int, a string"), 0)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    first = sum(f.stat().st_size for f in Path(f"{made.path}/first").rglob("*.parquet"))
+    # the first load alone is larger than the limit, the batch is not
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(first - 1))
+    try:
+        plan = made.current(spark)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan
+
+
+def test_fold(spark, folder, made):
+    made.merge(spark.createDataFrame([(1, "x"), (70, "y")], "k int, a string"), 0)
+    folded = made.fold(spark, f"{folder}/folded")
+    assert bag(folded.current(spark)) == bag(made.current(spark))
+    assert [p.name for p in Path(f"{folder}/folded/batches").glob("batch*")] == ["batch_id=-1"]
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.dictionaries(st.integers(0, 12), st.integers(0, 99), max_size=6), max_size=4))
+def test_table_behaves_like_a_dict(spark, batches):
+    start = {k: str(k) for k in range(6)}
+    schema = "k int, a string"
+    first = spark.createDataFrame(list(start.items()), schema)
+    table = KeyedTable(run_folder(spark, "dict"), ("k",), first.schema, buckets=3)
+    table.create(first)
+    expected = dict(start)
+    for number, batch in enumerate(batches):
+        changes = {k: str(v) for k, v in batch.items()}
+        table.merge(spark.createDataFrame(list(changes.items()), schema), number)
+        expected |= changes
+    assert bag(table.current(spark)) == sorted(expected.items(), key=str)
+    keys = spark.createDataFrame([(k,) for k in range(0, 13, 2)], "k int")
+    even = {k: v for k, v in expected.items() if k % 2 == 0}
+    assert bag(table.lookup(keys)) == sorted(even.items(), key=str)
+
+
+def test_folder_sink_replaces_a_replayed_batch(spark, folder, rows):
+    sink = FolderSink(f"{folder}/sink")
+    assert sink.read(spark, rows.schema).count() == 0
+    sink.write(rows, 0)
+    sink.write(rows.limit(3), 0)
+    sink.write(rows.limit(2), 1)
+    counts = {r.batch_id: r["count"] for r in sink.read(spark, rows.schema).groupBy("batch_id").count().collect()}
+    assert counts == {0: 3, 1: 2}
+
+
+def test_run_folder_uses_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert run_folder(spark, "x").startswith(f"{shared}/x-")
+    assert run_folder(spark, "x") != run_folder(spark, "x")
+
+
+def test_written_keeps_rows_and_schema(spark, rows):
+    copy = written(rows, run_folder(spark, "copy"))
+    assert copy.schema == rows.schema
+    assert bag(copy) == bag(rows)
