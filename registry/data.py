@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from rulestream.functions.keys import composite_key
 
@@ -81,7 +80,7 @@ def accounts(spark: SparkSession, sf: str) -> DataFrame:
 # Events as encoded topic rows. The payload nests header and body. Views carry a
 # status no rule allows, and the payload of an error is cut off.
 
-MESSAGE_SCHEMA = StructType.fromDDL(
+MESSAGE_SCHEMA = (
     "header struct<sent_at:string, seq_num:string, origin:string>, "
     "body struct<account:struct<acc_num:string, balance:decimal(32,6), balance_status:string>,"
     " branch:struct<nsc:string>>"

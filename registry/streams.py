@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from registry import query
 from registry.codecs import DECODED_SQL, TEXT_SQL
@@ -191,8 +190,7 @@ SELECT CAST("partition" AS VARCHAR) AS key, "offset", left(text, length(text) -
 FROM texts WHERE event_type = 'error'"""
 )
 def stream_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
-    schema = StructType.fromDDL("key string, offset bigint, value binary")
-    rows = run_stream(spark, sf).dead_letters.read(spark, schema)
+    rows = run_stream(spark, sf).dead_letters.read(spark, "key string, offset bigint, value binary")
     return rows.select("key", "offset", F.col("value").cast("string").alias("value"))
 
 
@@ -215,8 +213,8 @@ SELECT 'post_transform',
 FROM checked WHERE NOT ok"""
 )
 def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    schema = StructType.fromDDL("key string, value string")
-    return run_stream(spark, sf).rejects.read(spark, schema).select("key", "value")
+    rejects = run_stream(spark, sf).rejects
+    return rejects.read(spark, "key string, value string").select("key", "value")
 
 
 @query(

@@ -59,9 +59,10 @@ class FolderSink:
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
-    def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
+    def read(self, spark: SparkSession, schema: StructType | str) -> DataFrame:
         """All batches, with their ``batch_id``. Nothing written yet gives no rows."""
-        full = StructType([*schema.fields]).add(BATCH, IntegerType())
+        given = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        full = StructType([*given.fields]).add(BATCH, IntegerType())
         try:
             return spark.read.schema(full).parquet(self.path)
         except AnalysisException as exc:
