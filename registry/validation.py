@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry import query
@@ -35,9 +35,9 @@ raw AS (
   FROM (SELECT *, regexp_extract(props, '(\d+)', 1) AS k FROM events))"""
 
 
-def raw_number() -> Column:
+def with_raw(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
-    k = F.regexp_extract("props", r"(\d+)", 1)
+    k = F.col("k")
     odd = (
         F.when(k.isin("1", "2", "3"), F.lit(None))
         .when(k.isin("4", "5"), "")
@@ -45,17 +45,19 @@ def raw_number() -> Column:
         .when(k == "7", " ")
         .otherwise(F.col("props"))
     )
-    return (
+    raw = (
         F.when(kind == "click", k)
         .when(kind == "view", F.concat(F.lit("-"), k))
         .when(kind == "purchase", F.concat(F.lit(" "), k, F.lit(" ")))
         .when(kind == "signup", F.concat(k, F.lit(".5e"), k))
         .when(kind == "error", odd)
     )
+    with_k = events.withColumn("k", F.regexp_extract("props", r"(\d+)", 1))
+    return with_k.withColumn("raw", raw)
 
 
 def raw_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select("event_id", raw_number().alias("raw"))
+    return with_raw(table(spark, sf, "events")).select("event_id", "raw")
 
 
 @query(
@@ -177,11 +179,11 @@ FIELDS_SQL = "event_id, user_id, ts, raw, status, day, amount"
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return with_raw(table(spark, sf, "events")).select(
         "event_id",
         "user_id",
         "ts",
-        raw_number().alias("raw"),
+        "raw",
         F.nullif("event_type", F.lit("error")).alias("status"),
         F.date_format("ts", "MM/dd/yyyy").alias("day"),
         F.col("value").cast("decimal(12,2)").alias("amount"),

@@ -33,9 +33,13 @@ def decode_payload(value: Column, schema: StructType | str, codec: str = "json")
 
 
 def decode(df: DataFrame, schema: StructType | str, codec: str = "json") -> DataFrame:
-    """``partition, offset, value`` and the decoded ``data``."""
-    payload = decode_payload(F.col("value"), schema, codec).alias("data")
-    return df.select("partition", "offset", "value", payload)
+    """``partition, offset, value`` and the decoded ``data``.
+
+    Every payload is decoded once. A filter on a plain projection would be moved below
+    it, with the decoding copied into the filter; it is not moved below an explode.
+    """
+    payload = decode_payload(F.col("value"), schema, codec)
+    return df.select("partition", "offset", "value", F.explode(F.array(payload)).alias("data"))
 
 
 def split_decoded(df: DataFrame, required: str) -> tuple[DataFrame, DataFrame]:

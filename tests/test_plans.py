@@ -79,6 +79,12 @@ def test_scans_read_only_what_is_used(spark, sf):
     assert "GreaterThan(o_totalprice,100000.0)" in plan
 
 
+def test_payloads_are_decoded_once(spark, sf):
+    for name in ("normalise_nested", "split_valid", "split_invalid"):
+        plan = registry.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan()
+        assert plan.toString().count("from_json(") == 1
+
+
 def test_validation_does_not_shuffle(spark, sf):
     for name in ("validate_accept", "validate_reject", "reject_summary_rows", "validate_tag"):
         assert "Exchange" not in physical(registry.QUERIES[name](spark, sf))
