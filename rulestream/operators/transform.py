@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from rulestream.operators.joins import join_reference
 from rulestream.plans.spec import (
@@ -112,13 +113,42 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the highest ``order`` columns per key; ``tiebreak`` decides ties.
 
-    Spark keeps one row per key in each map task before it shuffles, so a key that
-    holds a large share of the rows still sends one row per task.
+    Both forms keep one row per key in each map task before they shuffle, so a key that
+    holds a large share of the rows still sends one row per task. The maximum of the
+    whole row, order columns first, sorts by the key alone and is the faster form; a
+    map has no order, so rows with one are ranked instead. Select the columns you need
+    first: the maximum carries all of them.
     """
     if not tiebreak:
         raise ValueError("A tie-break column is needed for a repeatable result")
-    ranked = W.partitionBy(*keys).orderBy(*(F.desc(c) for c in (*order, *tiebreak)))
-    return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
+    first = list(dict.fromkeys(c.lower() for c in (*order, *tiebreak)))
+    names = {c.lower(): c for c in df.columns if c.lower() not in {k.lower() for k in keys}}
+    ordered = [names[c] for c in first if c in names]
+    rest = [c for c in names.values() if c not in ordered]
+    if any(_has_map(df.schema[c].dataType) for c in rest):
+        ranked = W.partitionBy(*keys).orderBy(*(F.desc(c) for c in (*order, *tiebreak)))
+        rows = df.withColumn("_rank", F.row_number().over(ranked))
+        return rows.filter("_rank = 1").drop("_rank")
+    row = F.struct(*(F.col(f"`{c}`") for c in (*ordered, *rest)))
+    latest = df.groupBy(*keys).agg(F.max(row).alias("_row"))
+    key_names = {k.lower(): k for k in keys}
+    return latest.select(
+        *(
+            F.col(f"`{key_names[c.lower()]}`").alias(c)
+            if c.lower() in key_names
+            else F.col(f"_row.`{c}`").alias(c)
+            for c in df.columns
+        )
+    )
+
+
+def _has_map(kind: DataType) -> bool:
+    """Whether a type is, or holds, one that has no order."""
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, (MapType, VariantType))
 
 
 def latest_per_status(

@@ -81,12 +81,12 @@ class KeyedTable:
     def current(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The table as of now, or as it was before a batch.
 
-        Only the batches are ranked; the first load is filtered against their keys.
+        Only the batches are aggregated; the first load is filtered against their keys.
         """
-        changed = self._latest(self._batches(spark, before))
+        batches = self._batches(spark, before)
         first = self._first(spark).select(*self.columns)
-        kept = first.join(changed.select(*self.keys), list(self.keys), "left_anti")
-        return kept.select(*self.columns).unionByName(changed)
+        kept = first.join(distinct_keys(batches, self.keys), list(self.keys), "left_anti")
+        return kept.select(*self.columns).unionByName(self._latest(batches))
 
     def lookup(
         self,
@@ -110,7 +110,8 @@ class KeyedTable:
         return self._latest(parts[0].unionByName(parts[1])).select(*columns)
 
     def _latest(self, versions: DataFrame) -> DataFrame:
-        return latest_per_key(versions, self.keys, (), (BATCH,)).select(*self.columns)
+        rows = versions.select(*self.columns, BATCH)
+        return latest_per_key(rows, self.keys, (), (BATCH,)).select(*self.columns)
 
     def fold(self, spark: SparkSession, path: str) -> KeyedTable:
         """The same table in a new folder, with all batches folded into a first load.

@@ -8,7 +8,7 @@ what it had written.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Protocol
@@ -25,7 +25,6 @@ from rulestream.operators.transform import TableReader, read_catalog_table
 from rulestream.operators.validate import drop_meta, reject_counts
 from rulestream.plans.pipeline import process_batch
 from rulestream.plans.spec import PipelineSpec, ValidationStage, check_date_patterns
-from rulestream.sources.keyed_table import KeyedTable
 from rulestream.sources.sinks import BATCH, FolderSink, dead_letters
 
 LEDGER_SCHEMA = (
@@ -50,6 +49,16 @@ class BatchSink(Protocol):
     def write(self, df: DataFrame, batch_id: int) -> None: ...
 
 
+class Target(Protocol):
+    """A keyed table: a ``KeyedTable`` on files or a ``ConnectorTable``."""
+
+    def lookup(
+        self, incoming: DataFrame, before: int | None = None, columns: Sequence[str] = ("*",)
+    ) -> DataFrame: ...
+
+    def merge(self, updates: DataFrame, batch_id: int) -> None: ...
+
+
 @dataclass(frozen=True)
 class StreamJob:
     """A stream of ``partition, offset, value`` rows into a keyed table.
@@ -63,7 +72,7 @@ class StreamJob:
     topic: str
     schema: StructType | str
     required: str
-    target: KeyedTable
+    target: Target
     target_name: str
     target_key: Mapping[str, str]
     dead_letters: BatchSink

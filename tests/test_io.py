@@ -7,6 +7,7 @@ from unittest import mock
 from pyspark.sql import functions as F
 
 from rulestream.sources import readers, sinks
+from rulestream.sources.connector_table import ConnectorTable
 
 
 def stub():
@@ -109,6 +110,16 @@ def test_appending_files(spark, folder):
     assert readers.read_table(spark, "parquet", path=f"{folder}/out").count() == 6
 
 
+def test_table_behind_a_connector(spark, folder):
+    table = ConnectorTable("parquet", ("k",), {"path": f"{folder}/store"})
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    table.merge(rows, 0)
+    keys = spark.createDataFrame([(2,), (2,), (9,)], "k int")
+    assert [tuple(r) for r in table.lookup(keys, before=5).collect()] == [(2, "b")]
+    assert table.lookup(keys, columns=["v"]).columns == ["v"]
+    assert table.current(spark).count() == 3
+
+
 def test_csv_with_a_header(spark, folder):
     df = spark.createDataFrame([(1, "a,b"), (2, 'c"d')], "id int, t string")
     df.write.option("header", "true").csv(f"{folder}/csv")

@@ -60,6 +60,9 @@ def test_computed_key_beside_a_condition_in_the_join(spark, sf):
 
 def test_latest_row_is_reduced_before_the_shuffle(spark, sf):
     plan = physical(registry.QUERIES["latest_row"](spark, sf))
+    assert re.search(r"SortAggregate.*Exchange.*SortAggregate.*partial_max", plan, re.S)
+    with_map = data.messages(spark, sf).withColumn("m", F.create_map("seq_num", "nsc"))
+    plan = physical(transform.latest_per_key(with_map, ["acc_num"], ["sent_at"], ["event_id"]))
     assert re.search(r"WindowGroupLimit .*Final.*Exchange.*WindowGroupLimit .*Partial", plan, re.S)
 
 
@@ -85,6 +88,12 @@ def test_payloads_are_decoded_once(spark, sf):
         assert plan.toString().count("from_json(") == 1
 
 
+def test_rules_are_evaluated_once(spark, sf):
+    for name in ("validate_accept", "validate_reject", "reject_summary_rows", "validate_tag"):
+        plan = registry.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan()
+        assert plan.toString().count("try_to_date") == 1
+
+
 def test_validation_does_not_shuffle(spark, sf):
     for name in ("validate_accept", "validate_reject", "reject_summary_rows", "validate_tag"):
         assert "Exchange" not in physical(registry.QUERIES[name](spark, sf))

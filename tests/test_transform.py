@@ -178,6 +178,19 @@ def test_latest_row_breaks_ties(spark):
         transform.latest_per_key(df, ["k"], ["t"], [])
 
 
+def test_latest_row_of_rows_with_a_map_or_an_odd_name(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 1, "x"), ("a", 2, 1, None), ("a", 2, 2, "z"), ("b", 1, 1, "w")],
+        ["k", "T", "seq.no", "v"],
+    )
+    plain = transform.latest_per_key(df, ["K"], ["t"], ["seq.no"])
+    assert plain.columns == df.columns
+    assert rows(plain, "k") == [("a", 2, 2, "z"), ("b", 1, 1, "w")]
+    mapped = df.withColumn("m", F.create_map("k", "v")).withColumnRenamed("seq.no", "seq")
+    latest = transform.latest_per_key(mapped, ["k"], ["T"], ["seq"])
+    assert rows(latest, "k") == [("a", 2, 2, "z", {"a": "z"}), ("b", 1, 1, "w", {"b": "w"})]
+
+
 def test_latest_per_status_keeps_both(spark):
     df = spark.createDataFrame(
         [("a", "P", 1, 10), ("a", "S", 2, 20), ("a", "P", 3, 30), ("b", "S", 1, 40)],
