@@ -12,7 +12,6 @@ from registry.tables import ACCOUNT_COLUMNS, account_table
 from registry.transforms import MAPPINGS
 from rulestream.functions.codec import decode, split_decoded
 from rulestream.operators.audit import COUNTERS, metrics_rollup
-from rulestream.operators.joins import lookup_semi
 from rulestream.operators.validate import drop_meta
 from rulestream.plans.pipeline import BatchResult, process_batch
 from rulestream.plans.spec import (
@@ -122,12 +121,8 @@ UNION ALL SELECT {ACCOUNT_COLUMNS} FROM done"""
 
 
 def _batch(spark: SparkSession, sf: str) -> BatchResult:
-    def read_account(session: SparkSession, name: str) -> DataFrame:
-        keys = session.table("parsed").selectExpr(f"{ACCOUNT_KEY} AS account_key")
-        return lookup_semi(accounts(session, sf), keys, ["account_key"])
-
     valid, _ = split_decoded(decode(topic_rows(spark, sf), MESSAGE_SCHEMA), "body")
-    return process_batch(valid, SPEC, read_account)
+    return process_batch(valid, SPEC, lambda session, name: accounts(session, sf))
 
 
 MAPPED = "account_key, ledger_amt, ledger_seq, ledger_at, shadow_amt, shadow_seq, shadow_at"
