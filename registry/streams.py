@@ -162,6 +162,7 @@ def run_stream(spark: SparkSession, sf: str) -> StreamJob:
         rejects=FolderSink(f"{folder}/rejects"),
         offsets=FolderSink(f"{folder}/offsets"),
         metrics=FolderSink(f"{folder}/metrics"),
+        summaries=FolderSink(f"{folder}/summaries"),
     )
     events = read_stream(
         spark,
@@ -212,6 +213,33 @@ def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return rejects.read(spark, "key string, value string").select("key", "value")
 
 
+@query(
+    f"""WITH {RUN_SQL}
+SELECT 'balances' AS pipeline_name, 'balance_status' AS field_validated,
+       'acc_num,nsc' AS record_id_key, acc_num || ',' || nsc AS record_id_value,
+       balance_status AS validated_data, 'pre_transform' AS validated_type,
+       'is_enum' AS validated_name, 'Invalid enum values' AS failure_reason
+FROM parsed WHERE balance_status NOT IN ('POSTED', 'SHADOW')
+UNION ALL
+SELECT 'balances', 'ledger_seq', 'account_key', account_key, ledger_seq, 'post_transform',
+       'is_integer', 'Integer field contains non-integer value'
+FROM checked WHERE NOT ok"""
+)
+def stream_reject_summary(spark: SparkSession, sf: str) -> DataFrame:
+    columns = (
+        "pipeline_name",
+        "field_validated",
+        "record_id_key",
+        "record_id_value",
+        "validated_data",
+        "validated_type",
+        "validated_name",
+        "failure_reason",
+    )
+    schema = ", ".join(f"{c} string" for c in columns)
+    return run_stream(spark, sf).summaries.read(spark, schema).select(*columns)
+
+
 @query(
     """SELECT 'events' AS topic_name, CAST(event_id % 4 AS VARCHAR) AS topic_partition,
        max(event_id // 4) + 1 AS topic_offset FROM events GROUP BY 2"""

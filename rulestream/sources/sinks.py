@@ -52,12 +52,17 @@ class ConnectorSink:
 
 @dataclass(frozen=True)
 class FolderSink:
-    """Keeps each batch in a folder of its own. A replayed batch replaces it."""
+    """Keeps each batch in a folder of its own. A replayed batch replaces it.
+
+    Rows are balanced before they are written: what is rejected or undecodable is
+    spread thinly over all tasks of a batch and would leave a small file in each.
+    """
 
     path: str
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+        path = f"{self.path}/{BATCH}={batch_id}"
+        df.hint("rebalance").write.mode("overwrite").parquet(path)
 
     def read(self, spark: SparkSession, schema: StructType | str) -> DataFrame:
         """All batches, with their ``batch_id``. Nothing written yet gives no rows."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 from typing import Protocol
 
 from pyspark import StorageLevel
@@ -22,8 +23,13 @@ from pyspark.sql.types import LongType, StringType, StructType, TimestampType
 from rulestream.functions.codec import as_json, decode, split_decoded
 from rulestream.operators.audit import COUNTERS, batch_progress, ledger_rows, merge_ledger
 from rulestream.operators.transform import TableReader, read_catalog_table
-from rulestream.operators.validate import drop_meta, reject_counts
-from rulestream.plans.pipeline import process_batch
+from rulestream.operators.validate import (
+    drop_meta,
+    enforce_limit,
+    reject_counts,
+    reject_summary,
+)
+from rulestream.plans.pipeline import BatchResult, process_batch
 from rulestream.plans.spec import PipelineSpec, ValidationStage, check_date_patterns
 from rulestream.sources.sinks import BATCH, FolderSink, dead_letters
 
@@ -65,7 +71,9 @@ class StreamJob:
 
     ``required`` is the sub-struct a decodable message must have. A table step named
     ``target_name`` reads the target, reduced to the keys of the batch: ``target_key``
-    gives each key column as an expression over the normalised view.
+    gives each key column as an expression over the normalised view. ``summaries`` gets
+    one row per record and failed rule. A batch that rejects more than ``reject_limit``
+    (a share of its records) stops the query before it reaches the target.
     """
 
     spec: PipelineSpec
@@ -81,6 +89,8 @@ class StreamJob:
     metrics: FolderSink
     codec: str = "json"
     read_table: TableReader = read_catalog_table
+    summaries: BatchSink | None = None
+    reject_limit: float | None = None
 
     def start(self, source: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         """Start the query, for example with ``availableNow=True`` as the trigger."""
@@ -114,14 +124,17 @@ class StreamJob:
             self.dead_letters.write(dead_letters(invalid), batch_id)
 
         result = process_batch(valid, self.spec, self._table_reader(batch_id))
-        before = 0
-        if self.spec.pre_rules.rules:
-            before = reject_counts(result.normalised, self.spec.pre_rules).first()["rejected"]
+        before = reject_counts(result.normalised, self.spec.pre_rules).first()
         transformed = result.transformed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             after = reject_counts(transformed, self.spec.post_rules).first()
-            if before or after["rejected"]:
+            rejected = before["rejected"] + after["rejected"]
+            if rejected:
                 self.rejects.write(_reject_messages(result), batch_id)
+                if self.summaries is not None:
+                    self.summaries.write(self._summary(result), batch_id)
+            if self.reject_limit is not None:
+                enforce_limit(rejected, before["total"], self.reject_limit)
             self.target.merge(result.accepted, batch_id)
         finally:
             transformed.unpersist()
@@ -134,7 +147,7 @@ class StreamJob:
         self.offsets.write(ledger_rows(last, self.topic), batch_id)
         return {
             "total": total,
-            "validation": before,
+            "validation": before["rejected"],
             "transformation": after["total"],
             "exception": after["rejected"],
             "dlq": undecodable,
@@ -151,6 +164,17 @@ class StreamJob:
 
         return read
 
+    def _summary(self, result: BatchResult) -> DataFrame:
+        parts = [
+            reject_summary(frame, rules, self.spec.name, stage)
+            for frame, rules, stage in (
+                (result.normalised, self.spec.pre_rules, ValidationStage.PRE),
+                (result.transformed, self.spec.post_rules, ValidationStage.POST),
+            )
+            if rules.rules
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
     def ledger(self, spark: SparkSession) -> DataFrame:
         """Next offset per partition after all batches so far."""
         return merge_ledger(self.offsets.read(spark, LEDGER_SCHEMA).drop(BATCH))
@@ -160,7 +184,7 @@ class StreamJob:
         return self.metrics.read(spark, METRICS_SCHEMA)
 
 
-def _reject_messages(result) -> DataFrame:
+def _reject_messages(result: BatchResult) -> DataFrame:
     """Rejected records of both stages as JSON, with the stage as the key."""
     parts = [
         as_json(drop_meta(frame)).withColumn("key", F.lit(stage.value))

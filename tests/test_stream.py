@@ -11,6 +11,7 @@ from pyspark.errors import StreamingQueryException
 
 from rulestream.functions.codec import decode, split_decoded
 from rulestream.operators.audit import metrics_rollup, read_starting_offsets
+from rulestream.operators.validate import RejectLimitError
 from rulestream.plans.pipeline import process_batch
 from rulestream.plans.spec import (
     ColumnMapping,
@@ -304,6 +305,25 @@ def test_global_view_for_sql_written_that_way(spark):
     assert sorted(r.a for r in process_batch(frame, made).accepted.collect()) == [1, 2]
 
 
+def test_reject_limit_stops_before_the_target(spark, folder):
+    job = replace(make_job(spark, folder), summaries=FolderSink(f"{folder}/summaries"))
+    put_file(spark, folder, 0, FILES[1])
+    batch = spark.read.schema(TOPIC).parquet(f"{folder}/topic")
+    # two of three records are rejected, one before and one after the transformation
+    with pytest.raises(RejectLimitError, match="2 of 3 records rejected"):
+        replace(job, reject_limit=0.5).run_batch(batch, 0)
+    assert accounts(spark, job) == sorted(ACCOUNTS)
+    assert job.rejects.read(spark, MESSAGE_OUT).count() == 2
+    replace(job, reject_limit=0.7).run_batch(batch, 0)
+    assert accounts(spark, job) == by_hand([FILES[1]])
+    schema = "field_validated string, validated_type string, record_id_value string"
+    summary = job.summaries.read(spark, schema).drop("batch_id")
+    assert {tuple(r) for r in summary.collect()} == {
+        ("status", "pre_transform", "3"),
+        ("ledger_day", "post_transform", "A^9"),
+    }
+
+
 def test_metrics_use_utc(spark, folder):
     job = make_job(spark, folder)
     before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
