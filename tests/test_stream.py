@@ -86,9 +86,18 @@ def message(day, num, amount, status, seq=0):
 
 
 FILES = [
-    [message(1, "1", 10, "POSTED"), message(2, "1", 11, "POSTED"), "broken", message(1, "2", 20, "SHADOW")],
+    [
+        message(1, "1", 10, "POSTED"),
+        message(2, "1", 11, "POSTED"),
+        "broken",
+        message(1, "2", 20, "SHADOW"),
+    ],
     [message(1, "1", 99, "POSTED"), message(3, "3", 30, "WRONG"), message(1, "9", 90, "SHADOW")],
-    [message(4, "2", 21, "POSTED"), message(4, "8", 80, "POSTED"), message(4, "2", 22, "POSTED", 1)],
+    [
+        message(4, "2", 21, "POSTED"),
+        message(4, "8", 80, "POSTED"),
+        message(4, "2", 22, "POSTED", 1),
+    ],
 ]
 
 
@@ -190,8 +199,9 @@ def test_batches_and_restart(spark, folder, newer_only):
     }
     letters = job.dead_letters.read(spark, LETTER).collect()
     assert [(r.key, r.offset, bytes(r.value)) for r in letters] == [("0", 2, b"broken")]
-    rejects = {(r.key, json.loads(r.value).get("num", json.loads(r.value).get("key"))) for r in job.rejects.read(spark, MESSAGE_OUT).collect()}
-    assert rejects == {("pre_transform", "3"), ("post_transform", "A^9")}
+    rejects = {r.key: json.loads(r.value) for r in job.rejects.read(spark, MESSAGE_OUT).collect()}
+    assert rejects["pre_transform"]["num"] == "3"
+    assert rejects["post_transform"]["key"] == "A^9"
     window = metrics_rollup(metrics, ["topic_name"]).first()
     assert window.metrics_window_start_time < window.metrics_window_end_time
 

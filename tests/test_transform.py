@@ -201,7 +201,8 @@ def test_latest_per_status_keeps_both(spark):
 
 
 def test_composite_key_and_its_parts(spark):
-    df = spark.createDataFrame([("1", "2", True), ("1", None, True), ("1", "2", False)], "a string, b string, ok boolean")
+    data = [("1", "2", True), ("1", None, True), ("1", "2", False)]
+    df = spark.createDataFrame(data, "a string, b string, ok boolean")
     keyed = df.select(composite_key("P", ["a", "b"], only_if=F.col("ok")).alias("key"))
     assert [r.key for r in keyed.collect()] == ["P^1^2", None, None]
     parts = keyed.limit(1).select(key_part("key", -2).alias("x"), key_part("key", -1).alias("y"))
