@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rulestream.llm.packing import pack_documents
 from rulestream.llm.sharding import shard_documents
+from rulestream.llm.simhash import near_duplicates
 from rulestream.llm.tokens import count_tokens
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -33,10 +34,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op6_simhash_near_dedup, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
