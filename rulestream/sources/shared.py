@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,14 +12,9 @@ SETTING = "spark.checkpoint.dir"
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run, below the shared folder the cluster names.
 
-    A temporary folder of this machine is used only in local mode, when no shared
-    folder is set.
+    Where no such folder is set, it lies in the warehouse, which a cluster shares as well.
     """
-    shared = spark.conf.get(SETTING, None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"Set {SETTING} to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="run-")
+    shared = spark.conf.get(SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_runs"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
