@@ -173,7 +173,8 @@ class Grid:
 
         signed = [m - (1 << 64) if m >> 63 else m for m in self.masks]
         fp = F.col("_fp")
-        counts = fp - F.shiftrightunsigned(fp, 1).bitwiseAND(F.lit(EVEN))
+        low, high = fp.bitwiseAND(F.lit(EVEN)), F.shiftrightunsigned(fp, 1).bitwiseAND(F.lit(EVEN))
+        counts = low.bitwiseXOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
         cells = distinct.select(
             F.posexplode(F.array(*[counts.bitwiseAND(F.lit(m)) for m in signed])).alias("choice", "cell"), "_fp"
         )
