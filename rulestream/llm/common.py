@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,3 +48,10 @@ def ranked(df: DataFrame, klass: str, tie: Column, rank: str, per_cell: int = 50
         .withColumn(rank, F.col("_cell_start") + F.col("_cell_place"))
         .drop("_cell", "_cell_tie", "_cell_place", "_cell_start")
     )
+
+
+def coded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """White-space separated words of texts: the distinct ones, the number of each word's, words per text."""
+    split = pc.utf8_split_whitespace(pc.fill_null(pc.cast(texts, pa.large_string()), ""))
+    coded = split.flatten().dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.diff(split.offsets.to_numpy())

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rulestream.llm.packing import pack_documents
 from rulestream.llm.sharding import shard_documents
 from rulestream.llm.simhash import near_duplicates
+from rulestream.llm.tiling import contaminated
 from rulestream.llm.tokens import count_tokens
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +35,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the share of the item that they cover."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
@@ -44,5 +50,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op6_simhash_near_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op5_benchmark_decontamination, op6_simhash_near_dedup, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
