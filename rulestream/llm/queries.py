@@ -11,9 +11,12 @@ from rulestream.llm.sharding import shard_documents
 from rulestream.llm.simhash import near_duplicates
 from rulestream.llm.tiling import contaminated
 from rulestream.llm.tokens import count_tokens
+from rulestream.llm.toxicity import Model, held_out, learn, with_score
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 SEQUENCE = 2048
+#: Documents with this score or more are toxic.
+TOXIC = 0.7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,10 +48,23 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from labelled rows that are not held out."""
+    return learn(docs, labels.where(~held_out()))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    scored = with_score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op5_benchmark_decontamination, op6_simhash_near_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op5_benchmark_decontamination, op6_simhash_near_dedup, op9_toxicity, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
