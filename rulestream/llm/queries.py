@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulestream.llm.packing import pack_documents
+from rulestream.llm.secrets import KINDS, all_spans, joined_spans, secret_spans
 from rulestream.llm.sharding import shard_documents
 from rulestream.llm.simhash import near_duplicates
 from rulestream.llm.tiling import contaminated
@@ -38,6 +39,27 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
 
 
+def document_secrets(docs: DataFrame) -> DataFrame:
+    """Secrets of documents; a source is an owner, and its documents of one language are a repository."""
+    rows = docs.select("doc_id", "text", "source", F.concat_ws("/", "source", "lang").alias("repository"))
+    return secret_spans(rows, owner="source", repository="repository")
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, with who else has them."""
+    found = document_secrets(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda x, rank=rank: x["rank"] == rank)).cast("long").alias(f"n_{kind}")
+        for rank, kind in enumerate(KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"),
+        joined_spans(all_spans(F.col("base"), F.col("added"))).alias("spans"),
+    )
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the share of the item that they cover."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -66,5 +88,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op5_benchmark_decontamination, op6_simhash_near_dedup, op9_toxicity, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op5_benchmark_decontamination, op6_simhash_near_dedup, op9_toxicity, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}

@@ -5,9 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulestream.llm.queries import SEQUENCE, VOCABULARY
+from rulestream.llm.common import kept
 from rulestream.llm.packing import pack_documents
+from rulestream.llm.queries import SEQUENCE, TOXIC, VOCABULARY, document_secrets, table, toxicity_model
+from rulestream.llm.secrets import redacted
 from rulestream.llm.simhash import near_duplicates
+from rulestream.llm.tiling import contaminated
+from rulestream.llm.toxicity import with_score
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the toxicity grammar does not reject."""
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return with_score(docs, model, into="_score").where(F.col("_score") < TOXIC).drop("_score")
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that do not hold a benchmark item."""
+    found = kept(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id"), "contaminated").distinct()
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; live-looking secrets of few owners are replaced, widely copied examples stay."""
+    clean = redacted(docs, document_secrets(docs))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,10 +42,3 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The packing of the documents that are left; one row per piece."""
     return pack_documents(docs, VOCABULARY, SEQUENCE)
-
-
-def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
-
-
-without_benchmark = without_secrets = without_toxic
