@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulestream.llm.packing import pack_documents
@@ -45,13 +47,14 @@ def document_secrets(docs: DataFrame) -> DataFrame:
     return secret_spans(rows, owner="source", repository="repository")
 
 
+def is_kind(kind: str, span: Column) -> Column:
+    return span["kind"] == kind
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, with who else has them."""
     found = document_secrets(table(spark, sf_dir, "documents"))
-    counts = [
-        F.size(F.filter("base", lambda x, rank=rank: x["rank"] == rank)).cast("long").alias(f"n_{kind}")
-        for rank, kind in enumerate(KINDS)
-    ]
+    counts = [F.size(F.filter("base", partial(is_kind, kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     return found.select(
         "doc_id",
         *counts,
