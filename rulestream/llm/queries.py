@@ -15,6 +15,7 @@ from rulestream.llm.simhash import near_duplicates
 from rulestream.llm.tiling import contaminated
 from rulestream.llm.tokens import count_tokens
 from rulestream.llm.toxicity import Model, held_out, learn, with_score
+from rulestream.llm.warc import read_records, write_archives
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 SEQUENCE = 2048
@@ -63,6 +64,12 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back by the index."""
+    records = read_records(write_archives(table(spark, sf_dir, "pages"), smallest=0))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the share of the item that they cover."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -91,5 +98,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op5_benchmark_decontamination, op6_simhash_near_dedup, op9_toxicity, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op9_toxicity, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
