@@ -12,6 +12,7 @@ from rulestream.llm.packing import pack_documents
 from rulestream.llm.secrets import KINDS, all_spans, joined_spans, secret_spans
 from rulestream.llm.sharding import shard_documents
 from rulestream.llm.simhash import near_duplicates
+from rulestream.llm.sketch import fingerprints
 from rulestream.llm.tiling import contaminated
 from rulestream.llm.tokens import count_tokens
 from rulestream.llm.toxicity import Model, held_out, learn, with_score
@@ -80,6 +81,11 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with their likeness."""
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from labelled rows that are not held out."""
     return learn(docs, labels.where(~held_out()))
@@ -98,5 +104,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op9_toxicity, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_document_fingerprints, op9_toxicity, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
