@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulestream.llm.lm import trained, vocabulary_of, with_pseudo_likelihood
 from rulestream.llm.packing import pack_documents
 from rulestream.llm.secrets import KINDS, all_spans, joined_spans, secret_spans
 from rulestream.llm.sharding import shard_documents
@@ -91,6 +92,13 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> Model:
     return learn(docs, labels.where(~held_out()))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document under a network learned from all documents."""
+    docs = table(spark, sf_dir, "documents")
+    vocabulary = vocabulary_of(docs, "text")
+    return with_pseudo_likelihood(docs, trained(docs, vocabulary), vocabulary)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -104,5 +112,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_document_fingerprints, op9_toxicity, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_document_fingerprints, op8_lm_scoring, op9_toxicity, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
