@@ -18,6 +18,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return written(df, run_folder(df.sparkSession, name))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, longer by underscores if the frame has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def literal_rows(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
     """A small table of given rows, as one expression of the plan."""
     parsed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{ddl}>>")
@@ -54,4 +62,8 @@ def coded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """White-space separated words of texts: the distinct ones, the number of each word's, words per text."""
     split = pc.utf8_split_whitespace(pc.fill_null(pc.cast(texts, pa.large_string()), ""))
     coded = split.flatten().dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.diff(split.offsets.to_numpy())
+    codes, counts = coded.indices.to_numpy(), np.diff(split.offsets.to_numpy())
+    if (empty := coded.dictionary.index("").as_py()) >= 0:  # before and after white space at the ends of a text
+        rows = np.repeat(np.arange(len(counts)), counts)[codes == empty]
+        codes, counts = codes[codes != empty], counts - np.bincount(rows, minlength=len(counts))
+    return coded.dictionary.to_pylist(), codes, counts

@@ -21,6 +21,7 @@ SIZE = CLASSES * MEMBERS
 #: Numbers of words outside the vocabulary, by the letters they end with. Number 0 is the edge of a text.
 ENDINGS = 128
 WIDTH = 16
+#: Words that are scored together.
 BATCH = 8192
 
 
@@ -140,7 +141,9 @@ def vocabulary_of(docs: DataFrame, text: str) -> dict[str, int]:
     return {row["word"]: number for number, row in enumerate(top, start=1)}
 
 
-def trained(docs: DataFrame, vocabulary: dict[str, int], *, text: str = "text", rounds: int = 2, rate: float = 0.05) -> Network:
+def trained(
+    docs: DataFrame, vocabulary: dict[str, int], *, text: str = "text", rounds: int = 2, rate: float = 0.1, batch_words: int = 4096
+) -> Network:
     """The network after one pass over all words of all documents, in ``rounds`` parts.
 
     In each round every task learns from its documents of that part, from the same start, and what the tasks have learned
@@ -159,8 +162,8 @@ def trained(docs: DataFrame, vocabulary: dict[str, int], *, text: str = "text",
                 target, around, _ = windows(batch.column(text), known)
                 words += len(target)
                 order = np.random.default_rng(len(target)).permutation(len(target))
-                for begin in range(0, len(order), BATCH):
-                    drawn = order[begin : begin + BATCH]
+                for begin in range(0, len(order), batch_words):
+                    drawn = order[begin : begin + batch_words]
                     grads = [np.zeros(part.shape, dtype=np.float32) for part in own.parts]
                     own.log_chances(around[drawn], target[drawn], grads)
                     for part, grad, square in zip(own.parts, grads, squares, strict=True):

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulestream.llm.common import kept
+from rulestream.llm.common import free_name, kept
 
 # The kinds in their order, their patterns and their least lengths.
 KINDS = ("assign", "access", "hex")
@@ -169,14 +169,17 @@ def redacted(docs: DataFrame, spans: DataFrame, *, key: str = "doc_id", text: st
         )
 
     empty = F.array().cast("array<struct<start: int, end: int>>")
+    names = [free_name(docs, name) for name in ("_hash", "_key", "_own", "_spans")]
+    number, own_key, own_number, found = names
     own = (
         spans.where(F.exists("added", lambda x: x["kind"] == ADDED[0]))
-        .select(F.col(key).alias("_k"), F.col("_row").alias("_r"), F.aggregate(places, empty, merge).alias("_spans"))
-        .dropDuplicates(["_k", "_r"])
+        .select(F.col(key).alias(own_key), F.col("_row").alias(own_number), F.aggregate(places, empty, merge).alias(found))
+        .dropDuplicates([own_key, own_number])
     )
-    rows = docs.withColumn("_row", row_hash(key, text))
-    joined = rows.join(own, rows[key].eqNullSafe(own["_k"]) & (rows["_row"] == own["_r"]), "left")
+    rows = docs.withColumn(number, row_hash(key, text))
+    same = F.col(key).eqNullSafe(F.col(own_key)) & (F.col(number) == F.col(own_number))
     cut = F.aggregate(
-        F.reverse("_spans"), F.col(text), lambda body, x: F.overlay(body, F.lit(mark), x["start"] + 1, x["end"] - x["start"])
+        F.reverse(found), F.col(text), lambda body, x: F.overlay(body, F.lit(mark), x["start"] + 1, x["end"] - x["start"])
     )
-    return joined.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(cut)).select(*docs.columns)
+    clean = F.when(F.col(found).isNull(), F.col(text)).otherwise(cut)
+    return rows.join(own, same, "left").withColumn(text, clean).select(*docs.columns)

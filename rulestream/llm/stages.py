@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulestream.llm.common import kept
+from rulestream.llm.common import free_name, kept
 from rulestream.llm.packing import pack_documents
 from rulestream.llm.queries import SEQUENCE, TOXIC, VOCABULARY, document_secrets, table, toxicity_model
 from rulestream.llm.secrets import redacted
@@ -17,7 +17,8 @@ from rulestream.llm.toxicity import with_score
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the toxicity grammar does not reject."""
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
-    return with_score(docs, model, into="_score").where(F.col("_score") < TOXIC).drop("_score")
+    score = free_name(docs, "_score")
+    return with_score(docs, model, into=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +34,14 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id."""
-    found = near_duplicates(docs)
-    stay = found.where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
+    """One document of each near-duplicate group: the one with the smallest doc_id.
+
+    Rows with the same doc_id and text are one document.
+    """
+    found = kept(near_duplicates(docs, words=4, distance=4), "near-copies")
+    first = found.where("doc_id <=> component_id").groupBy("doc_id").count()
+    stay = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    return stay if first.where("count > 1").isEmpty() else stay.dropDuplicates(["doc_id", "text"])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

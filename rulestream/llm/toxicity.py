@@ -143,13 +143,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(value, -30, 30)))
 
 
-def stem_counts(labelled: DataFrame, text: str) -> DataFrame:
+def stem_counts(labelled: DataFrame) -> DataFrame:
     """Stems with their occurrences and documents by label; a word counts three times a document at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-            for body, label in zip(batch.column(text).to_pylist(), batch.column("_label").to_pylist(), strict=True):
+            for body, label in zip(batch.column("text").to_pylist(), batch.column("_label").to_pylist(), strict=True):
                 stems: Counter = Counter()
                 for word, n in Counter((body or "").lower().split()).items():
                     letters = NOT_WORD.sub("", word) + END
@@ -165,7 +165,7 @@ def stem_counts(labelled: DataFrame, text: str) -> DataFrame:
     names = ("stem", "clean", "toxic", "clean_docs", "toxic_docs")
     schema = pa.schema([("stem", pa.string()), *((name, pa.int64()) for name in names[1:])])
     ddl = "stem STRING, clean BIGINT, toxic BIGINT, clean_docs BIGINT, toxic_docs BIGINT"
-    counted = labelled.select(text, "_label").mapInArrow(count, ddl)
+    counted = labelled.mapInArrow(count, ddl)
     return counted.groupBy("stem").agg(*(F.sum(name).alias(name) for name in names[1:]))
 
 
@@ -225,10 +225,11 @@ def learn(
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = known.groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_label"))
     drawn = known.orderBy(F.xxhash64("_key"), "_key").limit(sample)
-    labelled = docs.join(F.broadcast(drawn), docs[key] == drawn["_key"]).select(text, "_label").persist()
+    texts = docs.select(F.col(key).alias("_doc"), F.col(text).alias("text"))
+    labelled = texts.join(F.broadcast(drawn), F.col("_doc") == F.col("_key")).select("text", "_label").persist()
     try:
-        counted = stem_counts(labelled, text).where(F.col("toxic_docs") >= support)
-        total = labelled.groupBy("_label").agg(F.sum(F.size(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"))).alias("words"))
+        counted = stem_counts(labelled).where(F.col("toxic_docs") >= support)
+        total = labelled.groupBy("_label").agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))).alias("words"))
         words = {row["_label"]: row["words"] for row in total.collect()}
         if not words.get(0) or not words.get(1):
             return Model({})
@@ -239,7 +240,7 @@ def learn(
 
         def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                values = model.features(batch.column(text))
+                values = model.features(batch.column("text"))
                 columns = [pa.array(values[:, 1]), pa.array(values[:, 2]), batch.column("_label")]
                 yield pa.RecordBatch.from_arrays(columns, names=["strength", "rate", "label"])
 

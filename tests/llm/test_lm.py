@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from rulestream.llm.lm import BATCH, REACH, SIZE, Network, number_of, trained, vocabulary_of, windows, with_pseudo_likelihood
+from tests.llm.cases import ODD, frame
+
+
+def corpus(n=1500):
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{i}" for i in range(50)])
+    rows = []
+    for i in range(n):  # each word is often followed by the next one
+        at, text = int(rng.integers(50)), []
+        for _ in range(40):
+            at = (at + 1) % 50 if rng.random() < 0.9 else int(rng.integers(50))
+            text.append(words[at])
+        rows.append((1000 + i, " ".join(text)))
+    return rows
+
+
+def test_gradients_are_those_of_the_score():
+    rng = np.random.default_rng(1)
+    around, target = rng.integers(0, SIZE, (12, len(REACH))).astype(np.int16), rng.integers(0, SIZE, 12).astype(np.int16)
+    network = Network.of(rng.normal(0, 0.3, Network.fresh().flat().shape))
+    grads = [np.zeros(p.shape) for p in network.parts]
+    network.log_chances(around, target, grads)
+    for part, grad in zip(network.parts, grads, strict=True):
+        at = np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        kept, step = part[at], 1e-2
+        values = []
+        for move in (step, -step):
+            part[at] = kept + move
+            values.append(-network.log_chances(around, target).sum())
+        part[at] = kept
+        assert (values[0] - values[1]) / (2 * step) == pytest.approx(grad[at], rel=0.02)
+
+
+def test_chances_of_all_words_add_up_to_one():
+    around = np.full((SIZE, len(REACH)), 5, dtype=np.int16)
+    total = np.exp(Network.fresh(2).log_chances(around, np.arange(SIZE, dtype=np.int16))).sum()
+    assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_windows_stay_within_texts():
+    vocabulary = {"a": 1, "b": 2, "c": 3}
+    target, around, counts = windows(pa.array(["A b c", None, "c"]), vocabulary)
+    assert target.tolist() == [1, 2, 3, 3] and counts.tolist() == [3, 0, 1]
+    assert around.tolist() == [[0, 0, 2, 3], [0, 1, 3, 0], [1, 2, 0, 0], [0, 0, 0, 0]]
+
+
+def test_learned_order_scores_above_frequency_and_shuffled_texts(spark):
+    rows = corpus()
+    docs = frame(spark, rows)
+    vocabulary = vocabulary_of(docs, "text")
+    counts = Counter(w for _, t in rows for w in t.split())
+    assert set(vocabulary) == set(counts)
+    network = trained(docs, vocabulary, batch_words=256)
+    total = sum(counts.values())
+    by_frequency = sum(n * math.log(n / total) for n in counts.values()) / total
+    kept = with_pseudo_likelihood(docs, network, vocabulary).agg({"mean_log_chance": "avg"}).first()[0]
+    rng = np.random.default_rng(1)
+    mixed = frame(spark, [(d, " ".join(rng.permutation(t.split()))) for d, t in rows[:300]])
+    shuffled = with_pseudo_likelihood(mixed, network, vocabulary).agg({"mean_log_chance": "avg"}).first()[0]
+    assert kept > by_frequency + 0.5 > shuffled
+
+
+def test_scores_of_odd_texts_add_up_word_by_word(spark):
+    docs = frame(spark, ODD)
+    vocabulary = vocabulary_of(docs, "text")
+    network = Network.fresh()
+    found = with_pseudo_likelihood(docs, network, vocabulary).collect()
+    expected = Counter()
+    for key, text in ODD:
+        words = [number_of(w.lower(), vocabulary) for w in (text or "").split()]
+        expected[key, len(words)] += 1
+    assert Counter((r.doc_id, r.n_words) for r in found) == expected
+    for r in found:
+        assert (r.mean_log_chance is None) == (r.n_words == 0)
+    long = next(r for r in found if r.doc_id == 7)
+    target, around, _ = windows(pa.array([ODD[8][1]]), vocabulary)
+    assert len(target) > BATCH
+    assert long.log_likelihood == pytest.approx(network.log_chances(around, target).sum(), rel=1e-5)
+
+
+def test_no_documents(spark):
+    docs = frame(spark, [])
+    vocabulary = vocabulary_of(docs, "text")
+    assert vocabulary == {}
+    assert with_pseudo_likelihood(docs, trained(docs, vocabulary), vocabulary).collect() == []
