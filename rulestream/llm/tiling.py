@@ -131,12 +131,14 @@ class Seeds:
         value = self.hashed(tokens, at)
         low, high = np.searchsorted(self.hashes, value), np.searchsorted(self.hashes, value, side="right")
         hits = high - low
+        if not hits.any():
+            return
         at = np.repeat(at, hits)
         seed = np.arange(len(at)) + np.repeat(low - (np.cumsum(hits) - hits), hits)
         item = self.owners[seed]
         order = np.lexsort((at, item, row[at]))
         at, seed, item = at[order], seed[order], item[order]
-        begins = np.flatnonzero(np.r_[True, (row[at][1:] != row[at][:-1]) | (item[1:] != item[:-1])]) if len(at) else []
+        begins = np.flatnonzero(np.r_[True, (row[at][1:] != row[at][:-1]) | (item[1:] != item[:-1])])
         starts = np.r_[0, np.cumsum(np.bincount(row, minlength=len(counts)))]
         for begin, end in zip(begins, [*begins[1:], len(at)], strict=True):
             own = self.items[item[begin]]
