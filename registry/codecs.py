@@ -107,6 +107,33 @@ def dead_letter_rows(spark: SparkSession, sf: str) -> DataFrame:
     return dead_letters(invalid).withColumn("value", F.col("value").cast("string"))
 
 
+# Messages with one fault each, by number: a wrong type, an overflow, an empty body, text after the
+# record, a body that is no record, and none.
+
+
+@query(
+    """SELECT event_id, event_id % 6 = 5 AS valid FROM events"""
+)
+def split_bad_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Decodable and undecodable messages, faults within fields included."""
+    number = F.col("event_id") % 6
+    amount = (
+        F.when(number == 0, '"n/a"').when(number == 1, "1234567.5").otherwise(F.format_string("%.2f", F.pmod("value", F.lit(1000))))
+    )
+    body = (
+        F.when(number == 2, "{}").when(number == 4, '"none"').otherwise(F.concat(F.lit('{"amount":'), amount, F.lit("}")))
+    )
+    text = F.concat(F.lit('{"head":{"id":'), "event_id", F.lit('},"body":'), body, F.lit("}"))
+    rows = table(spark, sf, "events").select(
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.when(number == 3, F.concat(text, F.lit(" tail"))).otherwise(text).cast("binary").alias("value"),
+    )
+    parts = split_decoded(decode(rows, "head struct<id:bigint>, body struct<amount:decimal(6,2)>"), "body")
+    told = [part.select(F.col("offset").alias("event_id"), F.lit(whole).alias("valid")) for part, whole in zip(parts, (True, False))]
+    return told[0].unionByName(told[1])
+
+
 @query(
     """SELECT CAST(c_nationkey AS VARCHAR) AS key,
        '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}' AS value
@@ -275,20 +302,15 @@ def metrics_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {METRICS_SQL}
-SELECT 'daily' AS airflow_workflow_name, 'load' AS airflow_task_name,
-       'control' AS controlm_workflow_name, DATE '2024-02-01' AS controlm_processed_date,
-       'run-1' AS spark_cde_run_id, 'events' AS topic_name, {PAYLOAD_SQL} AS json_data,
+SELECT 'daily' AS workflow, 'run-1' AS run_name, DATE '2024-02-01' AS processed_on,
+       'events' AS topic_name, {PAYLOAD_SQL} AS json_data,
        metrics_window_end_time AS logged_timestamp
 FROM metrics WHERE total > 0"""
 )
 def stats_table_rows(spark: SparkSession, sf: str) -> DataFrame:
     return stats_rows(
         _metrics(spark, sf),
-        workflow="daily",
-        task="load",
-        run_id="run-1",
         topic="events",
-        control_workflow="control",
-        processed_date="2024-02-01",
+        labels={"workflow": "daily", "run_name": "run-1", "processed_on": F.lit("2024-02-01").cast("date")},
         at=F.col("metrics_window_end_time"),
     )

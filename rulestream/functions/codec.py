@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.avro.functions import from_avro, to_avro
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 PERMISSIVE = {"mode": "PERMISSIVE"}
 WHOLE = {
@@ -22,30 +22,77 @@ WHOLE = {
 
 
 def decode_payload(value: Column, schema: StructType | str, codec: str = "json") -> Column:
-    """The payload as a struct. What cannot be decoded has null fields."""
+    """The payload as a struct, or null if any of it cannot be decoded.
+
+    That holds for values that do not fit their type or overflow it, and for text around the
+    record. Fields that the schema does not know are ignored; those that are missing are null.
+    """
+    return F.get(_decoded(value, schema, codec), 0)
+
+
+def _decoded(value: Column, schema: StructType | str, codec: str) -> Column:
+    """The payload as the only element of an array."""
     if codec == "json":
-        return F.from_json(value.cast("string"), schema, PERMISSIVE)
+        kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        text = value.cast("string")
+        # as text, in an array that nothing else may be in
+        written = F.from_json(F.concat(F.lit("["), text, F.lit("]")), ArrayType(_as_text(kind)), PERMISSIVE)
+        parsed = F.struct(
+            F.from_json(text, kind, PERMISSIVE).alias("record"), written.alias("written"), text.alias("text")
+        )
+
+        def checked(x: Column) -> Column:
+            whole = (F.size(x["written"]) == 1) & ~_faulty(x["record"], F.get(x["written"], 0), x["text"], kind, "$")
+            return F.when(F.coalesce(whole, F.lit(False)), x["record"])
+
+        return F.transform(F.array(parsed), checked)
     if codec == "avro":
         if isinstance(schema, StructType):
             raise ValueError("The avro codec takes an Avro schema in JSON text")
-        return from_avro(value, schema, PERMISSIVE)
+        return F.array(from_avro(value, schema, PERMISSIVE))
     raise ValueError(f"Unknown codec: {codec}")
 
 
+def _as_text(kind: StructType) -> StructType:
+    """The same structs with text for all other values."""
+    fields = ((f.name, _as_text(f.dataType) if isinstance(f.dataType, StructType) else StringType()) for f in kind.fields)
+    return StructType([StructField(name, part) for name, part in fields])
+
+
+def _faulty(record: Column, written: Column, text: Column, kind: StructType, path: str) -> Column:
+    """Whether a field of the record is null although the text has a value for it."""
+    faults = F.lit(False)
+    for field in kind.fields:
+        place = f"{path}['{field.name}']"
+        part, own = record.getField(field.name), written.getField(field.name)
+        if isinstance(field.dataType, StructType):
+            missing = F.get_json_object(text, place).isNotNull()
+            faults |= F.when(part.isNull(), missing).otherwise(_faulty(part, own, text, field.dataType, place))
+        else:
+            faults |= own.isNotNull() & part.isNull()
+    return faults
+
+
+def decodable(required: str) -> Column:
+    """Whether a decoded message has the ``required`` sub-struct, with a value in it."""
+    body = F.col(f"data.{required}")
+    return F.coalesce(F.to_json(body) != "{}", F.lit(False))
+
+
 def decode(df: DataFrame, schema: StructType | str, codec: str = "json") -> DataFrame:
     """``partition, offset, value`` and the decoded ``data``.
 
     Every payload is decoded once. A filter on a plain projection would be moved below
     it, with the decoding copied into the filter; it is not moved below an explode.
     """
-    payload = decode_payload(F.col("value"), schema, codec)
-    return df.select("partition", "offset", "value", F.explode(F.array(payload)).alias("data"))
+    payload = _decoded(F.col("value"), schema, codec)
+    return df.select("partition", "offset", "value", F.explode(payload).alias("data"))
 
 
 def split_decoded(df: DataFrame, required: str) -> tuple[DataFrame, DataFrame]:
     """Decodable and undecodable rows, told apart by the ``required`` sub-struct."""
-    body = F.col(f"data.{required}")
-    return df.filter(body.isNotNull()), df.filter(body.isNull())
+    whole = decodable(required)
+    return df.filter(whole), df.filter(~whole)
 
 
 def encode_payload(

@@ -5,7 +5,7 @@ Offsets always mean the *next* offset to read, and partitions are text.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,21 +127,19 @@ def metrics_payload() -> Column:
 
 def stats_rows(
     metrics: DataFrame,
-    workflow: str,
-    task: str,
-    run_id: str,
     topic: str,
-    control_workflow: str | None = None,
-    processed_date: str | None = None,
+    labels: Mapping[str, Column | str] | None = None,
     at: Column | None = None,
 ) -> DataFrame:
-    """Rows for the stats table. Batches that read nothing leave no row."""
+    """Rows for the stats table. Batches that read nothing leave no row.
+
+    ``labels`` are the columns by which the caller tells runs apart, with their values.
+    """
     return metrics.filter(F.col("total") > 0).select(
-        F.lit(workflow).alias("airflow_workflow_name"),
-        F.lit(task).alias("airflow_task_name"),
-        F.lit(control_workflow).cast("string").alias("controlm_workflow_name"),
-        F.lit(processed_date).cast("date").alias("controlm_processed_date"),
-        F.lit(run_id).alias("spark_cde_run_id"),
+        *(
+            (value if isinstance(value, Column) else F.lit(value)).alias(name)
+            for name, value in (labels or {}).items()
+        ),
         F.lit(topic).alias("topic_name"),
         metrics_payload().alias("json_data"),
         (F.current_timestamp() if at is None else at).alias("logged_timestamp"),

@@ -111,8 +111,9 @@ def test_payload(metrics):
 
 
 def test_stats_skip_empty_batches(metrics):
-    stats = audit.stats_rows(metrics, "w", "task", "run", "t", processed_date="2024-01-01")
-    assert dict(stats.dtypes)["controlm_processed_date"] == "date"
+    day = F.lit("2024-01-01").cast("date")
+    stats = audit.stats_rows(metrics, "t", {"workflow": "w", "processed_on": day})
+    assert stats.columns == ["workflow", "processed_on", "topic_name", "json_data", "logged_timestamp"]
+    assert dict(stats.dtypes)["processed_on"] == "date"
     assert dict(stats.dtypes)["logged_timestamp"] == "timestamp"
-    assert stats.count() == 2
-    assert stats.select("controlm_workflow_name").distinct().collect() == [(None,)]
+    assert [(r.workflow, r.topic_name) for r in stats.collect()] == [("w", "t")] * 2

@@ -104,3 +104,29 @@ def test_avro_goes_through_the_avro_functions(spark, monkeypatch):
         ("to", ('{"type":"record"}',)),
         ("to", ()),
     ]
+
+
+@pytest.mark.parametrize(
+    "payload",
+    [
+        '{"header":{"origin":"A"},"body":{"num":"1","amount":"n/a"}}',
+        '{"header":{"origin":"A"},"body":{"num":"1","amount":1e30}}',
+        '{"header":"A","body":{"num":"1","amount":2.5}}',
+        '{"header":{"origin":"A"},"body":[1]}',
+        '{"header":{"origin":"A"},"body":{}}',
+        GOOD + " tail",
+        GOOD + GOOD,
+        f"{GOOD},{GOOD}",
+    ],
+)
+def test_a_fault_in_any_field_makes_a_message_undecodable(spark, payload):
+    rows = spark.createDataFrame([(0, 0, bytearray(payload.encode()))], "partition int, offset bigint, value binary")
+    valid, invalid = codec.split_decoded(codec.decode(rows, SCHEMA), "body")
+    assert (valid.count(), invalid.count()) == (0, 1)
+
+
+def test_nulls_and_unknown_fields_are_no_faults(spark):
+    payload = '{"header":null,"more":[1,{"a":2}],"body":{"num":null,"amount":2,"x":"y"}} '
+    rows = spark.createDataFrame([(0, 0, bytearray(payload.encode()))], "partition int, offset bigint, value binary")
+    data = codec.split_decoded(codec.decode(rows, SCHEMA), "body")[0].first().data
+    assert (data.header, data.body.num, data.body.amount) == (None, None, Decimal("2.000000"))
