@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.codecs import DECODED_SQL, TEXT_SQL
 from registry.data import ACCOUNTS_SQL, MESSAGE_SCHEMA, accounts, table, topic_rows, topic_rows_of
-from registry.tables import ACCOUNT_COLUMNS, account_table
-from registry.transforms import MAPPINGS
+from registry.tables import ACCOUNT_COLUMNS
 from rulestream.functions.codec import decode, split_decoded
-from rulestream.operators.audit import COUNTERS, metrics_rollup
+from rulestream.operators.audit import COUNTERS, LEDGER_KEY, metrics_rollup
 from rulestream.operators.validate import drop_meta
 from rulestream.plans.pipeline import BatchResult, process_batch
 from rulestream.plans.spec import (
+    ColumnMapping,
+    Latest,
     PipelineSpec,
     RuleKind,
     RuleSet,
@@ -24,91 +25,105 @@ from rulestream.plans.spec import (
     StepKind,
     ValidationRule,
 )
+from rulestream.sources.keyed_table import KeyedTable
 from rulestream.sources.readers import read_stream
 from rulestream.sources.shared import run_folder
 from rulestream.sources.sinks import FolderSink
-from rulestream.streaming.runner import StreamJob
+from rulestream.streaming.runner import LEDGER_SCHEMA, StreamJob
 
 ACCOUNT_KEY = "concat('ACCT^', acc_num, '^', nsc)"
 
+# The latest message of either status moves its side of an account; the other side stays. Rules fail for views, whose
+# status is not allowed, for every message after the twelfth of a month, whose day is no month, and
+# for accounts whose ledger side has never had a message: theirs has no message number.
 SPEC = PipelineSpec(
     name="balances",
     steps=(
         SqlStep(
-            1,
-            "SELECT cast(data.header.sent_at AS timestamp_ntz) AS sent_at, data.header.seq_num, "
-            "data.header.origin, data.body.account.acc_num, data.body.account.balance, "
-            "data.body.account.balance_status, data.body.branch.nsc "
+            10,
+            "SELECT data.body.branch.nsc, data.body.account.acc_num, data.header.seq_num, "
+            "cast(data.header.seq_num AS bigint) AS place, "
+            "cast(data.header.sent_at AS timestamp_ntz) AS sent_at, "
+            "date_format(cast(data.header.sent_at AS timestamp_ntz), 'dd/MM/yyyy') AS sent_day, "
+            "data.body.account.balance, data.body.account.balance_status AS side "
             "FROM stream_df WHERE data.header.origin = 'APP'",
-            "parsed",
+            "app_messages",
             stage=Stage.NORMALISE,
         ),
         SqlStep(
-            2,
-            "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY acc_num, nsc "
-            "ORDER BY sent_at DESC, cast(seq_num AS bigint) DESC) AS rn FROM parsed) WHERE rn = 1",
-            "latest",
+            20,
+            "app_messages",
+            "both_sides",
+            StepKind.LATEST,
+            latest=Latest(
+                keys=("acc_num", "nsc"),
+                order=("sent_at", "place"),
+                status="side",
+                statuses=("POSTED", "SHADOW"),
+                values=("balance", "seq_num", "sent_at"),
+            ),
         ),
-        SqlStep(3, f"SELECT *, {ACCOUNT_KEY} AS key FROM latest", "keyed"),
-        SqlStep(4, "bank.account", "account", StepKind.TABLE),
+        SqlStep(30, "bank.account", "account", StepKind.TABLE),
     ),
     source=SourceQuery(
-        "SELECT key, "
-        "CASE WHEN balance_status = 'POSTED' THEN balance ELSE ledger_amt END new_ledger_amt, "
-        "CASE WHEN balance_status = 'POSTED' THEN seq_num ELSE ledger_seq END new_ledger_seq, "
-        "CASE WHEN balance_status = 'POSTED' THEN sent_at ELSE ledger_at END new_ledger_at, "
-        "CASE WHEN balance_status = 'POSTED' THEN shadow_amt ELSE balance END new_shadow_amt, "
-        "CASE WHEN balance_status = 'SHADOW' THEN seq_num ELSE shadow_seq END new_shadow_seq, "
-        "CASE WHEN balance_status = 'SHADOW' THEN sent_at ELSE shadow_at END new_shadow_at "
-        "FROM keyed LEFT JOIN account ON key = account_key"
+        f"SELECT m.*, a.* FROM (SELECT *, {ACCOUNT_KEY} AS own_key FROM both_sides) m "
+        "LEFT JOIN account a ON own_key = account_key"
     ),
-    mappings=MAPPINGS,
-    pre_rules=RuleSet(
-        ("acc_num", "nsc"),
-        (
-            ValidationRule("balance", RuleKind.FLOAT),
-            ValidationRule("balance_status", RuleKind.ENUM, enum=("POSTED", "SHADOW")),
-            ValidationRule("sent_at", RuleKind.DATE, date_format="yyyy-MM-dd"),
-            ValidationRule("seq_num", RuleKind.INTEGER),
+    mappings=(
+        ColumnMapping(1, "own_key", "account_key", "string"),
+        *(
+            ColumnMapping(place, "", f"{side}_{old}", kind, f"coalesce({status}_{new}, {side}_{old})")
+            for place, (side, status, old, new, kind) in enumerate(
+                (
+                    (side, status, *column)
+                    for column in (
+                        ("at", "sent_at", "timestamp_ntz"),
+                        ("seq", "seq_num", "string"),
+                        ("amt", "balance", "decimal(23,4)"),
+                    )
+                    for side, status in (("shadow", "shadow"), ("ledger", "posted"))
+                ),
+                start=2,
+            )
         ),
     ),
-    post_rules=RuleSet(
-        ("account_key",),
+    pre_rules=RuleSet(
+        ("nsc", "acc_num", "seq_num"),
         (
-            ValidationRule("account_key", RuleKind.MANDATORY),
-            ValidationRule("ledger_seq", RuleKind.INTEGER),
+            ValidationRule("sent_day", RuleKind.DATE, date_format="MM/dd/yyyy"),
+            ValidationRule("side", RuleKind.ENUM, enum=("SHADOW", "POSTED")),
         ),
     ),
+    post_rules=RuleSet(("account_key",), (ValidationRule("ledger_seq", RuleKind.INTEGER),)),
 )
 
 
-# The same in SQL. Errors do not decode, signups are of another origin, views have a
-# status no rule allows, and a ledger side without a message number is rejected last.
+# The same in SQL. Errors do not decode and signups are of another origin.
 RUN_SQL = f"""{DECODED_SQL}, {ACCOUNTS_SQL},
 parsed AS (
-  SELECT *, CAST(sent_at AS TIMESTAMP) AS sent FROM decoded
-  WHERE event_type <> 'error' AND origin = 'APP'),
-latest AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY acc_num, nsc
-                                 ORDER BY sent DESC, event_id DESC) AS rn
-    FROM parsed WHERE balance_status IN ('POSTED', 'SHADOW'))
-  WHERE rn = 1),
+  SELECT *, CAST(sent_at AS TIMESTAMP) AS sent,
+         balance_status IN ('POSTED', 'SHADOW') AS side_ok,
+         try_strptime(strftime(CAST(sent_at AS TIMESTAMP), '%d/%m/%Y'), '%m/%d/%Y') IS NOT NULL AS day_ok
+  FROM decoded WHERE event_type <> 'error' AND origin = 'APP'),
+messages AS (SELECT * FROM parsed WHERE side_ok AND day_ok),
+sides AS (
+  SELECT 'ACCT^' || acc_num || '^' || nsc AS own_key,
+         max_by(balance, (sent, event_id)) FILTER (balance_status = 'POSTED') AS p_balance,
+         max_by(seq_num, (sent, event_id)) FILTER (balance_status = 'POSTED') AS p_seq,
+         max_by(sent, (sent, event_id)) FILTER (balance_status = 'POSTED') AS p_sent,
+         max_by(balance, (sent, event_id)) FILTER (balance_status = 'SHADOW') AS s_balance,
+         max_by(seq_num, (sent, event_id)) FILTER (balance_status = 'SHADOW') AS s_seq,
+         max_by(sent, (sent, event_id)) FILTER (balance_status = 'SHADOW') AS s_sent
+  FROM messages GROUP BY acc_num, nsc),
 mapped AS (
-  SELECT 'ACCT^' || acc_num || '^' || l.nsc AS account_key,
-         CAST(CASE WHEN balance_status = 'POSTED' THEN balance ELSE ledger_amt END
-              AS DECIMAL(23,4)) AS ledger_amt,
-         CASE WHEN balance_status = 'POSTED' THEN seq_num ELSE ledger_seq END AS ledger_seq,
-         CASE WHEN balance_status = 'POSTED' THEN sent ELSE ledger_at END AS ledger_at,
-         CAST(CASE WHEN balance_status = 'POSTED' THEN shadow_amt ELSE balance END
-              AS DECIMAL(23,4)) AS shadow_amt,
-         CASE WHEN balance_status = 'SHADOW' THEN seq_num ELSE shadow_seq END AS shadow_seq,
-         CASE WHEN balance_status = 'SHADOW' THEN sent ELSE shadow_at END AS shadow_at
-  FROM latest l LEFT JOIN accounts a ON 'ACCT^' || acc_num || '^' || l.nsc = a.account_key),
+  SELECT own_key AS account_key,
+         CAST(coalesce(p_balance, ledger_amt) AS DECIMAL(23,4)) AS ledger_amt,
+         coalesce(p_seq, ledger_seq) AS ledger_seq, coalesce(p_sent, ledger_at) AS ledger_at,
+         CAST(coalesce(s_balance, shadow_amt) AS DECIMAL(23,4)) AS shadow_amt,
+         coalesce(s_seq, shadow_seq) AS shadow_seq, coalesce(s_sent, shadow_at) AS shadow_at
+  FROM sides LEFT JOIN accounts ON own_key = accounts.account_key),
 checked AS (
-  SELECT *, account_key IS NOT NULL
-            AND (ledger_seq IS NULL
-                 OR regexp_extract(ledger_seq, '^\\s*[-+]?\\d*\\s*$', 0) <> '') AS ok
+  SELECT *, ledger_seq IS NULL OR regexp_extract(ledger_seq, '^\\s*[-+]?\\d*\\s*$', 0) <> '' AS ok
   FROM mapped)"""
 
 RESULT_SQL = f"""WITH {RUN_SQL},
@@ -133,6 +148,12 @@ def batch_accepted(spark: SparkSession, sf: str) -> DataFrame:
     return _batch(spark, sf).accepted
 
 
+@query(f"WITH {RUN_SQL} SELECT {MAPPED} FROM checked")
+def balance_update_both(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides of an account that has messages of both statuses in one batch."""
+    return drop_meta(_batch(spark, sf).transformed)
+
+
 @query(f"WITH {RUN_SQL} SELECT {MAPPED} FROM checked WHERE NOT ok")
 def batch_rejected_after(spark: SparkSession, sf: str) -> DataFrame:
     return drop_meta(_batch(spark, sf).rejected_after)
@@ -140,38 +161,55 @@ def batch_rejected_after(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {RUN_SQL}
-SELECT sent AS sent_at, seq_num, origin, acc_num, balance, balance_status, nsc
-FROM parsed WHERE balance_status NOT IN ('POSTED', 'SHADOW')"""
+SELECT nsc, acc_num, seq_num, event_id AS place, sent AS sent_at,
+       strftime(sent, '%d/%m/%Y') AS sent_day, balance, balance_status AS side
+FROM parsed WHERE NOT (side_ok AND day_ok)"""
 )
 def batch_rejected_before(spark: SparkSession, sf: str) -> DataFrame:
     return drop_meta(_batch(spark, sf).rejected_before)
 
 
-def run_stream(spark: SparkSession, sf: str) -> StreamJob:
-    """Process all event files that are there as a stream, and return the finished job."""
-    folder = run_folder(spark, "stream")
-    job = StreamJob(
+def stream_job(spark: SparkSession, sf: str, folder: str, run: int = 0) -> StreamJob:
+    """A stream into the accounts, with all its outputs below a folder."""
+    return StreamJob(
         spec=SPEC,
         topic="events",
         schema=MESSAGE_SCHEMA,
         required="body",
-        target=account_table(spark, sf),
+        target=KeyedTable(f"{folder}/accounts", ("account_key",), accounts(spark, sf).schema),
         target_name="bank.account",
         target_key={"account_key": ACCOUNT_KEY},
         dead_letters=FolderSink(f"{folder}/dead_letters"),
         rejects=FolderSink(f"{folder}/rejects"),
-        offsets=FolderSink(f"{folder}/offsets"),
+        ledger=KeyedTable(f"{folder}/ledger", LEDGER_KEY, LEDGER_SCHEMA),
         metrics=FolderSink(f"{folder}/metrics"),
         summaries=FolderSink(f"{folder}/summaries"),
+        stats=FolderSink(f"{folder}/stats"),
+        labels={"workflow": "accounts", "task": "balances"},
+        run=run,
     )
-    events = read_stream(
-        spark,
-        "parquet",
-        {"pathGlobFilter": "events.parquet"},
-        schema=table(spark, sf, "events").schema,
-        path=sf,
-    )
-    job.start(topic_rows_of(events), f"{folder}/checkpoint", availableNow=True).awaitTermination()
+
+
+def run_stream(spark: SparkSession, sf: str, parts: tuple[str, ...] = ("true",)) -> StreamJob:
+    """Process all events as a stream, and return the finished job.
+
+    Each of the ``parts`` is a filter over the events and a run with a checkpoint of its own.
+    """
+    folder = run_folder(spark, "stream")
+    first = stream_job(spark, sf, folder)
+    first.target.create(accounts(spark, sf))
+    first.ledger.create(spark.createDataFrame([], LEDGER_SCHEMA))
+    for run, part in enumerate(parts):
+        events = read_stream(
+            spark,
+            "parquet",
+            {"pathGlobFilter": "events.parquet"},
+            schema=table(spark, sf, "events").schema,
+            path=sf,
+        )
+        job = stream_job(spark, sf, folder, run)
+        source = topic_rows_of(events.filter(part))
+        job.start(source, f"{folder}/checkpoint-{run}", availableNow=True).awaitTermination()
     return job
 
 
@@ -180,6 +218,31 @@ def stream_balance_update(spark: SparkSession, sf: str) -> DataFrame:
     return run_stream(spark, sf).target.current(spark)
 
 
+@query(RESULT_SQL)
+def stream_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by two runs with a fresh checkpoint each, whose batches have the same numbers."""
+    return run_stream(spark, sf, ("user_id % 2 = 0", "user_id % 2 = 1")).target.current(spark)
+
+
+@query(
+    f"""WITH {DECODED_SQL}
+SELECT 'accounts' AS workflow, 'balances' AS task, 'events' AS topic_name,
+       (SELECT count(*) FROM events) AS topic_count,
+       (SELECT count(*) FROM events WHERE event_type = 'error') AS dlq"""
+)
+def stream_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per batch that read something."""
+    columns = "workflow string, task string, topic_name string, json_data string"
+    rows = run_stream(spark, sf).stats.read(spark, columns)
+    return rows.select(
+        "workflow",
+        "task",
+        "topic_name",
+        F.get_json_object("json_data", "$.topic_count").cast("bigint").alias("topic_count"),
+        F.get_json_object("json_data", "$.metrics_stages['04_dlq']").cast("bigint").alias("dlq"),
+    )
+
+
 @query(
     f"""WITH {DECODED_SQL}, texts AS (SELECT *, {TEXT_SQL} AS text FROM decoded)
 SELECT CAST("partition" AS VARCHAR) AS key, "offset", left(text, length(text) - 2) AS value
@@ -196,16 +259,17 @@ ISO = "%Y-%m-%dT%H:%M:%S.%f"
 @query(
     f"""WITH {RUN_SQL}
 SELECT 'pre_transform' AS key,
-       '{{"sent_at":"' || strftime(sent, '{ISO}') || '","seq_num":"' || seq_num
-       || '","origin":"' || origin || '","acc_num":"' || acc_num || '","balance":' || balance
-       || ',"balance_status":"' || balance_status || '","nsc":"' || nsc || '"}}' AS value
-FROM parsed WHERE balance_status NOT IN ('POSTED', 'SHADOW')
+       '{{"nsc":"' || nsc || '","acc_num":"' || acc_num || '","seq_num":"' || seq_num
+       || '","place":' || event_id || ',"sent_at":"' || strftime(sent, '{ISO}')
+       || '","sent_day":"' || strftime(sent, '%d/%m/%Y') || '","balance":' || balance
+       || ',"side":"' || balance_status || '"}}' AS value
+FROM parsed WHERE NOT (side_ok AND day_ok)
 UNION ALL
 SELECT 'post_transform',
-       '{{"account_key":"' || account_key || '","ledger_amt":' || ledger_amt
-       || ',"ledger_seq":"' || ledger_seq || '","ledger_at":"' || strftime(ledger_at, '{ISO}')
-       || '","shadow_amt":' || shadow_amt || ',"shadow_seq":"' || shadow_seq
-       || '","shadow_at":"' || strftime(shadow_at, '{ISO}') || '"}}'
+       '{{"account_key":"' || account_key || '","shadow_at":"' || strftime(shadow_at, '{ISO}')
+       || '","ledger_at":"' || strftime(ledger_at, '{ISO}') || '","shadow_seq":"' || shadow_seq
+       || '","ledger_seq":"' || ledger_seq || '","shadow_amt":' || shadow_amt
+       || ',"ledger_amt":' || ledger_amt || '}}'
 FROM checked WHERE NOT ok"""
 )
 def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,15 +278,20 @@ def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {RUN_SQL}
-SELECT 'balances' AS pipeline_name, 'balance_status' AS field_validated,
-       'acc_num,nsc' AS record_id_key, acc_num || ',' || nsc AS record_id_value,
+    f"""WITH {RUN_SQL}, failed AS (SELECT *, nsc || ',' || acc_num || ',' || seq_num AS id FROM parsed)
+SELECT 'balances' AS pipeline_name, 'side' AS field_validated,
+       'nsc,acc_num,seq_num' AS record_id_key, id AS record_id_value,
        balance_status AS validated_data, 'pre_transform' AS validated_type,
-       'is_enum' AS validated_name, 'Invalid enum values' AS failure_reason
-FROM parsed WHERE balance_status NOT IN ('POSTED', 'SHADOW')
+       'is_enum' AS validated_name,
+       'side = ' || balance_status || ': not among the values allowed' AS failure_reason
+FROM failed WHERE NOT side_ok
+UNION ALL
+SELECT 'balances', 'sent_day', 'nsc,acc_num,seq_num', id, strftime(sent, '%d/%m/%Y'), 'pre_transform',
+       'is_valid_date', 'sent_day = ' || strftime(sent, '%d/%m/%Y') || ': not a date of the pattern given'
+FROM failed WHERE NOT day_ok
 UNION ALL
 SELECT 'balances', 'ledger_seq', 'account_key', account_key, ledger_seq, 'post_transform',
-       'is_integer', 'Integer field contains non-integer value'
+       'is_integer', 'ledger_seq = ' || ledger_seq || ': not a whole number'
 FROM checked WHERE NOT ok"""
 )
 def stream_reject_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -245,13 +314,13 @@ def stream_reject_summary(spark: SparkSession, sf: str) -> DataFrame:
        max(event_id // 4) + 1 AS topic_offset FROM events GROUP BY 2"""
 )
 def stream_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    return run_stream(spark, sf).ledger(spark)
+    return run_stream(spark, sf).offsets(spark)
 
 
 @query(
     f"""WITH {RUN_SQL}
 SELECT 'events' AS topic_name, (SELECT count(*) FROM events) AS total,
-       (SELECT count(*) FROM parsed WHERE balance_status = 'PENDING') AS validation,
+       (SELECT count(*) FROM parsed WHERE NOT (side_ok AND day_ok)) AS validation,
        (SELECT count(*) FROM mapped) AS transformation,
        (SELECT count(*) FROM checked WHERE NOT ok) AS exception,
        (SELECT count(*) FROM events WHERE event_type = 'error') AS dlq,

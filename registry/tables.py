@@ -41,7 +41,7 @@ def updates(spark: SparkSession, sf: str) -> DataFrame:
 def account_table(spark: SparkSession, sf: str) -> KeyedTable:
     """The accounts as a new keyed table."""
     rows = accounts(spark, sf)
-    made = KeyedTable(run_folder(spark, "accounts"), ("account_key",), rows.schema, buckets=8)
+    made = KeyedTable(run_folder(spark, "accounts"), ("account_key",), rows.schema)
     made.create(rows)
     return made
 
@@ -75,6 +75,7 @@ def keyed_table_current(spark: SparkSession, sf: str) -> DataFrame:
     changes = updates(spark, sf)
     made.merge(changes, batch_id=0)
     made.merge(changes, batch_id=0)
+    made.commit(spark, batch_id=0)
     return made.current(spark)
 
 
@@ -87,6 +88,7 @@ def keyed_table_lookup(spark: SparkSession, sf: str) -> DataFrame:
     made = account_table(spark, sf)
     changes = updates(spark, sf)
     made.merge(changes, batch_id=0)
+    made.commit(spark, batch_id=0)
     return made.lookup(lookup_semi(accounts(spark, sf), changes, ["account_key"]))
 
 
@@ -94,7 +96,9 @@ def keyed_table_lookup(spark: SparkSession, sf: str) -> DataFrame:
 def keyed_table_folded(spark: SparkSession, sf: str) -> DataFrame:
     made = account_table(spark, sf)
     made.merge(updates(spark, sf), batch_id=0)
-    return made.fold(spark, run_folder(spark, "folded")).current(spark)
+    made.commit(spark, batch_id=0)
+    made.fold(spark)
+    return made.current(spark)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -57,9 +57,23 @@ def enrich_left(
     return keyed.join(reference, on, "left").drop("_key")
 
 
+def key_range(incoming: DataFrame, key: str) -> Column:
+    """A filter for the range in which the keys of a frame lie. Sources can skip the rest.
+
+    Two values reach the driver, so hand in a frame that is persisted or cheap.
+    """
+    low, high = incoming.agg(F.min(quoted(key)), F.max(quoted(key))).first()
+    return F.lit(False) if low is None else F.col(quoted(key)).between(low, high)
+
+
+def quoted(column: str) -> str:
+    """A column name for an expression; a dot in it is part of the name."""
+    return f"`{column}`"
+
+
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each key once."""
-    return df.select(*keys).distinct()
+    return df.select(*map(quoted, keys)).distinct()
 
 
 def lookup_semi(

@@ -7,7 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulestream.operators.joins import lookup_semi
+from rulestream.operators.joins import quoted
+
+
+def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The frame as it is; it raises while it runs if a key is null or occurs twice.
+
+    The rows meet by key, as they have to for a merge.
+    """
+    names = {k.lower() for k in keys}
+    rest = [c for c in df.columns if c.lower() not in names]
+    row = F.struct(F.lit(0).alias("_"), *(F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(rest)))
+    by_key = df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("_rows"), F.first(row).alias("_row"))
+    null = F.greatest(*(F.col(quoted(k)).isNull() for k in keys), F.lit(False))
+    told = F.concat_ws(",", *(F.coalesce(F.col(quoted(k)).cast("string"), F.lit("null")) for k in keys))
+    right = (
+        F.when(null, F.raise_error(F.concat(F.lit("A key is null: "), told)).cast("boolean"))
+        .when(F.col("_rows") > 1, F.raise_error(F.concat(F.lit("A key occurs more than once: "), told)).cast("boolean"))
+        .otherwise(True)
+    )
+    of_key = {k.lower(): k for k in keys}
+    place = {c: i for i, c in enumerate(rest)}
+    return by_key.filter(right).select(
+        *(
+            F.col(quoted(of_key[c.lower()])).alias(c) if c.lower() in names else F.col(f"_row.c{place[c]}").alias(c)
+            for c in df.columns
+        )
+    )
 
 
 def complete_rows(
@@ -20,21 +46,38 @@ def complete_rows(
     given = {c.lower() for c in updates.columns}
     missing = [c for c in columns if c.lower() not in given]
     if missing:
-        updates = updates.join(old.select(*keys, *missing), list(keys), "left")
+        updates = updates.join(old.select(*map(quoted, (*keys, *missing))), list(keys), "left")
     types = {f.name: f.dataType for f in old.schema.fields}
-    return updates.select(*(F.col(c).cast(types[c]).alias(c) for c in columns))
+    return updates.select(*(F.col(quoted(c)).cast(types[c]).alias(c) for c in columns))
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The table after the updates. ``updates`` holds at most one row per key.
+    """The table after the updates; columns that an update does not carry keep their value.
 
-    Kept rows are passed on by an anti join against the update keys. With updates that
-    Spark knows to be small the table is read in place and not shuffled; larger ones
-    are sorted and merged. The updates are read two or three times, so hand in a frame
-    that is persisted or written out, which also tells Spark their size.
+    A null or repeated key among the updates raises while the result is computed. One left join gives
+    the rows that stay and those that change, and the keys of the table alone tell which updates
+    are new. With updates that Spark knows to be small the table is read in place; hand in
+    a frame that is persisted or written out, for it is read twice.
     """
-    columns = target.columns
-    old = lookup_semi(target, updates, keys)
-    rows = complete_rows(updates, old, keys, columns)
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return kept.select(*columns).unionByName(rows)
+    names = {k.lower() for k in keys}
+    types = {f.name: f.dataType for f in target.schema.fields}
+    given = {c.lower(): c for c in updates.columns}
+    single = one_row_per_key(updates, keys)
+    typed = single.select(
+        *(F.col(quoted(given[c.lower()])).cast(types[c]).alias(c) for c in target.columns if c.lower() in given)
+    )
+    changes = typed.select(
+        *(F.col(quoted(c)).alias(c if c.lower() in names else f"_new_{c}") for c in typed.columns),
+        F.lit(True).alias("_changed"),
+    )
+    joined = target.join(changes, list(keys), "left")
+    merged = joined.select(
+        *(
+            F.when(F.col("_changed"), F.col(quoted(f"_new_{c}"))).otherwise(F.col(quoted(c))).alias(c)
+            if c in typed.columns and c.lower() not in names
+            else F.col(quoted(c))
+            for c in target.columns
+        )
+    )
+    new = typed.join(target.select(*map(quoted, keys)), list(keys), "left_anti")
+    return merged.unionByName(new, allowMissingColumns=True).select(*map(quoted, target.columns))

@@ -15,6 +15,7 @@ from rulestream.plans.spec import (
     PROCESS_NAME,
     ColumnMapping,
     JoinKind,
+    Latest,
     SourceQuery,
     SqlStep,
     StepKind,
@@ -51,12 +52,20 @@ def run_steps(
     for step in sorted(steps, key=lambda s: s.order):
         if step.kind is StepKind.TABLE:
             last = read_table(spark, step.query)
+        elif step.kind is StepKind.LATEST:
+            last = _latest(spark.table(step.query), step.latest)
         else:
             last = spark.sql(step.query)
         publish(last, step.view)
     return last
 
 
+def _latest(df: DataFrame, by: Latest) -> DataFrame:
+    if not by.status:
+        return latest_per_key(df, by.keys, by.order[:1], by.order)
+    return latest_per_status(df, by.keys, by.status, by.statuses, by.order, by.values)
+
+
 def run_source_query(
     spark: SparkSession, source: SourceQuery, reference: DataFrame | None
 ) -> DataFrame:
@@ -126,11 +135,11 @@ def latest_per_key(
     ordered = [names[c] for c in first if c in names]
     rest = [c for c in names.values() if c not in ordered]
     if any(_has_map(df.schema[c].dataType) for c in rest):
-        ranked = W.partitionBy(*keys).orderBy(*(F.desc(c) for c in (*order, *tiebreak)))
+        ranked = W.partitionBy(*(F.col(f"`{k}`") for k in keys)).orderBy(*(F.desc(c) for c in (*order, *tiebreak)))
         rows = df.withColumn("_rank", F.row_number().over(ranked))
         return rows.filter("_rank = 1").drop("_rank")
     row = F.struct(*(F.col(f"`{c}`") for c in (*ordered, *rest)))
-    latest = df.groupBy(*keys).agg(F.max(row).alias("_row"))
+    latest = df.groupBy(*(F.col(f"`{k}`") for k in keys)).agg(F.max(row).alias("_row"))
     key_names = {k.lower(): k for k in keys}
     return latest.select(
         *(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,13 +15,17 @@ from rulestream.operators.transform import (
     run_source_query,
     run_steps,
 )
-from rulestream.operators.validate import drop_meta, validate
-from rulestream.plans.spec import PipelineSpec, Stage
+from rulestream.operators.validate import drop_meta, split_tagged, tag
+from rulestream.plans.spec import PipelineSpec, Stage, check_date_patterns
 
 
 @dataclass(frozen=True)
 class BatchResult:
-    """The frames of one run. None of them has been executed yet."""
+    """The frames of one run. None of them has been executed yet.
+
+    ``normalised`` and ``transformed`` hold all records of their stage, with the outcomes
+    of its rules if it has rules.
+    """
 
     normalised: DataFrame
     rejected_before: DataFrame
@@ -29,27 +34,41 @@ class BatchResult:
     rejected_after: DataFrame
 
 
+def as_planned(df: DataFrame) -> DataFrame:
+    return df
+
+
 def process_batch(
-    batch: DataFrame, spec: PipelineSpec, read_table: TableReader = read_catalog_table
+    batch: DataFrame,
+    spec: PipelineSpec,
+    read_table: TableReader = read_catalog_table,
+    keep: Callable[[DataFrame], DataFrame] = as_planned,
 ) -> BatchResult:
     """Plan a run. SQL runs in the session of the frame, where its views live.
 
+    Date patterns are tried on a literal first, for a bad one would fail only at some row. Each
+    stage is tagged once; ``keep`` may persist the tagged frame, which several
+    outputs read.
+
     The transformation reads the validated records: they are published under the view
     name of the last normalise step, so that a record rejected before the
     transformation cannot reach the target.
     """
     spark = batch.sparkSession
+    check_date_patterns(spark, (*spec.pre_rules.rules, *spec.post_rules.rules))
     publish(batch, spec.batch_view)
     normalised = run_steps(spark, spec.steps_of(Stage.NORMALISE), read_table)
     if normalised is None:
         normalised = batch
-    valid, rejected_before = validate(normalised, spec.pre_rules)
+    normalised = keep(tag(normalised, spec.pre_rules))
+    valid, rejected_before = split_tagged(normalised, spec.pre_rules)
     publish(drop_meta(valid), spec.normalised_view)
 
     reference = run_steps(spark, spec.steps_of(Stage.TRANSFORM), read_table)
     source = run_source_query(spark, spec.source, reference)
     transformed = apply_mapping(source, spec.mappings, spec.name, spec.strict_casts)
-    accepted, rejected_after = validate(transformed, spec.post_rules)
+    transformed = keep(tag(transformed, spec.post_rules))
+    accepted, rejected_after = split_tagged(transformed, spec.post_rules)
     return BatchResult(
         normalised, rejected_before, transformed, drop_meta(accepted), rejected_after
     )

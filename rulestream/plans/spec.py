@@ -26,10 +26,11 @@ class Stage(Enum):
 
 
 class StepKind(Enum):
-    """SQL text, or the name of a table read through a connector."""
+    """SQL text, the name of a table read through a connector, or the latest rows of a view."""
 
     SQL = "sql"
     TABLE = "table"
+    LATEST = "latest"
 
 
 class JoinKind(Enum):
@@ -65,15 +66,34 @@ PASSTHROUGH = "passthrough"
 PROCESS_NAME = "stream_process_name"
 
 
+@dataclass(frozen=True)
+class Latest:
+    """Which rows are the latest: the highest ``order`` columns of each key.
+
+    With a ``status`` column, the latest ``values`` of each of the ``statuses`` stand side by side.
+    """
+
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    status: str = ""
+    statuses: tuple[str, ...] = ()
+    values: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class SqlStep:
-    """One step: SQL text (or a table name) published under ``view``."""
+    """One step, published under ``view``: SQL text, a table name, or a view and ``latest``."""
 
     order: int
     query: str
     view: str
     kind: StepKind = StepKind.SQL
     stage: Stage = Stage.TRANSFORM
+    latest: Latest | None = None
+
+    def __post_init__(self) -> None:
+        if (self.kind is StepKind.LATEST) != (self.latest is not None):
+            raise ValueError(f"Step {self.view}: a latest step needs keys and an order, others none")
 
 
 @dataclass(frozen=True)
@@ -159,6 +179,8 @@ def check_mappings(mappings: Sequence[ColumnMapping]) -> None:
         raise ValueError("Cannot find transformation column mapping configuration")
     seen: set[str] = set()
     for mapping in mappings:
+        if not mapping.rule:
+            raise ValueError(f"Target column {mapping.target} has no transformation rule")
         name = mapping.target.lower()
         if name in seen:
             raise ValueError(f"Duplicate target column: {mapping.target}")
@@ -293,14 +315,24 @@ def pipeline_from_rows(
     mappings: Iterable[Row],
     rules: Iterable[Row],
     schemas: Mapping[str, str] | None = None,
+    batch_view: str = "stream_df",
+    strict_casts: bool = False,
+    strict_rules: bool = False,
 ) -> PipelineSpec:
     """The whole specification of a task from the rows of its four tables."""
     rules = list(rules)
+
+    def stage_rules(stage: ValidationStage) -> RuleSet:
+        found = rules_from_rows(rules, task_id, stage)
+        return RuleSet(found.key, tuple(replace(rule, strict=strict_rules) for rule in found.rules))
+
     return PipelineSpec(
         name=name,
         source=source_from_rows(sources, task_id),
         mappings=mappings_from_rows(mappings, task_id),
         steps=steps_from_rows(steps, task_id, schemas),
-        pre_rules=rules_from_rows(rules, task_id, ValidationStage.PRE),
-        post_rules=rules_from_rows(rules, task_id, ValidationStage.POST),
+        pre_rules=stage_rules(ValidationStage.PRE),
+        post_rules=stage_rules(ValidationStage.POST),
+        batch_view=batch_view,
+        strict_casts=strict_casts,
     )

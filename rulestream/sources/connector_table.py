@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rulestream.operators.joins import lookup_semi
+from rulestream.operators.joins import key_range, lookup_semi
+from rulestream.operators.merge import one_row_per_key
 from rulestream.sources.readers import read_table
 from rulestream.sources.sinks import append
 
@@ -17,7 +18,8 @@ class ConnectorTable:
     """Reads and appends through a named connector.
 
     The store keeps the values of columns an append does not carry. It has one version
-    of a row only, so a replayed batch reads what its first attempt wrote.
+    of a row only, so a replayed batch reads what its first attempt wrote. Give a JDBC
+    table its split options, or it is read through one connection.
     """
 
     fmt: str
@@ -28,16 +30,11 @@ class ConnectorTable:
         """The whole table."""
         return read_table(spark, self.fmt, self.options)
 
-    def lookup(
-        self,
-        incoming: DataFrame,
-        before: int | None = None,
-        columns: Sequence[str] = ("*",),
-    ) -> DataFrame:
-        """Rows of the keys in ``incoming``."""
-        table = self.current(incoming.sparkSession)
+    def lookup(self, incoming: DataFrame, columns: Sequence[str] = ("*",)) -> DataFrame:
+        """Rows of the keys in ``incoming``, read within the range of those keys."""
+        table = self.current(incoming.sparkSession).filter(key_range(incoming, self.keys[0]))
         return lookup_semi(table, incoming, self.keys, columns)
 
-    def merge(self, updates: DataFrame, batch_id: int) -> None:
+    def merge(self, updates: DataFrame, batch_id: int, run: int = 0) -> None:
         """Append the updates; the store replaces the rows of their keys."""
-        append(updates, self.fmt, self.options)
+        append(one_row_per_key(updates, self.keys), self.fmt, self.options)

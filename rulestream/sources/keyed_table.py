@@ -1,12 +1,11 @@
-"""A keyed table on plain Parquet folders, for stores without an upsert of their own.
-
-The first load lies in ``first`` and each later batch in ``batches/batch_id=<n>``; a
-reader keeps the row of the highest batch per key. A batch therefore costs what its
-own rows cost, whatever the size of the table, and a replayed batch replaces its own
-folder and nothing else. Both parts are spread over ``bucket=<hash of the key>``, so
-that a lookup reads only the buckets its keys fall into. The parts have roots of their
-own because Spark estimates the size of a scan from all files below its root: the
-batches have to look as small as they are for a join to broadcast them.
+"""A keyed table on plain Parquet folders: the smallest stand-in for a store that upserts.
+
+A generation holds a first load in ``base`` and the rows of later batches in
+``changes/run=<r>/batch_id=<n>``. A batch is seen once its mark is written, which is the last
+step of a micro-batch: the rows of a failed batch stay unseen until its replay replaces them. Runs have
+numbers of their own, so a fresh checkpoint, whose batches start at 0 again, neither
+replaces nor loses against an earlier run. ``fold`` starts the next generation between two
+batches of a running stream, and keeps what a lookup reads bounded.
 """
 
 from __future__ import annotations
@@ -14,111 +13,130 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from rulestream.operators.joins import distinct_keys, lookup_semi
-from rulestream.operators.merge import complete_rows
+from rulestream.operators.joins import distinct_keys, key_range, lookup_semi, quoted
+from rulestream.operators.merge import complete_rows, one_row_per_key
 from rulestream.operators.transform import latest_per_key
-from rulestream.sources.sinks import BATCH
+from rulestream.sources.sinks import BATCH, RUN, claim_run, place_of, replace_folder
 
-BUCKET = "bucket"
-FIRST_LOAD = -1
+#: Run and batch of the first load.
+FIRST_LOAD = (-1, -1)
+VERSION = (RUN, BATCH)
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """``buckets`` bounds the folders a batch writes; about 1 GB each is a good size."""
+    """Its key is a primary key: a null or repeated key in a batch raises."""
 
     path: str
     keys: tuple[str, ...]
     schema: StructType
-    buckets: int = 16
 
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
     def _typed(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        return df.select(*(F.col(c).cast(self.schema[c].dataType).alias(c) for c in columns))
+        return df.select(*(F.col(quoted(c)).cast(self.schema[c].dataType).alias(c) for c in columns))
 
     def create(self, rows: DataFrame) -> None:
-        """First load. ``rows`` holds each key once and may be empty."""
-        self._write(rows, f"{self.path}/first")
-        self.put(rows.limit(0), FIRST_LOAD)
-
-    def put(self, rows: DataFrame, batch_id: int) -> None:
-        """Write the rows of a batch: all columns, each key at most once."""
-        self._write(rows, f"{self.path}/batches/{BATCH}={batch_id}")
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        placed = self._typed(rows, self.columns).withColumn(BUCKET, self._bucket())
-        balanced = placed.hint("rebalance", F.col(BUCKET))
-        balanced.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-
-    def merge(self, updates: DataFrame, batch_id: int) -> None:
-        """Write updates that may lack columns; those keep the value of earlier batches."""
+        """First load; it may be empty."""
+        self._start(one_row_per_key(self._typed(rows, self.columns), self.keys), 0, FIRST_LOAD)
+
+    def _start(self, rows: DataFrame, generation: int, version: tuple[int, int]) -> None:
+        """Write a generation, and name it only when all of it is there."""
+        spark, path = rows.sparkSession, f"{self.path}/generation={generation}"
+        sorted_rows = rows.repartitionByRange(*map(quoted, self.keys)).sortWithinPartitions(*map(quoted, self.keys))
+        replace_folder(sorted_rows, f"{path}/base")
+        replace_folder(rows.limit(0), place_of(f"{path}/changes", *FIRST_LOAD))
+        replace_folder(spark.range(0), place_of(f"{path}/marks", *FIRST_LOAD))
+        entry = spark.createDataFrame([(generation, *version)], f"generation int, {RUN} int, {BATCH} int")
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/generations")
+
+    def _generation(self, spark: SparkSession) -> Row:
+        """The last generation and the version that its base holds."""
+        known = spark.read.schema(f"generation int, {RUN} int, {BATCH} int")
+        return known.parquet(f"{self.path}/generations").orderBy(F.desc("generation")).first()
+
+    def _versions(self, spark: SparkSession, part: str, schema: StructType, generation: int) -> DataFrame:
+        full = StructType([*schema.fields]).add(RUN, IntegerType()).add(BATCH, IntegerType())
+        return spark.read.schema(full).parquet(f"{self.path}/generation={generation}/{part}")
+
+    def _parts(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+        """The base, and the rows of the batches that are marked as done."""
+        number = self._generation(spark)["generation"]
+        base = spark.read.schema(self.schema).parquet(f"{self.path}/generation={number}/base")
+        marks = self._versions(spark, "marks", StructType().add("id", "long"), number).select(*VERSION)
+        changes = self._versions(spark, "changes", self.schema, number)
+        return base, changes.join(marks, list(VERSION), "left_semi").select(*map(quoted, self.columns), *VERSION)
+
+    def claim(self, spark: SparkSession, run: int, checkpoint: str) -> None:
+        """Reserve a run number for a checkpoint; see ``claim_run``."""
+        claim_run(spark, self.path, run, checkpoint)
+
+    def merge(self, updates: DataFrame, batch_id: int, run: int = 0) -> None:
+        """Write updates that may lack columns; those keep the value of earlier batches.
+
+        The rows are seen after ``commit``.
+        """
         given = {c.lower() for c in updates.columns}
+        updates = one_row_per_key(updates, self.keys)
         if not all(c.lower() in given for c in self.columns):
-            old = self.lookup(updates, before=batch_id)
-            updates = complete_rows(updates, old, self.keys, self.columns)
-        self.put(updates, batch_id)
-
-    def _first(self, spark: SparkSession) -> DataFrame:
-        schema = StructType([*self.schema.fields]).add(BUCKET, IntegerType())
-        return spark.read.schema(schema).parquet(f"{self.path}/first")
-
-    def _batches(self, spark: SparkSession, before: int | None) -> DataFrame:
-        schema = StructType([*self.schema.fields]).add(BATCH, IntegerType())
-        schema = schema.add(BUCKET, IntegerType())
-        rows = spark.read.schema(schema).parquet(f"{self.path}/batches")
-        return rows if before is None else rows.filter(F.col(BATCH) < before)
-
-    def current(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """The table as of now, or as it was before a batch.
-
-        Only the batches are aggregated; the first load is filtered against their keys.
+            updates = complete_rows(updates, self.lookup(updates), self.keys, self.columns)
+        number = self._generation(updates.sparkSession)["generation"]
+        rows = self._typed(updates, self.columns).hint("rebalance")
+        replace_folder(rows, place_of(f"{self.path}/generation={number}/changes", run, batch_id))
+
+    def commit(self, spark: SparkSession, batch_id: int, run: int = 0) -> None:
+        """Mark a batch as done."""
+        number = self._generation(spark)["generation"]
+        replace_folder(spark.range(1).coalesce(1), place_of(f"{self.path}/generation={number}/marks", run, batch_id))
+
+    def committed(self, spark: SparkSession, batch_id: int, run: int = 0) -> bool:
+        """Whether a batch is marked as done. Raises for a run older than the base."""
+        last = self._generation(spark)
+        if run < last[RUN]:
+            raise ValueError(f"Run {run} is older than run {last[RUN]}, which the table already holds")
+        if run == last[RUN] and batch_id <= last[BATCH]:
+            return True
+        marks = self._versions(spark, "marks", StructType().add("id", "long"), last["generation"])
+        return not marks.filter((F.col(RUN) == run) & (F.col(BATCH) == batch_id)).isEmpty()
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        """The table as of now.
+
+        Only the changes are aggregated; the base is filtered against their keys.
         """
-        batches = self._batches(spark, before)
-        first = self._first(spark).select(*self.columns)
-        kept = first.join(distinct_keys(batches, self.keys), list(self.keys), "left_anti")
-        return kept.select(*self.columns).unionByName(self._latest(batches))
-
-    def lookup(
-        self,
-        incoming: DataFrame,
-        before: int | None = None,
-        columns: Sequence[str] = ("*",),
-    ) -> DataFrame:
+        base, changes = self._parts(spark)
+        stay = base.join(distinct_keys(changes, self.keys), list(self.keys), "left_anti")
+        return stay.select(*map(quoted, self.columns)).unionByName(self._latest(changes))
+
+    def lookup(self, incoming: DataFrame, columns: Sequence[str] = ("*",)) -> DataFrame:
         """Current rows of the keys in ``incoming``.
 
-        The list of buckets brought to the driver has at most ``buckets`` entries.
+        The base is sorted by key, so that files outside the range of the keys are skipped.
         """
-        spark = incoming.sparkSession
         wanted = distinct_keys(self._typed(incoming, self.keys), self.keys)
-        touched = wanted.select(self._bucket().alias(BUCKET)).distinct().collect()
-        in_touched = F.col(BUCKET).isin([r[BUCKET] for r in touched])
-        first = self._first(spark).withColumn(BATCH, F.lit(FIRST_LOAD))
-        parts = [
-            lookup_semi(part.filter(in_touched), wanted, self.keys)
-            for part in (first, self._batches(spark, before))
-        ]
-        return self._latest(parts[0].unionByName(parts[1])).select(*columns)
+        base, changes = self._parts(incoming.sparkSession)
+        inside = key_range(wanted, self.keys[0])
+        first = base.filter(inside).withColumns({RUN: F.lit(FIRST_LOAD[0]), BATCH: F.lit(FIRST_LOAD[1])})
+        versions = first.unionByName(changes.filter(inside))
+        return self._latest(lookup_semi(versions, wanted, self.keys)).select(*columns)
 
     def _latest(self, versions: DataFrame) -> DataFrame:
-        rows = versions.select(*self.columns, BATCH)
-        return latest_per_key(rows, self.keys, (), (BATCH,)).select(*self.columns)
+        rows = versions.select(*map(quoted, self.columns), *VERSION)
+        return latest_per_key(rows, self.keys, (), VERSION).select(*map(quoted, self.columns))
 
-    def fold(self, spark: SparkSession, path: str) -> KeyedTable:
-        """The same table in a new folder, with all batches folded into a first load.
+    def fold(self, spark: SparkSession) -> None:
+        """Start the next generation with all batches that are done as its base.
 
-        For use between runs: the next run starts on the folded table with a fresh
-        checkpoint and the offsets of the ledger.
+        For use between two batches. The checkpoint goes on, and a replay of a folded batch
+        finds itself done. The folders of earlier generations can then be removed.
         """
-        folded = KeyedTable(path, self.keys, self.schema, self.buckets)
-        folded.create(self.current(spark))
-        return folded
+        last = self._generation(spark)
+        marks = self._versions(spark, "marks", StructType().add("id", "long"), last["generation"])
+        newest = marks.agg(F.max(F.struct(*VERSION)).alias("v")).first()["v"] or (last[RUN], last[BATCH])
+        self._start(self.current(spark), last["generation"] + 1, tuple(newest))

@@ -10,9 +10,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
+RUN = "run"
 BATCH = "batch_id"
 
 
+def place_of(path: str, run: int, batch_id: int) -> str:
+    """The folder of one batch of one run."""
+    return f"{path}/{RUN}={run}/{BATCH}={batch_id}"
+
+
+def replace_folder(df: DataFrame, path: str, *partitions: str) -> None:
+    """Write a folder anew. All of it, whatever the session says about dynamic overwriting."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+
+
+def claim_run(spark: SparkSession, path: str, run: int, checkpoint: str) -> None:
+    """Reserve a run number of a place for one checkpoint.
+
+    Raises if another checkpoint has it: batch numbers start at 0 again with a fresh
+    checkpoint, and would replace what the earlier run has written.
+    """
+    holder = f"{path}/_runs/{RUN}={run}"
+    try:
+        found = spark.read.schema("checkpoint string").parquet(holder).first()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = None
+    if found is None:
+        replace_folder(spark.createDataFrame([(checkpoint,)], "checkpoint string"), holder)
+    elif found["checkpoint"] != checkpoint:
+        raise ValueError(f"Run {run} of {path} belongs to checkpoint {found['checkpoint']}")
+
+
 def append(df: DataFrame, fmt: str, options: Mapping[str, str]) -> None:
     """Append through a connector. One that knows the key upserts by it."""
     df.write.format(fmt).options(**options).mode("append").save()
@@ -46,13 +77,13 @@ class ConnectorSink:
     fmt: str
     options: Mapping[str, str] = field(default_factory=dict)
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int, run: int = 0) -> None:
         append(df, self.fmt, self.options)
 
 
 @dataclass(frozen=True)
 class FolderSink:
-    """Keeps each batch in a folder of its own. A replayed batch replaces it.
+    """Keeps each batch of each run in a folder of its own. A replayed batch replaces it.
 
     Rows are balanced before they are written: what is rejected or undecodable is
     spread thinly over all tasks of a batch and would leave a small file in each.
@@ -60,14 +91,16 @@ class FolderSink:
 
     path: str
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        path = f"{self.path}/{BATCH}={batch_id}"
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+    def write(self, df: DataFrame, batch_id: int, run: int = 0) -> None:
+        replace_folder(df.hint("rebalance"), place_of(self.path, run, batch_id))
+
+    def claim(self, spark: SparkSession, run: int, checkpoint: str) -> None:
+        claim_run(spark, self.path, run, checkpoint)
 
     def read(self, spark: SparkSession, schema: StructType | str) -> DataFrame:
-        """All batches, with their ``batch_id``. Nothing written yet gives no rows."""
+        """All batches, with their ``run`` and ``batch_id``. Nothing written yet gives no rows."""
         given = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        full = StructType([*given.fields]).add(BATCH, IntegerType())
+        full = StructType([*given.fields]).add(RUN, IntegerType()).add(BATCH, IntegerType())
         try:
             return spark.read.schema(full).parquet(self.path)
         except AnalysisException as exc:

@@ -1,15 +1,15 @@
 """A streaming run: one source, one checkpoint, and all outputs of a micro-batch.
 
-The decoded micro-batch is kept for the time of its processing, because the dead
-letters, the progress record and the run itself all read it. All results of a batch
-go to places named by the batch, so that a batch replayed after a failure replaces
-what it had written.
+The decoded micro-batch and the tagged records of both stages are kept for the time of their
+processing, so that no rule and no payload is evaluated twice. All results of a batch go to
+places named by the run and the batch, so that a batch replayed after a failure replaces
+what it had written; the tables show a batch once all of it is written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 from typing import Protocol
@@ -20,18 +20,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructType, TimestampType
 
-from rulestream.functions.codec import as_json, decode, split_decoded
-from rulestream.operators.audit import COUNTERS, batch_progress, ledger_rows, merge_ledger
+from rulestream.functions.codec import as_json, decodable, decode, split_decoded
+from rulestream.operators.audit import (
+    COUNTERS,
+    LEDGER_KEY,
+    batch_progress,
+    ledger_changes,
+    ledger_rows,
+    merge_ledger,
+    stats_rows,
+)
 from rulestream.operators.transform import TableReader, read_catalog_table
 from rulestream.operators.validate import (
     drop_meta,
     enforce_limit,
-    reject_counts,
     reject_summary,
+    tagged_counts,
 )
 from rulestream.plans.pipeline import BatchResult, process_batch
 from rulestream.plans.spec import PipelineSpec, ValidationStage, check_date_patterns
-from rulestream.sources.sinks import BATCH, FolderSink, dead_letters
+from rulestream.sources.keyed_table import KeyedTable
+from rulestream.sources.sinks import FolderSink, dead_letters
 
 LEDGER_SCHEMA = (
     StructType()
@@ -52,17 +61,17 @@ for _counter in COUNTERS:
 class BatchSink(Protocol):
     """Anything that can take the rows of one batch."""
 
-    def write(self, df: DataFrame, batch_id: int) -> None: ...
+    def write(self, df: DataFrame, batch_id: int, run: int = 0) -> None: ...
 
 
 class Target(Protocol):
     """A keyed table: a ``KeyedTable`` on files or a ``ConnectorTable``."""
 
-    def lookup(
-        self, incoming: DataFrame, before: int | None = None, columns: Sequence[str] = ("*",)
-    ) -> DataFrame: ...
+    def current(self, spark: SparkSession) -> DataFrame: ...
+
+    def lookup(self, incoming: DataFrame, columns: Sequence[str] = ("*",)) -> DataFrame: ...
 
-    def merge(self, updates: DataFrame, batch_id: int) -> None: ...
+    def merge(self, updates: DataFrame, batch_id: int, run: int = 0) -> None: ...
 
 
 @dataclass(frozen=True)
@@ -74,6 +83,11 @@ class StreamJob:
     gives each key column as an expression over the normalised view. ``summaries`` gets
     one row per record and failed rule. A batch that rejects more than ``reject_limit``
     (a share of its records) stops the query before it reaches the target.
+
+    ``ledger`` keeps the next offset of each partition of the topic, and gets those a batch moves. ``stats``
+    gets one row per batch that read something, told apart by ``labels``. ``run`` tells this
+    checkpoint's batches from those of another: give a fresh checkpoint a new, higher
+    number. With ``fold_every`` the tables on files are folded after so many batches.
     """
 
     spec: PipelineSpec
@@ -85,68 +99,88 @@ class StreamJob:
     target_key: Mapping[str, str]
     dead_letters: BatchSink
     rejects: BatchSink
-    offsets: FolderSink
+    ledger: Target
     metrics: FolderSink
     codec: str = "json"
     read_table: TableReader = read_catalog_table
     summaries: BatchSink | None = None
+    stats: BatchSink | None = None
+    labels: Mapping[str, str] = field(default_factory=dict)
     reject_limit: float | None = None
+    run: int = 0
+    fold_every: int | None = None
 
     def start(self, source: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         """Start the query, for example with ``availableNow=True`` as the trigger."""
         rules = (*self.spec.pre_rules.rules, *self.spec.post_rules.rules)
         check_date_patterns(source.sparkSession, rules)
+        for place in (self.target, self.ledger, self.dead_letters, self.rejects, self.metrics, self.summaries, self.stats):
+            if hasattr(place, "claim"):
+                place.claim(source.sparkSession, self.run, checkpoint)
         writer = source.writeStream.foreachBatch(self.run_batch)
         writer = writer.option("checkpointLocation", checkpoint)
         return (writer.trigger(**trigger) if trigger else writer).start()
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Process one micro-batch."""
+        """Process one micro-batch. One that is marked as done is left alone."""
+        spark = batch.sparkSession
+        tables = [t for t in (self.target, self.ledger) if isinstance(t, KeyedTable)]
+        if tables and all(t.committed(spark, batch_id, self.run) for t in tables):
+            return
         started = datetime.now(timezone.utc)
-        decoded = decode(batch, self.schema, self.codec).persist(StorageLevel.MEMORY_AND_DISK)
+        kept: list[DataFrame] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return kept[-1]
+
         try:
-            counts = self._run(decoded, batch_id)
+            counts = self._run(keep(decode(batch, self.schema, self.codec)), batch_id, keep)
         finally:
-            decoded.unpersist()
-        ended = datetime.now(timezone.utc)
-        row = (self.topic, started, ended, *(counts[c] for c in COUNTERS))
-        self.metrics.write(
-            batch.sparkSession.createDataFrame([row], METRICS_SCHEMA), batch_id
-        )
-
-    def _run(self, decoded: DataFrame, batch_id: int) -> dict[str, int]:
+            for df in reversed(kept):
+                df.unpersist()
+        row = (self.topic, started, datetime.now(timezone.utc), *(counts[c] for c in COUNTERS))
+        metrics = spark.createDataFrame([row], METRICS_SCHEMA).coalesce(1)
+        self.metrics.write(metrics, batch_id, self.run)
+        if self.stats is not None and counts["total"]:
+            self.stats.write(stats_rows(metrics, self.topic, self.labels), batch_id, self.run)
+        for table in tables:
+            table.commit(spark, batch_id, self.run)
+            if self.fold_every and (batch_id + 1) % self.fold_every == 0:
+                table.fold(spark)
+
+    def _run(
+        self, decoded: DataFrame, batch_id: int, keep: Callable[[DataFrame], DataFrame]
+    ) -> dict[str, int]:
+        """All outputs of a batch. Each stage is evaluated once: all that reads it reads what was kept."""
         valid, invalid = split_decoded(decoded, self.required)
         # one entry per partition of the topic
-        progress = batch_progress(decoded, F.col(f"data.{self.required}").isNull()).collect()
-        total = sum(p["rows"] for p in progress)
+        progress = batch_progress(decoded, ~decodable(self.required)).collect()
         undecodable = sum(p["undecodable"] for p in progress)
         if undecodable:
-            self.dead_letters.write(dead_letters(invalid), batch_id)
-
-        result = process_batch(valid, self.spec, self._table_reader(batch_id))
-        before = reject_counts(result.normalised, self.spec.pre_rules).first()
-        transformed = result.transformed.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            after = reject_counts(transformed, self.spec.post_rules).first()
-            rejected = before["rejected"] + after["rejected"]
-            if rejected:
-                self.rejects.write(_reject_messages(result), batch_id)
-                if self.summaries is not None:
-                    self.summaries.write(self._summary(result), batch_id)
-            if self.reject_limit is not None:
-                enforce_limit(rejected, before["total"], self.reject_limit)
-            self.target.merge(result.accepted, batch_id)
-        finally:
-            transformed.unpersist()
-
-        spark = decoded.sparkSession
-        last = spark.createDataFrame(
+            self.dead_letters.write(dead_letters(invalid), batch_id, self.run)
+
+        result = process_batch(valid, self.spec, self._table_reader, keep)
+        before = tagged_counts(result.normalised, self.spec.pre_rules).first()
+        after = tagged_counts(result.transformed, self.spec.post_rules).first()
+        rejected = before["rejected"] + after["rejected"]
+        if rejected:
+            self.rejects.write(_reject_messages(result), batch_id, self.run)
+            if self.summaries is not None:
+                self.summaries.write(self._summary(result), batch_id, self.run)
+        if self.reject_limit is not None:
+            enforce_limit(rejected, before["total"], self.reject_limit)
+        self.target.merge(result.accepted, batch_id, self.run)
+
+        last = decoded.sparkSession.createDataFrame(
             [(str(p["partition"]), p["offset"]) for p in progress],
             "partition string, offset bigint",
-        )
-        self.offsets.write(ledger_rows(last, self.topic), batch_id)
+        ).coalesce(1)
+        offsets = ledger_rows(last, self.topic)
+        moved = ledger_changes(self.ledger.lookup(offsets.select(*LEDGER_KEY)), offsets)
+        self.ledger.merge(moved, batch_id, self.run)
         return {
-            "total": total,
+            "total": sum(p["rows"] for p in progress),
             "validation": before["rejected"],
             "transformation": after["total"],
             "exception": after["rejected"],
@@ -154,15 +188,12 @@ class StreamJob:
             "target_write": after["total"] - after["rejected"],
         }
 
-    def _table_reader(self, batch_id: int) -> TableReader:
-        def read(spark: SparkSession, name: str) -> DataFrame:
-            if name != self.target_name:
-                return self.read_table(spark, name)
-            view = spark.table(self.spec.normalised_view)
-            keys = view.select(*(F.expr(e).alias(k) for k, e in self.target_key.items()))
-            return self.target.lookup(keys, before=batch_id)
-
-        return read
+    def _table_reader(self, spark: SparkSession, name: str) -> DataFrame:
+        if name != self.target_name:
+            return self.read_table(spark, name)
+        view = spark.table(self.spec.normalised_view)
+        keys = view.select(*(F.expr(e).alias(k) for k, e in self.target_key.items()))
+        return self.target.lookup(keys)
 
     def _summary(self, result: BatchResult) -> DataFrame:
         parts = [
@@ -175,9 +206,9 @@ class StreamJob:
         ]
         return reduce(DataFrame.unionByName, parts)
 
-    def ledger(self, spark: SparkSession) -> DataFrame:
-        """Next offset per partition after all batches so far."""
-        return merge_ledger(self.offsets.read(spark, LEDGER_SCHEMA).drop(BATCH))
+    def offsets(self, spark: SparkSession) -> DataFrame:
+        """Next offset per partition after all batches that are done."""
+        return merge_ledger(self.ledger.current(spark).select(*LEDGER_SCHEMA.names))
 
     def batch_metrics(self, spark: SparkSession) -> DataFrame:
         """Counters and processing window of every batch."""

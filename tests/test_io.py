@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from unittest import mock
 
+import pytest
 from pyspark.sql import functions as F
 
 from rulestream.sources import readers, sinks
@@ -115,9 +116,14 @@ def test_table_behind_a_connector(spark, folder):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     table.merge(rows, 0)
     keys = spark.createDataFrame([(2,), (2,), (9,)], "k int")
-    assert [tuple(r) for r in table.lookup(keys, before=5).collect()] == [(2, "b")]
+    assert [tuple(r) for r in table.lookup(keys).collect()] == [(2, "b")]
     assert table.lookup(keys, columns=["v"]).columns == ["v"]
     assert table.current(spark).count() == 3
+    plan = table.lookup(keys)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,2)" in plan and "LessThanOrEqual(k,9)" in plan
+    assert table.lookup(keys.limit(0)).collect() == []
+    with pytest.raises(Exception, match="more than once"):
+        table.merge(rows.union(rows), 1)
 
 
 def test_csv_with_a_header(spark, folder):

@@ -5,16 +5,18 @@ from __future__ import annotations
 import datetime as dt
 import json
 from dataclasses import dataclass, replace
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 
 from rulestream.functions.codec import decode, split_decoded
-from rulestream.operators.audit import metrics_rollup, read_starting_offsets
+from rulestream.operators.audit import LEDGER_KEY, metrics_rollup, read_starting_offsets
 from rulestream.operators.validate import RejectLimitError
 from rulestream.plans.pipeline import process_batch
 from rulestream.plans.spec import (
     ColumnMapping,
+    Latest,
     PipelineSpec,
     RuleKind,
     RuleSet,
@@ -27,7 +29,7 @@ from rulestream.plans.spec import (
 from rulestream.sources.keyed_table import KeyedTable
 from rulestream.sources.readers import read_stream
 from rulestream.sources.sinks import FolderSink
-from rulestream.streaming.runner import StreamJob
+from rulestream.streaming.runner import LEDGER_SCHEMA, StreamJob
 
 MESSAGE = "head struct<day:int, seq:int>, body struct<num:string, amount:int, status:string>"
 ACCOUNT = "key string, name string, ledger int, ledger_day int, shadow int"
@@ -133,10 +135,14 @@ def put_file(spark, folder, number, texts):
     frame.write.mode("append").parquet(f"{folder}/topic")
 
 
-def make_job(spark, folder, newer_only=False, target=KeyedTable):
+def make_job(spark, folder, newer_only=False, target=KeyedTable, **options):
     start = spark.createDataFrame(ACCOUNTS, ACCOUNT)
-    table = target(f"{folder}/account", ("key",), start.schema, buckets=3)
-    table.create(start)
+    table = target(f"{folder}/account", ("key",), start.schema)
+    if not Path(f"{folder}/account").exists():
+        table.create(start)
+    ledger = KeyedTable(f"{folder}/ledger", LEDGER_KEY, LEDGER_SCHEMA)
+    if not Path(f"{folder}/ledger").exists():
+        ledger.create(spark.createDataFrame([], LEDGER_SCHEMA))
     return StreamJob(
         spec=spec(newer_only),
         topic="t",
@@ -147,16 +153,17 @@ def make_job(spark, folder, newer_only=False, target=KeyedTable):
         target_key={"key": "concat('A^', num)"},
         dead_letters=FolderSink(f"{folder}/dead"),
         rejects=FolderSink(f"{folder}/rejects"),
-        offsets=FolderSink(f"{folder}/offsets"),
+        ledger=ledger,
         metrics=FolderSink(f"{folder}/metrics"),
+        **options,
     )
 
 
-def run(spark, folder, job, files_per_batch="1"):
+def run(spark, folder, job, files_per_batch="1", checkpoint="checkpoint"):
     source = read_stream(
         spark, "parquet", {"maxFilesPerTrigger": files_per_batch}, TOPIC, f"{folder}/topic"
     )
-    query = job.start(source, f"{folder}/checkpoint", availableNow=True)
+    query = job.start(source, f"{folder}/{checkpoint}", availableNow=True)
     query.awaitTermination()
 
 
@@ -185,7 +192,7 @@ def test_batches_and_restart(spark, folder, newer_only):
     run(spark, folder, job)  # nothing new
     assert accounts(spark, job) == by_hand(FILES, newer_only)
 
-    ledger = job.ledger(spark)
+    ledger = job.offsets(spark)
     assert json.loads(read_starting_offsets(ledger, "t")) == {"t": {"0": 203, "1": 202}}
     metrics = job.batch_metrics(spark)
     assert sorted(r.batch_id for r in metrics.collect()) == [0, 1, 2]
@@ -238,8 +245,8 @@ def test_one_batch_equals_the_batch_run(spark, folder):
 class Failing(KeyedTable):
     """Fails once, after its rows are written."""
 
-    def merge(self, updates, batch_id):
-        super().merge(updates, batch_id)
+    def merge(self, updates, batch_id, run=0):
+        super().merge(updates, batch_id, run)
         if batch_id == 1 and not FAILED:
             FAILED.append(batch_id)
             raise RuntimeError("lost")
@@ -254,8 +261,10 @@ def test_failure_after_the_write(spark, folder):
     put_file(spark, folder, 0, FILES[0])
     run(spark, folder, job)
     put_file(spark, folder, 1, FILES[1])
+    before = accounts(spark, job)
     with pytest.raises(StreamingQueryException):
         run(spark, folder, job)
+    assert accounts(spark, job) == before  # its rows are written and not seen
     put_file(spark, folder, 2, FILES[2])
     run(spark, folder, job)
     assert FAILED == [1]
@@ -279,7 +288,7 @@ def test_a_batch_without_rows(spark, folder):
     job.run_batch(spark.createDataFrame([], TOPIC), 0)
     assert accounts(spark, job) == sorted(ACCOUNTS)
     assert set(counters(spark, job).values()) == {0}
-    assert job.ledger(spark).count() == 0
+    assert job.offsets(spark).count() == 0
 
 
 def test_bad_date_pattern_is_found_at_start(spark, folder):
@@ -289,6 +298,8 @@ def test_bad_date_pattern_is_found_at_start(spark, folder):
     put_file(spark, folder, 0, FILES[0])
     with pytest.raises(ValueError, match="Date pattern not supported"):
         run(spark, folder, job)
+    with pytest.raises(ValueError, match="Date pattern not supported"):
+        process_batch(spark.createDataFrame([], f"data struct<{MESSAGE.replace(' struct', ':struct')}>"), job.spec)
 
 
 def test_rejected_records_do_not_reach_the_transformation(spark):
@@ -327,7 +338,7 @@ def test_reject_limit_stops_before_the_target(spark, folder):
     replace(job, reject_limit=0.7).run_batch(batch, 0)
     assert accounts(spark, job) == by_hand([FILES[1]])
     schema = "field_validated string, validated_type string, record_id_value string"
-    summary = job.summaries.read(spark, schema).drop("batch_id")
+    summary = job.summaries.read(spark, schema).drop("batch_id", "run")
     assert {tuple(r) for r in summary.collect()} == {
         ("status", "pre_transform", "3"),
         ("ledger_day", "post_transform", "A^9"),
@@ -343,3 +354,90 @@ def test_metrics_use_utc(spark, folder):
         "cast(cast(metrics_window_start_time AS timestamp_ntz) AS string) AS t"
     ).first().t
     assert abs(dt.datetime.fromisoformat(started) - before) < dt.timedelta(minutes=2)
+
+
+def test_runs_with_a_fresh_checkpoint_keep_each_others_work(spark, folder):
+    """Batch numbers start again with each checkpoint; run numbers keep them apart."""
+    first = make_job(spark, folder, run=0)
+    put_file(spark, folder, 0, FILES[0])
+    put_file(spark, folder, 1, FILES[1])
+    run(spark, folder, first)
+    second = make_job(spark, folder, run=1)
+    put_file(spark, f"{folder}/later", 2, FILES[2])
+    source = read_stream(spark, "parquet", {}, TOPIC, f"{folder}/later/topic")
+    second.start(source, f"{folder}/checkpoint-1", availableNow=True).awaitTermination()
+    assert accounts(spark, second) == by_hand(FILES)
+    assert second.dead_letters.read(spark, LETTER).count() == 1
+    assert counters(spark, second)["total"] == 10
+    assert sorted((r.run, r.batch_id) for r in second.batch_metrics(spark).collect()) == [(0, 0), (0, 1), (1, 0)]
+    with pytest.raises(ValueError, match="belongs to checkpoint"):
+        run(spark, folder, make_job(spark, folder, run=1), checkpoint="another")
+
+
+def test_replay_under_dynamic_overwriting(spark, folder):
+    job = make_job(spark, folder)
+    put_file(spark, folder, 0, FILES[0])
+    batch = spark.read.schema(TOPIC).parquet(f"{folder}/topic")
+    wrong = spark.createDataFrame([("A^5", 1, 1, 1)], "key string, ledger int, ledger_day int, shadow int")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        job.target.merge(wrong, 0)
+        job.run_batch(batch, 0)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert accounts(spark, job) == by_hand(FILES[:1])
+
+
+def test_a_bad_amount_goes_to_the_dead_letters(spark, folder):
+    job = make_job(spark, folder)
+    bad = [
+        message(5, "1", "n/a", "POSTED"),
+        message(5, "2", 10**12, "POSTED"),
+        message(5, "3", 7, "POSTED") + " tail",
+        json.dumps({"head": {"day": 5, "seq": 0}, "body": {}}),
+        json.dumps({"head": "5", "body": {"num": "4", "amount": 1, "status": "POSTED"}}),
+    ]
+    put_file(spark, folder, 0, [*bad, message(5, "5", 50, "POSTED")])
+    run(spark, folder, job)
+    assert accounts(spark, job) == by_hand([[message(5, "5", 50, "POSTED")]])
+    assert job.dead_letters.read(spark, LETTER).count() == len(bad)
+    assert counters(spark, job)["dlq"] == len(bad)
+
+
+def test_both_statuses_of_an_account_in_one_batch(spark, folder):
+    """One operator keeps the latest message of either status."""
+    both = Latest(("num",), ("day", "seq"), "status", ("POSTED", "SHADOW"), ("amount", "day"))
+    demo = spec()
+    steps = tuple(
+        replace(s, query="flat", kind=StepKind.LATEST, latest=both) if s.view == "latest" else s for s in demo.steps
+    )
+    source = SourceQuery(
+        "SELECT concat('A^', num) AS k, coalesce(posted_amount, ledger) AS l, coalesce(posted_day, ledger_day) AS d, "
+        "coalesce(shadow_amount, shadow) AS s FROM latest LEFT JOIN account ON concat('A^', num) = key"
+    )
+    job = replace(make_job(spark, folder), spec=replace(demo, steps=steps, source=source))
+    put_file(spark, folder, 0, [message(1, "1", 10, "POSTED"), message(2, "1", 20, "SHADOW")])
+    run(spark, folder, job)
+    assert ("A^1", "name1", 10, 1, 20) in accounts(spark, job)
+
+
+def test_a_batch_takes_few_jobs_and_folding_goes_on_with_the_checkpoint(spark, folder):
+    job = make_job(spark, folder, fold_every=2)
+    for number, texts in enumerate(FILES):
+        put_file(spark, folder, number, texts)
+    run(spark, folder, job)
+    assert accounts(spark, job) == by_hand(FILES)
+    assert json.loads(read_starting_offsets(job.offsets(spark), "t")) == {"t": {"0": 203, "1": 202}}
+    assert job.target._generation(spark)["generation"] == 1
+    # a replay of a folded batch finds itself done
+    job.run_batch(spark.read.schema(TOPIC).parquet(f"{folder}/topic"), 1)
+    assert accounts(spark, job) == by_hand(FILES)
+
+
+def test_stats_rows_of_batches_that_read_something(spark, folder):
+    job = make_job(spark, folder, stats=FolderSink(f"{folder}/stats"), labels={"workflow": "w"})
+    put_file(spark, folder, 0, FILES[0])
+    run(spark, folder, job)
+    job.run_batch(spark.createDataFrame([], TOPIC), 1)
+    rows = job.stats.read(spark, "workflow string, topic_name string, json_data string").collect()
+    assert [(r.workflow, r.topic_name, json.loads(r.json_data)["topic_count"]) for r in rows] == [("w", "t", 4)]

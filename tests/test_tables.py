@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from pathlib import Path
 
 import pytest
@@ -28,7 +27,7 @@ def rows(spark):
 
 @pytest.fixture
 def made(folder, rows):
-    table = KeyedTable(f"{folder}/table", ("k",), rows.schema, buckets=4)
+    table = KeyedTable(f"{folder}/table", ("k",), rows.schema)
     table.create(rows)
     return table
 
@@ -61,46 +60,88 @@ def test_a_table_may_start_empty(spark, folder, rows):
     assert bag(table.current(spark)) == []
     assert bag(table.lookup(rows)) == []
     table.merge(rows.filter("k < 2").select("k", "a"), 0)
+    assert bag(table.current(spark)) == []
+    table.commit(spark, 0)
     assert bag(table.current(spark)) == [(0, "a0", None), (1, "a1", None)]
 
 
+def put(table, spark, updates, batch_id, run=0):
+    table.merge(updates, batch_id, run)
+    table.commit(spark, batch_id, run)
+
+
 def test_replayed_batch_changes_nothing(spark, made):
     first = spark.createDataFrame([(1, "one"), (99, "new")], "k int, a string")
     second = spark.createDataFrame([(1, "two")], "k int, b string")
-    made.merge(first, 0)
-    made.merge(second, 1)
+    put(made, spark, first, 0)
+    made.merge(spark.createDataFrame([(2, "lost")], "k int, b string"), 1)
+    # the run fails before it marks the batch, and the replay finds other rows
+    assert (2, "a2", "b2") in bag(made.current(spark))
+    put(made, spark, second, 1)
     once = bag(made.current(spark))
-    assert (1, "one", "two") in once
-    # the run fails after its write and processes the last batch again
-    made.merge(second, 1)
+    assert (1, "one", "two") in once and (2, "a2", "b2") in once
+    put(made, spark, second, 1)
     assert bag(made.current(spark)) == once
-    # a replay that finds other rows replaces all rows of the first attempt
-    made.merge(spark.createDataFrame([(2, "three")], "k int, b string"), 1)
-    assert (1, "one", "b1") in bag(made.current(spark))
-
-
-def test_a_batch_does_not_see_its_own_rows(spark, made):
-    made.merge(spark.createDataFrame([(1, "x")], "k int, a string"), 0)
-    keys = spark.createDataFrame([(1,)], "k int")
-    assert made.lookup(keys, before=0).first().a == "a1"
-    assert made.lookup(keys, before=1).first().a == "x"
-    assert made.lookup(keys).first().a == "x"
-    assert {r.k: r.a for r in made.current(spark, before=0).collect()}[1] == "a1"
-
-
-def test_lookup_reads_only_the_buckets_of_its_keys(spark, made):
-    one = spark.createDataFrame([(7,)], "k bigint")
-    found = made.lookup(one, columns=["k", "b"])
-    assert bag(found) == [(7, "b7")]
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[isnotnull\(bucket#\d+\), \(bucket#\d+ = \d\)\]", plan)
-    assert bag(made.lookup(one.limit(0))) == []
+    assert made.committed(spark, 1) and not made.committed(spark, 2)
+
+
+def test_a_later_run_wins_whatever_its_batch_numbers(spark, made):
+    put(made, spark, spark.createDataFrame([(1, "old"), (2, "old")], "k int, a string"), 7, run=0)
+    put(made, spark, spark.createDataFrame([(1, "new")], "k int, a string"), 0, run=1)
+    assert {r.k: r.a for r in made.current(spark).collect()}[1] == "new"
+    assert {r.k: r.a for r in made.lookup(spark.range(3).selectExpr("cast(id AS int) AS k")).collect()} == {
+        0: "a0",
+        1: "new",
+        2: "old",
+    }
+    made.fold(spark)
+    assert made.committed(spark, 0, run=1)
+    with pytest.raises(ValueError, match="older than run 1"):
+        made.committed(spark, 8, run=0)
+
+
+def test_keys_are_unique_in_the_table_and_in_an_upsert(spark, made, rows):
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "k int, a string")
+    null = spark.createDataFrame([(None, "x")], "k int, a string")
+    for bad, text in ((twice, "more than once: 1"), (null, "null: null")):
+        with pytest.raises(Exception, match=text):
+            made.merge(bad, 0)
+        with pytest.raises(Exception, match=text):
+            upsert(rows, bad, ["k"]).collect()
+    good = spark.createDataFrame([(1, "x"), (50, "y")], "k int, a string")
+    put(made, spark, good, 0)
+    assert bag(made.current(spark)) == bag(upsert(rows, good, ["k"]))
+
+
+def test_names_with_a_dot(spark, folder):
+    schema = "`k.x` int, `a.b` string, c string"
+    start = spark.createDataFrame([(1, "a", "c"), (2, "b", "d")], schema)
+    table = KeyedTable(f"{folder}/dots", ("k.x",), start.schema)
+    table.create(start)
+    changes = spark.createDataFrame([(2, "z"), (3, "y")], "`k.x` int, `a.b` string")
+    put(table, spark, changes, 0)
+    expected = [(1, "a", "c"), (2, "z", "d"), (3, "y", None)]
+    assert bag(table.current(spark)) == bag(upsert(start, changes, ["k.x"])) == expected
+
+
+def test_lookup_reads_as_many_files_after_twenty_batches(spark, made):
+    keys = spark.createDataFrame([(7,)], "k int")
+    counts = []
+    for number in range(20):
+        put(made, spark, spark.createDataFrame([(7, str(number))], "k int, a string"), number)
+        if number % 5 == 4:
+            made.fold(spark)
+            found = made.lookup(keys)
+            assert bag(found) == [(7, str(number), "b7")]
+            counts.append(len(found.inputFiles()))
+    assert len(set(counts)) == 1
+    assert bag(made.lookup(keys.limit(0))) == []
 
 
 def test_first_load_is_neither_ranked_nor_shuffled(spark, made):
-    made.merge(spark.createDataFrame([(1, "x")], "k int, a string"), 0)
+    put(made, spark, spark.createDataFrame([(1, "x")], "k int, a string"), 0)
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    first = sum(f.stat().st_size for f in Path(f"{made.path}/first").rglob("*.parquet"))
+    first = sum(f.stat().st_size for f in Path(f"{made.path}/generation=0/base").rglob("*.parquet"))
     # the first load alone is larger than the limit, the batch is not
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(first - 1))
     try:
@@ -111,11 +152,14 @@ def test_first_load_is_neither_ranked_nor_shuffled(spark, made):
     assert "SortMergeJoin" not in plan
 
 
-def test_fold(spark, folder, made):
-    made.merge(spark.createDataFrame([(1, "x"), (70, "y")], "k int, a string"), 0)
-    folded = made.fold(spark, f"{folder}/folded")
-    assert bag(folded.current(spark)) == bag(made.current(spark))
-    assert [p.name for p in Path(f"{folder}/folded/batches").glob("batch*")] == ["batch_id=-1"]
+def test_fold(spark, made):
+    put(made, spark, spark.createDataFrame([(1, "x"), (70, "y")], "k int, a string"), 0)
+    before = bag(made.current(spark))
+    made.merge(spark.createDataFrame([(3, "unseen")], "k int, a string"), 1)
+    made.fold(spark)
+    assert bag(made.current(spark)) == before
+    put(made, spark, spark.createDataFrame([(3, "seen")], "k int, a string"), 1)
+    assert (3, "seen", "b3") in bag(made.current(spark))
 
 
 @settings(
@@ -126,12 +170,14 @@ def test_table_behaves_like_a_dict(spark, batches):
     start = {k: str(k) for k in range(6)}
     schema = "k int, a string"
     first = spark.createDataFrame(list(start.items()), schema)
-    table = KeyedTable(run_folder(spark, "dict"), ("k",), first.schema, buckets=3)
+    table = KeyedTable(run_folder(spark, "dict"), ("k",), first.schema)
     table.create(first)
     expected = dict(start)
     for number, batch in enumerate(batches):
         changes = {k: str(v) for k, v in batch.items()}
-        table.merge(spark.createDataFrame(list(changes.items()), schema), number)
+        put(table, spark, spark.createDataFrame(list(changes.items()), schema), number)
+        if number == 1:
+            table.fold(spark)
         expected |= changes
     assert bag(table.current(spark)) == sorted(expected.items(), key=str)
     keys = spark.createDataFrame([(k,) for k in range(0, 13, 2)], "k int")
@@ -145,8 +191,17 @@ def test_folder_sink_replaces_a_replayed_batch(spark, folder, rows):
     sink.write(rows, 0)
     sink.write(rows.limit(3), 0)
     sink.write(rows.limit(2), 1)
-    counts = sink.read(spark, rows.schema).groupBy("batch_id").count()
-    assert {tuple(r) for r in counts.collect()} == {(0, 3), (1, 2)}
+    sink.write(rows.limit(4), 0, run=1)
+    counts = sink.read(spark, rows.schema).groupBy("run", "batch_id").count()
+    assert {tuple(r) for r in counts.collect()} == {(0, 0, 3), (0, 1, 2), (1, 0, 4)}
+
+
+def test_run_folder_lies_in_the_warehouse_without_a_shared_folder(spark, monkeypatch):
+    kept = spark.conf.get("spark.checkpoint.dir")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    monkeypatch.setattr("rulestream.sources.shared.SETTING", "spark.no.such.setting")
+    assert run_folder(spark, "x").startswith(f"{warehouse.rstrip('/')}/_runs/x-")
+    assert spark.conf.get("spark.checkpoint.dir") == kept
 
 
 def test_run_folder_uses_the_shared_folder(spark):
