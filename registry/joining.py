@@ -10,7 +10,8 @@ from registry.data import ACCOUNTS_SQL, MESSAGES_SQL, accounts, messages, table
 from registry.transforms import message_key
 from rulestream.operators.audit import row_count
 from rulestream.operators.joins import distinct_keys, enrich_left, join_reference, lookup_semi
-from rulestream.plans.spec import JoinKind
+from rulestream.operators.transform import run_steps
+from rulestream.plans.spec import JoinKind, SqlStep, StepKind
 from rulestream.sources.readers import read_table
 
 
@@ -20,13 +21,13 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _customers(spark: SparkSession, sf: str) -> DataFrame:
-    customer = table(spark, sf, "customer").filter("c_acctbal > 0")
+    customer = table(spark, sf, "customer")
     return customer.select(F.col("c_custkey").alias("cust"), "c_name")
 
 
 JOIN_SQL = """SELECT {key}.cust AS cust, o.o_orderkey, o.o_orderstatus, c.c_name
 FROM (SELECT o_orderkey, o_custkey AS cust, o_orderstatus FROM orders) o
-{how} JOIN (SELECT c_custkey AS cust, c_name FROM customer WHERE c_acctbal > 0) c
+{how} JOIN (SELECT c_custkey AS cust, c_name FROM customer) c
 ON o.cust = c.cust"""
 
 
@@ -47,7 +48,7 @@ def join_none(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """SELECT o_orderkey, o_custkey AS cust, o_orderstatus, NULL AS c_name FROM orders
-UNION ALL SELECT NULL, c_custkey, NULL, c_name FROM customer WHERE c_acctbal > 0"""
+UNION ALL SELECT NULL, c_custkey, NULL, c_name FROM customer"""
 )
 def join_union(spark: SparkSession, sf: str) -> DataFrame:
     return join_reference(_orders(spark, sf), _customers(spark, sf), [], JoinKind.UNION)
@@ -55,18 +56,27 @@ def join_union(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """SELECT l_orderkey, l_linenumber, c_custkey, c_name FROM lineitem
-JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-WHERE l_returnflag = 'R'"""
+JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
 )
 def join_inner_chain(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").filter("l_returnflag = 'R'")
-    lines = lines.select("l_orderkey", "l_linenumber")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
-    placed = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
-    return placed.join(customers, placed.o_custkey == customers.c_custkey, "inner").select(
-        "l_orderkey", "l_linenumber", "c_custkey", "c_name"
-    )
+    """Inner joins over the views of earlier steps."""
+    steps = [
+        SqlStep(place, name, f"chain_{name}", StepKind.TABLE)
+        for place, name in enumerate(("lineitem", "orders", "customer"))
+    ]
+    steps += [
+        SqlStep(
+            3,
+            "SELECT o_orderkey, c_custkey, c_name FROM chain_orders JOIN chain_customer ON o_custkey = c_custkey",
+            "placed",
+        ),
+        SqlStep(
+            4,
+            "SELECT l_orderkey, l_linenumber, c_custkey, c_name FROM chain_lineitem JOIN placed ON l_orderkey = o_orderkey",
+            "lines",
+        ),
+    ]
+    return run_steps(spark, steps, lambda session, name: table(session, sf, name))
 
 
 @query(

@@ -204,8 +204,7 @@ def sql_steps(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """SELECT o_orderkey, o_custkey, o_orderstatus, c_name, c_mktsegment
-FROM orders LEFT JOIN customer ON o_custkey = c_custkey
-WHERE o_totalprice > 100000"""
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
 )
 def source_query(spark: SparkSession, sf: str) -> DataFrame:
     """SQL over views, then the configured left join with the last step."""
@@ -217,8 +216,7 @@ def source_query(spark: SparkSession, sf: str) -> DataFrame:
         )
     ]
     source = SourceQuery(
-        "SELECT o_orderkey, o_custkey, o_orderstatus FROM given_orders "
-        "WHERE o_totalprice > 100000",
+        "SELECT o_orderkey, o_custkey, o_orderstatus FROM given_orders",
         JoinKind.LEFT,
         ("o_custkey",),
     )
@@ -226,25 +224,26 @@ def source_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(p_partkey AS VARCHAR) AS part_id, p_name AS part_name,
-       p_brand || '_' || p_type AS part_label, CAST(p_size AS DECIMAL(10,2)) AS part_size,
-       CAST(round(p_retailprice / 100) AS INTEGER) AS price_hundreds,
-       TRY_CAST(p_name AS INTEGER) AS not_a_number, 'parts_stream' AS loaded_by,
-       CAST('2024-01-25' AS DATE) AS loaded_on
-FROM part"""
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, 'B' || o_custkey AS buyer,
+       o_orderstatus AS state, CAST(o_totalprice AS DECIMAL(14,1)) AS price,
+       CAST(year(o_orderdate) AS INTEGER) AS placed_in,
+       TRY_CAST(o_orderstatus AS DOUBLE) AS no_number, 'orders_load' AS loaded_by,
+       CASE WHEN o_totalprice > 150000 THEN 'large' ELSE 'small' END AS bracket
+FROM orders"""
 )
 def column_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns taken over, computed, named by the process, and of a type that does not fit."""
     mappings = [
-        ColumnMapping(2, "p_name", "part_name", "string", "passthrough"),
-        ColumnMapping(1, "p_partkey", "part_id", "string", "PASSTHROUGH"),
-        ColumnMapping(3, "", "part_label", "string", "p_brand || '_' || p_type"),
-        ColumnMapping(4, "p_size", "part_size", "decimal(10,2)"),
-        ColumnMapping(5, "", "price_hundreds", "integer", "round(p_retailprice / 100)"),
-        ColumnMapping(6, "p_name", "not_a_number", "integer"),
+        ColumnMapping(9, "", "bracket", "string", "if(o_totalprice > 150000, 'large', 'small')"),
+        ColumnMapping(2, "o_orderkey", "id", "string", "PassThrough"),
+        ColumnMapping(1, "o_orderstatus", "state", "string"),
+        ColumnMapping(4, "o_totalprice", "price", "decimal(14,1)"),
+        ColumnMapping(3, "", "buyer", "string", "'B' || o_custkey"),
+        ColumnMapping(6, "o_orderstatus", "no_number", "double"),
+        ColumnMapping(5, "", "placed_in", "int", "year(o_orderdate)"),
         ColumnMapping(7, "", "loaded_by", "string", "stream_process_name"),
-        ColumnMapping(8, "", "loaded_on", "date", "to_date('25/01/24', 'dd/MM/yy')"),
     ]
-    return apply_mapping(table(spark, sf, "part"), mappings, "parts_stream")
+    return apply_mapping(table(spark, sf, "orders"), mappings, "orders_load")
 
 
 @query(

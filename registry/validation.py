@@ -12,10 +12,11 @@ from rulestream.operators.validate import (
     META,
     META_VALID,
     accept,
+    check_reject_limit,
     drop_meta,
+    failure_counts,
     reject,
     reject_counts,
-    reject_rollup,
     reject_summary,
     select_rules,
     tag,
@@ -166,13 +167,16 @@ RULES = RuleSet(
 RECORDS_SQL = rf"""{RAW_SQL},
 records AS (
   SELECT e.event_id, e.user_id, e.ts, r.raw, nullif(e.event_type, 'error') AS status,
-         strftime(e.ts, '%m/%d/%Y') AS day, CAST(e.value AS DECIMAL(12,2)) AS amount
+         strftime(e.ts, '%m/%d/%Y') AS day,
+         CASE WHEN e.event_id % 5 = 0 THEN CAST(e.event_id AS VARCHAR)
+              ELSE CAST(CAST(e.value AS DECIMAL(12,2)) AS VARCHAR) END AS amount
   FROM events e JOIN raw r ON e.event_id = r.event_id),
 checked AS (
   SELECT *, raw IS NULL OR regexp_extract(raw, '^\s*[-+]?\d*\s*$', 0) <> '' AS raw_0,
          raw IS NOT NULL AS raw_1,
          coalesce(status IN ('click', 'view', 'purchase'), false) AS status_2,
-         try_strptime(day, '%d/%m/%Y') IS NOT NULL AS day_3, true AS amount_4
+         try_strptime(day, '%d/%m/%Y') IS NOT NULL AS day_3,
+         regexp_extract(amount, '[-+]?\d*\.\d+', 0) <> '' AS amount_4
   FROM records)"""
 ALL_OK_SQL = "(raw_0 AND raw_1 AND status_2 AND day_3 AND amount_4)"
 FIELDS_SQL = "event_id, user_id, ts, raw, status, day, amount"
@@ -186,7 +190,9 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
         "raw",
         F.nullif("event_type", F.lit("error")).alias("status"),
         F.date_format("ts", "MM/dd/yyyy").alias("day"),
-        F.col("value").cast("decimal(12,2)").alias("amount"),
+        F.when(F.col("event_id") % 5 == 0, F.col("event_id").cast("string"))
+        .otherwise(F.col("value").cast("decimal(12,2)").cast("string"))
+        .alias("amount"),
     )
 
 
@@ -244,10 +250,12 @@ def validate_stages(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""WITH {RECORDS_SQL}
 SELECT event_id, concat_ws('; ',
-         CASE WHEN NOT raw_0 THEN 'Integer field contains non-integer value' END,
-         CASE WHEN NOT raw_1 THEN 'Mandatory column contains null value' END,
-         CASE WHEN NOT status_2 THEN 'Invalid enum values' END,
-         CASE WHEN NOT day_3 THEN 'Date format is not valid' END) AS messages
+         CASE WHEN NOT raw_0 THEN 'raw = ' || raw || ': not a whole number' END,
+         CASE WHEN NOT raw_1 THEN 'raw = null: needed' END,
+         CASE WHEN NOT status_2
+              THEN 'status = ' || coalesce(status, 'null') || ': not among the values allowed' END,
+         CASE WHEN NOT day_3 THEN 'day = ' || day || ': not a date of the pattern given' END,
+         CASE WHEN NOT amount_4 THEN 'amount = ' || amount || ': not a number' END) AS messages
 FROM checked"""
 )
 def reject_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -258,16 +266,21 @@ def reject_messages(spark: SparkSession, sf: str) -> DataFrame:
 FAILURES_SQL = """
 failures AS (
   SELECT *, 'raw' AS field_validated, raw AS validated_data, 'is_integer' AS validated_name,
-         'Integer field contains non-integer value' AS failure_reason
+         'raw = ' || raw || ': not a whole number' AS failure_reason
   FROM checked WHERE NOT raw_0
   UNION ALL
-  SELECT *, 'raw', raw, 'is_mandatory', 'Mandatory column contains null value'
+  SELECT *, 'raw', raw, 'is_mandatory', 'raw = null: needed'
   FROM checked WHERE NOT raw_1
   UNION ALL
-  SELECT *, 'status', status, 'is_enum', 'Invalid enum values' FROM checked WHERE NOT status_2
+  SELECT *, 'status', status, 'is_enum',
+         'status = ' || coalesce(status, 'null') || ': not among the values allowed'
+  FROM checked WHERE NOT status_2
   UNION ALL
-  SELECT *, 'day', day, 'is_valid_date', 'Date format is not valid'
-  FROM checked WHERE NOT day_3)"""
+  SELECT *, 'day', day, 'is_valid_date', 'day = ' || day || ': not a date of the pattern given'
+  FROM checked WHERE NOT day_3
+  UNION ALL
+  SELECT *, 'amount', amount, 'is_float', 'amount = ' || amount || ': not a number'
+  FROM checked WHERE NOT amount_4)"""
 
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -295,11 +308,11 @@ def reject_summary_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {RECORDS_SQL}, {FAILURES_SQL}
-SELECT field_validated, validated_name, count(*) AS failures
+SELECT field_validated, validated_name, CAST(count(*) AS BIGINT) AS failures
 FROM failures GROUP BY field_validated, validated_name"""
 )
 def reject_summary_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return reject_rollup(_summary(spark, sf))
+    return failure_counts(records(spark, sf), RULES)
 
 
 @query(
@@ -308,3 +321,19 @@ SELECT count(*) AS total, count(*) FILTER (WHERE NOT {ALL_OK_SQL}) AS rejected F
 )
 def reject_rate(spark: SparkSession, sf: str) -> DataFrame:
     return reject_counts(records(spark, sf), RULES)
+
+
+@query(
+    f"""WITH {RECORDS_SQL}
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE NOT (raw_0 AND raw_1 AND status_2 AND amount_4 AND day_3)) AS rejected
+FROM checked"""
+)
+def reject_limit_two_stages(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejects of both stages among the records that the first has read."""
+    before, after = (select_rules(RULES, s) for s in (ValidationStage.PRE, ValidationStage.POST))
+    rows = records(spark, sf)
+    carried = check_reject_limit(rows, before, limit=1.0)
+    left = drop_meta(accept(rows, before))
+    rejected, total = check_reject_limit(left, after, limit=1.0, carried=carried)
+    return spark.range(1).select(F.lit(total).cast("bigint").alias("total"), F.lit(rejected).cast("bigint").alias("rejected"))

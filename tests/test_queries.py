@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_module
+import registry
 from tests import oracle
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+registry.load()
+QUERIES, SQL = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def con():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(SQL) <= set(entry_module.oracle_sql())
 
 
 def test_flagship(spark):
