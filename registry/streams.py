@@ -182,9 +182,9 @@ def stream_job(spark: SparkSession, sf: str, folder: str, run: int = 0) -> Strea
         dead_letters=FolderSink(f"{folder}/dead_letters"),
         rejects=FolderSink(f"{folder}/rejects"),
         ledger=KeyedTable(f"{folder}/ledger", LEDGER_KEY, LEDGER_SCHEMA),
-        metrics=FolderSink(f"{folder}/metrics"),
+        metrics=FolderSink(f"{folder}/metrics", balance=False),
         summaries=FolderSink(f"{folder}/summaries"),
-        stats=FolderSink(f"{folder}/stats"),
+        stats=FolderSink(f"{folder}/stats", balance=False),
         labels={"workflow": "accounts", "task": "balances"},
         run=run,
     )

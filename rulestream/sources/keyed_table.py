@@ -11,9 +11,11 @@ batches of a running stream, and keeps what a lookup reads bounded.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
@@ -27,6 +29,15 @@ FIRST_LOAD = (-1, -1)
 VERSION = (RUN, BATCH)
 
 
+@dataclass(frozen=True)
+class TableState:
+    """A generation, the version that its base holds, and the last batch done of each run since."""
+
+    generation: int
+    folded: tuple[int, int]
+    done: dict[int, int]
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """Its key is a primary key: a null or repeated key in a batch raises."""
@@ -34,6 +45,7 @@ class KeyedTable:
     path: str
     keys: tuple[str, ...]
     schema: StructType
+    state: TableState | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -52,26 +64,39 @@ class KeyedTable:
         sorted_rows = rows.repartitionByRange(*map(quoted, self.keys)).sortWithinPartitions(*map(quoted, self.keys))
         replace_folder(sorted_rows, f"{path}/base")
         replace_folder(rows.limit(0), place_of(f"{path}/changes", *FIRST_LOAD))
-        replace_folder(spark.range(0), place_of(f"{path}/marks", *FIRST_LOAD))
+        mark = spark.range(1).select(F.lit(FIRST_LOAD[1]).alias("done")).coalesce(1)
+        replace_folder(mark, place_of(f"{path}/marks", *FIRST_LOAD))
         entry = spark.createDataFrame([(generation, *version)], f"generation int, {RUN} int, {BATCH} int")
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/generations")
 
-    def _generation(self, spark: SparkSession) -> Row:
-        """The last generation and the version that its base holds."""
-        known = spark.read.schema(f"generation int, {RUN} int, {BATCH} int")
-        return known.parquet(f"{self.path}/generations").orderBy(F.desc("generation")).first()
+    def state_of(self, spark: SparkSession) -> TableState:
+        """What is there now: the last generation, and the last batch that each run has done in it."""
+        if self.state is not None:
+            return self.state
+        entries = spark.read.schema(f"generation int, {RUN} int, {BATCH} int")
+        last = max(map(tuple, entries.parquet(f"{self.path}/generations").collect()))
+        marks = self._versions(spark, "marks", StructType().add("done", IntegerType()), last[0])
+        done = marks.groupBy(RUN).agg(F.max(BATCH).alias(BATCH)).collect()
+        return TableState(last[0], last[1:], {r[RUN]: r[BATCH] for r in done if r[RUN] >= 0})
+
+    def pinned(self, spark: SparkSession) -> KeyedTable:
+        """The table as it is now, for the reads and the one commit of a batch: its state is read once."""
+        return replace(self, state=self.state_of(spark))
 
     def _versions(self, spark: SparkSession, part: str, schema: StructType, generation: int) -> DataFrame:
         full = StructType([*schema.fields]).add(RUN, IntegerType()).add(BATCH, IntegerType())
         return spark.read.schema(full).parquet(f"{self.path}/generation={generation}/{part}")
 
     def _parts(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-        """The base, and the rows of the batches that are marked as done."""
-        number = self._generation(spark)["generation"]
-        base = spark.read.schema(self.schema).parquet(f"{self.path}/generation={number}/base")
-        marks = self._versions(spark, "marks", StructType().add("id", "long"), number).select(*VERSION)
-        changes = self._versions(spark, "changes", self.schema, number)
-        return base, changes.join(marks, list(VERSION), "left_semi").select(*map(quoted, self.columns), *VERSION)
+        """The base, and the rows of the batches that are marked as done.
+
+        The batches of a run follow each other, so all up to its last mark are done.
+        """
+        state = self.state_of(spark)
+        base = spark.read.schema(self.schema).parquet(f"{self.path}/generation={state.generation}/base")
+        done = [(F.col(RUN) == run) & (F.col(BATCH) <= last) for run, last in sorted(state.done.items())]
+        changes = self._versions(spark, "changes", self.schema, state.generation)
+        return base, changes.filter(reduce(or_, done, F.lit(False))).select(*map(quoted, self.columns), *VERSION)
 
     def claim(self, spark: SparkSession, run: int, checkpoint: str) -> None:
         """Reserve a run number for a checkpoint; see ``claim_run``."""
@@ -86,24 +111,23 @@ class KeyedTable:
         updates = one_row_per_key(updates, self.keys)
         if not all(c.lower() in given for c in self.columns):
             updates = complete_rows(updates, self.lookup(updates), self.keys, self.columns)
-        number = self._generation(updates.sparkSession)["generation"]
+        number = self.state_of(updates.sparkSession).generation
         rows = self._typed(updates, self.columns).hint("rebalance")
         replace_folder(rows, place_of(f"{self.path}/generation={number}/changes", run, batch_id))
 
     def commit(self, spark: SparkSession, batch_id: int, run: int = 0) -> None:
         """Mark a batch as done."""
-        number = self._generation(spark)["generation"]
-        replace_folder(spark.range(1).coalesce(1), place_of(f"{self.path}/generation={number}/marks", run, batch_id))
+        number = self.state_of(spark).generation
+        mark = spark.range(1).select(F.lit(batch_id).alias("done")).coalesce(1)
+        replace_folder(mark, place_of(f"{self.path}/generation={number}/marks", run, batch_id))
 
     def committed(self, spark: SparkSession, batch_id: int, run: int = 0) -> bool:
         """Whether a batch is marked as done. Raises for a run older than the base."""
-        last = self._generation(spark)
-        if run < last[RUN]:
-            raise ValueError(f"Run {run} is older than run {last[RUN]}, which the table already holds")
-        if run == last[RUN] and batch_id <= last[BATCH]:
-            return True
-        marks = self._versions(spark, "marks", StructType().add("id", "long"), last["generation"])
-        return not marks.filter((F.col(RUN) == run) & (F.col(BATCH) == batch_id)).isEmpty()
+        state = self.state_of(spark)
+        if run < state.folded[0]:
+            raise ValueError(f"Run {run} is older than run {state.folded[0]}, which the table already holds")
+        last = max(state.done.get(run, -1), state.folded[1] if run == state.folded[0] else -1)
+        return batch_id <= last
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The table as of now.
@@ -119,12 +143,12 @@ class KeyedTable:
 
         The base is sorted by key, so that files outside the range of the keys are skipped.
         """
-        wanted = distinct_keys(self._typed(incoming, self.keys), self.keys)
+        given = self._typed(incoming, self.keys)
         base, changes = self._parts(incoming.sparkSession)
-        inside = key_range(wanted, self.keys[0])
+        inside = key_range(given, self.keys[0])
         first = base.filter(inside).withColumns({RUN: F.lit(FIRST_LOAD[0]), BATCH: F.lit(FIRST_LOAD[1])})
         versions = first.unionByName(changes.filter(inside))
-        return self._latest(lookup_semi(versions, wanted, self.keys)).select(*columns)
+        return self._latest(lookup_semi(versions, given, self.keys)).select(*columns)
 
     def _latest(self, versions: DataFrame) -> DataFrame:
         rows = versions.select(*map(quoted, self.columns), *VERSION)
@@ -136,7 +160,7 @@ class KeyedTable:
         For use between two batches. The checkpoint goes on, and a replay of a folded batch
         finds itself done. The folders of earlier generations can then be removed.
         """
-        last = self._generation(spark)
-        marks = self._versions(spark, "marks", StructType().add("id", "long"), last["generation"])
-        newest = marks.agg(F.max(F.struct(*VERSION)).alias("v")).first()["v"] or (last[RUN], last[BATCH])
-        self._start(self.current(spark), last["generation"] + 1, tuple(newest))
+        table = replace(self, state=None).pinned(spark)
+        state = table.state
+        newest = max([state.folded, *state.done.items()])
+        table._start(table.current(spark), state.generation + 1, newest)

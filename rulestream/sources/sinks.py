@@ -86,13 +86,16 @@ class FolderSink:
     """Keeps each batch of each run in a folder of its own. A replayed batch replaces it.
 
     Rows are balanced before they are written: what is rejected or undecodable is
-    spread thinly over all tasks of a batch and would leave a small file in each.
+    spread thinly over all tasks of a batch and would leave a small file in each. A place
+    for a row per batch needs no balance.
     """
 
     path: str
+    balance: bool = True
 
     def write(self, df: DataFrame, batch_id: int, run: int = 0) -> None:
-        replace_folder(df.hint("rebalance"), place_of(self.path, run, batch_id))
+        rows = df.hint("rebalance") if self.balance else df
+        replace_folder(rows, place_of(self.path, run, batch_id))
 
     def claim(self, spark: SparkSession, run: int, checkpoint: str) -> None:
         claim_run(spark, self.path, run, checkpoint)

@@ -9,7 +9,7 @@ what it had written; the tables show a batch once all of it is written.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from functools import reduce
 from typing import Protocol
@@ -23,7 +23,6 @@ from pyspark.sql.types import LongType, StringType, StructType, TimestampType
 from rulestream.functions.codec import as_json, decodable, decode, split_decoded
 from rulestream.operators.audit import (
     COUNTERS,
-    LEDGER_KEY,
     batch_progress,
     ledger_changes,
     ledger_rows,
@@ -124,9 +123,11 @@ class StreamJob:
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Process one micro-batch. One that is marked as done is left alone."""
         spark = batch.sparkSession
-        tables = [t for t in (self.target, self.ledger) if isinstance(t, KeyedTable)]
+        target, ledger = (t.pinned(spark) if isinstance(t, KeyedTable) else t for t in (self.target, self.ledger))
+        tables = [t for t in (target, ledger) if isinstance(t, KeyedTable)]
         if tables and all(t.committed(spark, batch_id, self.run) for t in tables):
             return
+        job = replace(self, target=target, ledger=ledger)
         started = datetime.now(timezone.utc)
         kept: list[DataFrame] = []
 
@@ -135,7 +136,7 @@ class StreamJob:
             return kept[-1]
 
         try:
-            counts = self._run(keep(decode(batch, self.schema, self.codec)), batch_id, keep)
+            counts = job._run(keep(decode(batch, self.schema, self.codec)), batch_id, keep)
         finally:
             for df in reversed(kept):
                 df.unpersist()
@@ -177,7 +178,7 @@ class StreamJob:
             "partition string, offset bigint",
         ).coalesce(1)
         offsets = ledger_rows(last, self.topic)
-        moved = ledger_changes(self.ledger.lookup(offsets.select(*LEDGER_KEY)), offsets)
+        moved = ledger_changes(self.ledger.current(decoded.sparkSession).select(*offsets.columns), offsets)
         self.ledger.merge(moved, batch_id, self.run)
         return {
             "total": sum(p["rows"] for p in progress),
