@@ -83,7 +83,7 @@ class Encoder:
     chunks are kept between batches; once there are more than ``kept`` the store starts anew.
     """
 
-    def __init__(self, path: str, kept: int = 1_000_000) -> None:
+    def __init__(self, path: str, kept: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
