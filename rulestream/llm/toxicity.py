@@ -18,6 +18,8 @@ from rulestream.llm.common import coded_words
 #: Letters of the shortest and longest stem; a word's end counts as a letter.
 STEM = (4, 8)
 END = "$"
+#: Documents whose stems are counted together.
+SLICE = 500
 NOT_WORD = re.compile(r"\W+")
 CLAUSE_END = re.compile(r"[.!?;:][\"')\]]*$")
 
@@ -143,27 +145,34 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(value, -30, 30)))
 
 
+def stems_of(text: str | None) -> Counter:
+    """The stems of the words of a text; a word counts three times at most."""
+    stems: Counter = Counter()
+    for word, n in Counter((text or "").lower().split()).items():
+        letters = NOT_WORD.sub("", word) + END
+        for size in range(STEM[0], min(STEM[1], len(letters)) + 1):
+            stems[letters[:size]] += min(n, 3)
+    return stems
+
+
 def stem_counts(labelled: DataFrame) -> DataFrame:
     """Stems with their occurrences and documents by label; a word counts three times a document at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-            for body, label in zip(batch.column("text").to_pylist(), batch.column("_label").to_pylist(), strict=True):
-                stems: Counter = Counter()
-                for word, n in Counter((body or "").lower().split()).items():
-                    letters = NOT_WORD.sub("", word) + END
-                    for size in range(STEM[0], min(STEM[1], len(letters)) + 1):
-                        stems[letters[:size]] += min(n, 3)
-                for stem, n in stems.items():
-                    row = found[stem]
-                    row[label] += n
-                    row[2 + label] += 1
-            rows = [[stem, *row] for stem, row in found.items()]
-            yield pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True)) for row in rows], schema=schema)
+            for begin in range(0, len(batch), SLICE):
+                part = batch.slice(begin, SLICE)
+                found: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+                for body, label in zip(part.column("text").to_pylist(), part.column("_label").to_pylist(), strict=True):
+                    for stem, n in stems_of(body).items():
+                        row = found[stem]
+                        row[label] += n
+                        row[2 + label] += 1
+                columns = zip(*found.values(), strict=True) if found else [()] * 4
+                arrays = [pa.array(list(found), type=pa.string()), *(pa.array(c, type=pa.int64()) for c in columns)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     names = ("stem", "clean", "toxic", "clean_docs", "toxic_docs")
-    schema = pa.schema([("stem", pa.string()), *((name, pa.int64()) for name in names[1:])])
     ddl = "stem STRING, clean BIGINT, toxic BIGINT, clean_docs BIGINT, toxic_docs BIGINT"
     counted = labelled.mapInArrow(count, ddl)
     return counted.groupBy("stem").agg(*(F.sum(name).alias(name) for name in names[1:]))
