@@ -24,6 +24,8 @@ from rulestream.operators.validate import (
 )
 from rulestream.plans.spec import RuleKind, RuleSet, ValidationRule, ValidationStage
 
+# The number patterns in the SQL of this module.
+
 # Number texts of many shapes, made from the number in the event properties.
 RAW_SQL = r"""
 raw AS (

@@ -60,7 +60,8 @@ class ValidationStage(Enum):
     BOTH = "both"
 
 
-# Marks of the specification tables.
+# Marks of the specification tables, with the names of their columns below. The texts of the
+# errors about missing, repeated or unknown entries are fixed values too.
 VALIDATION_KEY = "validation_key"
 PASSTHROUGH = "passthrough"
 PROCESS_NAME = "stream_process_name"

@@ -81,11 +81,6 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**given).load()
 
 
-def read_query(spark: SparkSession, query: str) -> DataFrame:
-    """A query over the catalog."""
-    return spark.sql(query)
-
-
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str, options: Options | None = None
 ) -> DataFrame:

@@ -27,6 +27,7 @@ from rulestream.operators.audit import (
     ledger_changes,
     ledger_rows,
     merge_ledger,
+    read_starting_offsets,
     stats_rows,
 )
 from rulestream.operators.transform import TableReader, read_catalog_table
@@ -39,6 +40,7 @@ from rulestream.operators.validate import (
 from rulestream.plans.pipeline import BatchResult, process_batch
 from rulestream.plans.spec import PipelineSpec, ValidationStage, check_date_patterns
 from rulestream.sources.keyed_table import KeyedTable
+from rulestream.sources.readers import read_topic
 from rulestream.sources.sinks import FolderSink, dead_letters
 
 LEDGER_SCHEMA = (
@@ -120,6 +122,17 @@ class StreamJob:
         writer = writer.option("checkpointLocation", checkpoint)
         return (writer.trigger(**trigger) if trigger else writer).start()
 
+    def topic_source(
+        self, spark: SparkSession, servers: str, options: Mapping[str, str] | None = None
+    ) -> DataFrame:
+        """The job's Kafka topic, from where the ledger says; from its beginning if the ledger does not know it."""
+        try:
+            position = read_starting_offsets(self.offsets(spark), self.topic)
+        except LookupError:
+            position = "earliest"
+        columns = read_topic(spark, servers, self.topic, position, options)
+        return columns.select("partition", "offset", "value")
+
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Process one micro-batch. One that is marked as done is left alone."""
         spark = batch.sparkSession

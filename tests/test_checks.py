@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rulestream.functions.checks import is_date, is_enum, is_float, is_integer, is_mandatory
 
 # The formats as they are documented, without the tuning of the library's patterns.
+# The documented number formats.
 PLAIN_INTEGER = re.compile(r"^\s*[-+]?\d*\s*$", re.ASCII)
 PLAIN_FLOAT = re.compile(r"[-+]?\d*\.\d+(?:[eE][-+]?\d+)?", re.ASCII)
 

@@ -134,11 +134,6 @@ def test_csv_with_a_header(spark, folder):
     assert sorted(back.collect()) == sorted(df.collect())
 
 
-def test_catalog_query(spark):
-    spark.range(3).createOrReplaceTempView("three")
-    assert readers.read_query(spark, "SELECT max(id) AS m FROM three").first().m == 2
-
-
 def test_stream_reader(spark, folder):
     spark.range(5).write.parquet(f"{folder}/in")
     stream = readers.read_stream(

@@ -167,3 +167,26 @@ def test_whole_specification_from_csv_tables(spark, folder):
     assert made.normalised_view == "v1"
     assert made.pre_rules.key == ("k1", "k2")
     assert made.steps_of(s.Stage.TRANSFORM) == []
+    assert (made.batch_view, made.strict_casts) == ("stream_df", False)
+    whole = s.pipeline_from_rows(
+        "demo",
+        "t1",
+        rows,
+        [source_row()],
+        [mapping_row(1, "a")],
+        RULE_ROWS,
+        batch_view="global_temp.stream_df",
+        strict_casts=True,
+        strict_rules=True,
+    )
+    assert (whole.batch_view, whole.strict_casts) == ("global_temp.stream_df", True)
+    assert all(rule.strict for rule in whole.pre_rules.rules)
+
+
+def test_an_empty_rule_and_a_step_without_its_order_are_refused():
+    with pytest.raises(ValueError, match="no transformation rule"):
+        s.mappings_from_rows([{**mapping_row(1, "a"), "transformation_rule": None}], "t1")
+    with pytest.raises(ValueError, match="latest step needs"):
+        s.SqlStep(1, "flat", "latest", s.StepKind.LATEST)
+    with pytest.raises(ValueError, match="latest step needs"):
+        s.SqlStep(1, "SELECT 1", "x", latest=s.Latest(("k",), ("o",)))

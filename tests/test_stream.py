@@ -441,3 +441,18 @@ def test_stats_rows_of_batches_that_read_something(spark, folder):
     job.run_batch(spark.createDataFrame([], TOPIC), 1)
     rows = job.stats.read(spark, "workflow string, topic_name string, json_data string").collect()
     assert [(r.workflow, r.topic_name, json.loads(r.json_data)["topic_count"]) for r in rows] == [("w", "t", 4)]
+
+
+def test_a_topic_is_read_from_where_the_ledger_says(spark, folder, monkeypatch):
+    asked = []
+    frame = spark.createDataFrame([], TOPIC)
+    monkeypatch.setattr("rulestream.streaming.runner.read_topic", lambda *given: asked.append(given[1:]) or frame)
+    job = make_job(spark, folder)
+    job.topic_source(spark, "host:1")
+    put_file(spark, folder, 0, FILES[0])
+    job.run_batch(spark.read.schema(TOPIC).parquet(f"{folder}/topic"), 0)
+    source = job.topic_source(spark, "host:1", {"minPartitions": "8"})
+    assert source.columns == ["partition", "offset", "value"]
+    assert asked[0] == ("host:1", "t", "earliest", None)
+    assert asked[1][:2] == ("host:1", "t") and asked[1][3] == {"minPartitions": "8"}
+    assert json.loads(asked[1][2]) == {"t": {"0": 3, "1": 4}}
