@@ -11,9 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.avro.functions import from_avro, to_avro
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 PERMISSIVE = {"mode": "PERMISSIVE"}
+#: Holds the text of a record of which a field does not fit its type.
+FAULTY = "_faulty"
 WHOLE = {
     "ignoreNullFields": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -34,16 +36,17 @@ def _decoded(value: Column, schema: StructType | str, codec: str) -> Column:
     """The payload as the only element of an array."""
     if codec == "json":
         kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        marked = StructType([*kind.fields, StructField(FAULTY, StringType())])
         text = value.cast("string")
-        # as text, in an array that nothing else may be in
-        written = F.from_json(F.concat(F.lit("["), text, F.lit("]")), ArrayType(_as_text(kind)), PERMISSIVE)
         parsed = F.struct(
-            F.from_json(text, kind, PERMISSIVE).alias("record"), written.alias("written"), text.alias("text")
+            F.from_json(text, marked, {**PERMISSIVE, "columnNameOfCorruptRecord": FAULTY}).alias("record"),
+            # the parser stops at the end of the record; text after it would make an array of one a bad one
+            F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).alias("records"),
         )
 
         def checked(x: Column) -> Column:
-            whole = (F.size(x["written"]) == 1) & ~_faulty(x["record"], F.get(x["written"], 0), x["text"], kind, "$")
-            return F.when(F.coalesce(whole, F.lit(False)), x["record"])
+            whole = x["record"][FAULTY].isNull() & (x["records"] == 1)
+            return F.when(whole, x["record"].dropFields(FAULTY))
 
         return F.transform(F.array(parsed), checked)
     if codec == "avro":
@@ -53,26 +56,6 @@ def _decoded(value: Column, schema: StructType | str, codec: str) -> Column:
     raise ValueError(f"Unknown codec: {codec}")
 
 
-def _as_text(kind: StructType) -> StructType:
-    """The same structs with text for all other values."""
-    fields = ((f.name, _as_text(f.dataType) if isinstance(f.dataType, StructType) else StringType()) for f in kind.fields)
-    return StructType([StructField(name, part) for name, part in fields])
-
-
-def _faulty(record: Column, written: Column, text: Column, kind: StructType, path: str) -> Column:
-    """Whether a field of the record is null although the text has a value for it."""
-    faults = F.lit(False)
-    for field in kind.fields:
-        place = f"{path}['{field.name}']"
-        part, own = record.getField(field.name), written.getField(field.name)
-        if isinstance(field.dataType, StructType):
-            missing = F.get_json_object(text, place).isNotNull()
-            faults |= F.when(part.isNull(), missing).otherwise(_faulty(part, own, text, field.dataType, place))
-        else:
-            faults |= own.isNotNull() & part.isNull()
-    return faults
-
-
 def decodable(required: str) -> Column:
     """Whether a decoded message has the ``required`` sub-struct, with a value in it."""
     body = F.col(f"data.{required}")
