@@ -7,11 +7,13 @@ path; its columns are built the same way.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.avro.functions import from_avro, to_avro
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 PERMISSIVE = {"mode": "PERMISSIVE"}
 #: Holds the text of a record of which a field does not fit its type.
@@ -29,37 +31,31 @@ def decode_payload(value: Column, schema: StructType | str, codec: str = "json")
     That holds for values that do not fit their type or overflow it, and for text around the
     record. Fields that the schema does not know are ignored; those that are missing are null.
     """
-    return F.get(_decoded(value, schema, codec), 0)
-
-
-def _decoded(value: Column, schema: StructType | str, codec: str) -> Column:
-    """The payload as the only element of an array."""
     if codec == "json":
-        kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-        marked = StructType([*kind.fields, StructField(FAULTY, StringType())])
-        text = value.cast("string")
-        parsed = F.struct(
-            F.from_json(text, marked, {**PERMISSIVE, "columnNameOfCorruptRecord": FAULTY}).alias("record"),
-            # the parser stops at the end of the record; text after it would make an array of one a bad one
-            F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).alias("records"),
-        )
-
-        def checked(x: Column) -> Column:
-            whole = x["record"][FAULTY].isNull() & (x["records"] == 1)
-            return F.when(whole, x["record"].dropFields(FAULTY))
-
-        return F.transform(F.array(parsed), checked)
+        return F.get(F.transform(F.array(_parsed(value, schema)), _whole), 0)
     if codec == "avro":
         if isinstance(schema, StructType):
             raise ValueError("The avro codec takes an Avro schema in JSON text")
-        return F.array(from_avro(value, schema, PERMISSIVE))
+        return from_avro(value, schema, PERMISSIVE)
     raise ValueError(f"Unknown codec: {codec}")
 
 
-def decodable(required: str) -> Column:
-    """Whether a decoded message has the ``required`` sub-struct, with a value in it."""
-    body = F.col(f"data.{required}")
-    return F.coalesce(F.to_json(body) != "{}", F.lit(False))
+def _parsed(value: Column, schema: StructType | str) -> Column:
+    """The record with the text of one that has a fault, and how many records the text is."""
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    marked = StructType([*kind.fields, StructField(FAULTY, StringType())])
+    text = value.cast("string")
+    return F.struct(
+        F.from_json(text, marked, {**PERMISSIVE, "columnNameOfCorruptRecord": FAULTY}).alias("record"),
+        # the parser stops at the end of the record; text after it would make an array of one a bad one
+        F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).alias("records"),
+    )
+
+
+def _whole(parsed: Column) -> Column:
+    """The record if nothing is wrong with it."""
+    whole = parsed["record"][FAULTY].isNull() & (parsed["records"] == 1)
+    return F.when(whole, parsed["record"].dropFields(FAULTY))
 
 
 def decode(df: DataFrame, schema: StructType | str, codec: str = "json") -> DataFrame:
@@ -68,13 +64,28 @@ def decode(df: DataFrame, schema: StructType | str, codec: str = "json") -> Data
     Every payload is decoded once. A filter on a plain projection would be moved below
     it, with the decoding copied into the filter; it is not moved below an explode.
     """
-    payload = _decoded(F.col("value"), schema, codec)
-    return df.select("partition", "offset", "value", F.explode(payload).alias("data"))
+    value, rest = F.col("value"), ("partition", "offset", "value")
+    if codec == "json":
+        rows = df.select(*rest, F.explode(F.array(_parsed(value, schema))).alias("_parsed"))
+        return rows.select(*rest, _whole(F.col("_parsed")).alias("data"))
+    return df.select(*rest, F.explode(F.array(decode_payload(value, schema, codec))).alias("data"))
+
+
+def decodable(df: DataFrame, required: str) -> Column:
+    """Whether a decoded message has the ``required`` sub-struct, with a value in it."""
+
+    def some_value(kind: DataType, path: str) -> Column:
+        if not isinstance(kind, StructType):
+            return F.col(path).isNotNull()
+        return reduce(or_, (some_value(f.dataType, f"{path}.`{f.name}`") for f in kind.fields), F.lit(False))
+
+    data = df.schema["data"].dataType
+    return some_value(data[required].dataType, f"data.`{required}`")
 
 
 def split_decoded(df: DataFrame, required: str) -> tuple[DataFrame, DataFrame]:
     """Decodable and undecodable rows, told apart by the ``required`` sub-struct."""
-    whole = decodable(required)
+    whole = decodable(df, required)
     return df.filter(whole), df.filter(~whole)
 
 

@@ -169,7 +169,7 @@ class StreamJob:
         """All outputs of a batch. Each stage is evaluated once: all that reads it reads what was kept."""
         valid, invalid = split_decoded(decoded, self.required)
         # one entry per partition of the topic
-        progress = batch_progress(decoded, ~decodable(self.required)).collect()
+        progress = batch_progress(decoded, ~decodable(decoded, self.required)).collect()
         undecodable = sum(p["undecodable"] for p in progress)
         if undecodable:
             self.dead_letters.write(dead_letters(invalid), batch_id, self.run)
