@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
@@ -198,15 +199,20 @@ class Encoder:
         ends = np.cumsum(counts)
         return sums[ends] - sums[ends - counts]
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all whole texts in one array, and how many each text has."""
+    def encode(self, texts: pa.Array, rows: int = 1_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For ``rows`` whole texts after the other: the first, the ids of all in one array, and how many each has."""
         flat, counts = self.numbers(texts)
-        starts, sizes = self.starts[flat], np.diff(self.starts)[flat]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)]
-        sums, last = np.r_[0, ends], np.cumsum(counts)
-        return ids, sums[last] - sums[last - counts]
+        sizes = np.diff(self.starts)
+        last = np.cumsum(counts)
+        for first in range(0, len(counts), rows):
+            own = counts[first : first + rows]
+            begin = last[first] - counts[first]
+            chunks = flat[begin : begin + own.sum()]
+            ends = np.cumsum(sizes[chunks])
+            total = int(ends[-1]) if len(ends) else 0
+            shift = np.repeat(self.starts[chunks] - (ends - sizes[chunks]), sizes[chunks])
+            sums, stops = np.r_[0, ends], np.cumsum(own)
+            yield first, self.ids[shift + np.arange(total)], sums[stops] - sums[stops - own]
 
 
 _encoders: dict[str, Encoder] = {}

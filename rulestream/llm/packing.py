@@ -27,31 +27,32 @@ def cut_pieces(docs: DataFrame, vocabulary: str, limit: int, *, key: str = "doc_
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         for batch in batches:
-            ids, counts = encode.encode(pc.cast(batch.column(text), pa.large_string()))
-            lengths = counts + 1
-            ends = np.cumsum(lengths)
-            all_ids = np.zeros(int(lengths.sum()), dtype="<u4")
-            inner = np.ones(len(all_ids), dtype=bool)
-            inner[ends - 1] = False
-            all_ids[inner] = ids
-            pieces = -(-lengths // limit)
-            owner = np.repeat(np.arange(len(lengths)), pieces)
-            piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            start = piece * limit
-            size = np.minimum(limit, lengths[owner] - start)
-            at = ((ends - lengths)[owner] + start) * 4
-            raw = memoryview(all_ids).cast("B")
-            crcs = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + size * 4).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(key).take(pa.array(owner)),
-                    pa.array(piece.astype(np.int32)),
-                    pa.array(start),
-                    pa.array(size),
-                    pa.array(crcs, type=pa.int64()),
-                ],
-                names=[key, "piece", "start", "length", "ids_crc32"],
-            )
+            keys = batch.column(key)
+            for first, ids, counts in encode.encode(pc.cast(batch.column(text), pa.large_string())):
+                lengths = counts + 1
+                ends = np.cumsum(lengths)
+                all_ids = np.zeros(int(ends[-1]), dtype="<u4")
+                inner = np.ones(len(all_ids), dtype=bool)
+                inner[ends - 1] = False
+                all_ids[inner] = ids
+                pieces = -(-lengths // limit)
+                owner = np.repeat(np.arange(len(lengths)), pieces)
+                piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * limit
+                size = np.minimum(limit, lengths[owner] - start)
+                at = ((ends - lengths)[owner] + start) * 4
+                raw = memoryview(all_ids).cast("B")
+                crcs = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + size * 4).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        keys.take(pa.array(first + owner)),
+                        pa.array(piece.astype(np.int32)),
+                        pa.array(start),
+                        pa.array(size),
+                        pa.array(crcs, type=pa.int64()),
+                    ],
+                    names=[key, "piece", "start", "length", "ids_crc32"],
+                )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(cut, f"`{key}` {kind}, {PIECE}")

@@ -30,10 +30,13 @@ def encoder():
 
 
 def encoded(encoder, rows):
-    ids, counts = encoder.encode(pa.array(rows, type=pa.large_string()))
-    assert encoder.count(pa.array(rows, type=pa.large_string())).tolist() == counts.tolist()
-    ends = np.cumsum(counts)
-    return [ids[b - n : b].tolist() for b, n in zip(ends, counts, strict=True)]
+    out, texts = [], pa.array(rows, type=pa.large_string())
+    for first, ids, counts in encoder.encode(texts, rows=7):
+        assert first == len(out)
+        ends = np.cumsum(counts)
+        out += [ids[b - n : b].tolist() for b, n in zip(ends, counts, strict=True)]
+    assert encoder.count(texts).tolist() == list(map(len, out))
+    return out
 
 
 def test_ids_of_odd_texts_and_of_every_character(encoder, library):
