@@ -18,8 +18,8 @@ from rulestream.llm.common import coded_words
 #: Letters of the shortest and longest stem; a word's end counts as a letter.
 STEM = (4, 8)
 END = "$"
-#: Documents whose stems are counted together.
-SLICE = 500
+#: Documents whose stems are counted together, and those that are read together.
+SLICE, ROWS = 500, 2_500
 NOT_WORD = re.compile(r"\W+")
 CLAUSE_END = re.compile(r"[.!?;:][\"')\]]*$")
 
@@ -126,6 +126,8 @@ class Model:
 
     def features(self, texts: pa.Array) -> np.ndarray:
         """Rows (1, log of strength, log of strength per hundred words)."""
+        if len(texts) > ROWS:
+            return np.concatenate([self.features(texts.slice(i, ROWS)) for i in range(0, len(texts), ROWS)])
         distinct, codes, counts = coded_words(texts)
         read = [self.read(word) for word in distinct]
         symbols = np.array([symbol for symbol, _ in read], dtype=object)
