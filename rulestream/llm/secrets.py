@@ -40,8 +40,17 @@ def base_spans(text: str) -> list[tuple[int, int, int, int, int]]:
     return sorted(spans)
 
 
-def looks_live(value: str) -> bool:
-    """Whether a value looks random: long enough, with letters and digits of high entropy, no placeholder."""
+def looks_live(value: str, kind: str = "hex") -> bool:
+    """Whether a value of a kind may be in use.
+
+    An access key is, unless it is an example or a mask. So is an assigned value, unless it is a placeholder or a mask;
+    passwords need neither digits nor letters. A bare value has to look random: long enough, with letters and digits of
+    high entropy, no placeholder.
+    """
+    if kind == "access":
+        return "EXAMPLE" not in value and len(set(value[4:])) > 1
+    if kind == "assign":
+        return not PLACEHOLDER.search(value) and len({c for c in value if c.isalnum()}) > 1
     if len(value) < 8 or not re.search(r"\d", value) or not re.search(r"[A-Za-z]", value) or PLACEHOLDER.search(value):
         return False
     shares = [n / len(value) for n in Counter(value).values()]
@@ -67,33 +76,38 @@ def candidates(docs: DataFrame, key: str, text: str, owner: str, repository: str
                 values = [body[s[3] : s[4]] for s in spans]
                 rows.append(
                     [
-                        dict(zip(names, (*span, hashlib.sha256(v.encode()).hexdigest(), looks_live(v)), strict=True))
+                        dict(zip(names, (*span, hashlib.sha256(v.encode()).hexdigest(), looks_live(v, KINDS[span[1]])), strict=True))
                         for span, v in zip(spans, values, strict=True)
                     ]
                 )
-            rest = [batch.column(c) for c in ("_key", "_row", "_owner", "_repository")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(rows, type=kind)], names=["_key", "_row", "_owner", "_repository", "_found"])
+            rest = [batch.column(c) for c in passed]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(rows, type=kind)], names=[*passed, "_found"])
 
+    passed = ("_key", "_row", "_body", "_owner", "_repository")
     names = ("start", "rank", "end", "value_start", "value_end", "value", "live")
     types = (*[pa.int32()] * 5, pa.string(), pa.bool_())
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(
         F.col(key).alias("_key"),
         row_hash(key, text).alias("_row"),
+        F.xxhash64(text).alias("_body"),
         F.col(owner).cast("string").alias("_owner"),
         F.col(repository).cast("string").alias("_repository"),
         F.col(text).alias("_text"),
-    ).mapInArrow(search, f"_key {kind}, _row BIGINT, _owner STRING, _repository STRING, _found {FOUND}")
+    ).mapInArrow(search, f"_key {kind}, _row BIGINT, _body BIGINT, _owner STRING, _repository STRING, _found {FOUND}")
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Distinct repositories and owners of each value over the whole corpus: value, owners, repositories.
+    """Distinct repositories and owners of each value over the whole corpus: value, owners, repositories, uses.
 
-    Each step combines before its shuffle, so a value that a third of all rows have moves as one
-    row per task and owner. A null owner or repository counts as one of its own.
+    Copies of one text count for its first owner and repository only, so that copying a document makes
+    none of its values an example. Each step combines before its shuffle, and the first spreads a value that a third of all
+    rows have by their texts. A null owner or repository counts as one of its own.
     """
-    uses = found.select(F.explode("_found.value").alias("value"), "_owner", "_repository")
-    by_repository = uses.groupBy("value", "_owner", "_repository").agg(F.count("*").alias("uses"))
+    uses = found.select(F.explode("_found.value").alias("value"), "_body", F.struct("_owner", "_repository").alias("_place"))
+    by_text = uses.groupBy("value", "_body").agg(F.min("_place").alias("_place"), F.count("*").alias("uses"))
+    places = by_text.select("value", "_place.*", "uses")
+    by_repository = places.groupBy("value", "_owner", "_repository").agg(F.sum("uses").alias("uses"))
     by_owner = by_repository.groupBy("value", "_owner").agg(F.count("*").alias("repositories"), F.sum("uses").alias("uses"))
     return by_owner.groupBy("value").agg(
         F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("uses").alias("uses")
@@ -113,8 +127,8 @@ def secret_spans(
 
     ``base`` holds the spans of the fixed patterns, sorted by start and kind: kind, start, end, value_start,
     value_end, value (SHA-256), live. ``added`` holds, for the value of each base span, a span of kind
-    ``copied`` if at least ``copied`` distinct owners have the value, or ``owned`` if fewer have
-    it and it looks live, with the numbers of owners, repositories and uses in the corpus. Positions are
+    ``copied`` if at least ``copied`` distinct owners have the value in texts of their own, or ``owned`` if fewer have
+    it and it looks live for its kind, with the numbers of owners, repositories and uses in the corpus. Positions are
     code points, ends exclusive. Null and empty texts have no spans. Repeated rows give equal rows.
     """
     found = kept(candidates(docs, key, text, owner, repository), "candidates")
