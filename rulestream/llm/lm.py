@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulestream.llm.common import coded_words
+from rulestream.llm.common import coded_words, kept, literal_rows
 
 #: Words to the left and right from which a word is predicted.
 REACH = (-2, -1, 1, 2)
-#: Classes of the output and words in each: a word's probability is that of its class times that within it.
-CLASSES, MEMBERS = 32, 32
-SIZE = CLASSES * MEMBERS
-#: Numbers of words outside the vocabulary, by the letters they end with. Number 0 is the edge of a text.
-ENDINGS = 128
+#: Least classes of the output, with as many numbers in each: a number has the chance of its class times that within it.
+CLASSES = 32
+SIZE = CLASSES * CLASSES
 WIDTH = 16
 #: Words that are scored together.
 BATCH = 8192
@@ -36,22 +36,25 @@ class Network:
     by_word: np.ndarray
     word_bias: np.ndarray
 
-    SHAPES = (
-        (len(REACH), SIZE, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,), (CLASSES, WIDTH, MEMBERS), (CLASSES, MEMBERS),
-    )
+    @staticmethod
+    def shapes(side: int) -> tuple[tuple[int, ...], ...]:
+        """Shapes of the parts with so many classes of as many numbers."""
+        return (len(REACH), side * side, WIDTH), (WIDTH,), (WIDTH, side), (side,), (side, WIDTH, side), (side, side)
 
     @classmethod
     def of(cls, flat: np.ndarray) -> Network:
+        a, b = (len(REACH) + 1) * WIDTH + 1, WIDTH + 1  # a * side ** 2 + b * side + WIDTH weights
+        side = round((math.sqrt(b * b + 4 * a * (len(flat) - WIDTH)) - b) / (2 * a))
         parts, at = [], 0
-        for shape in cls.SHAPES:
+        for shape in cls.shapes(side):
             size = int(np.prod(shape))
             parts.append(np.array(flat[at : at + size], dtype=np.float32).reshape(shape))
             at += size
         return cls(*parts)
 
     @classmethod
-    def fresh(cls, seed: int = 7) -> Network:
-        total = sum(int(np.prod(shape)) for shape in cls.SHAPES)
+    def fresh(cls, seed: int = 7, side: int = CLASSES) -> Network:
+        total = sum(int(np.prod(shape)) for shape in cls.shapes(side))
         return cls.of(np.random.default_rng(seed).normal(0, 0.1, total))
 
     @property
@@ -76,7 +79,9 @@ class Network:
 
     def log_chances(self, around: np.ndarray, target: np.ndarray, grads: list[np.ndarray] | None = None) -> np.ndarray:
         """The log-probability of each target; also the summed gradients of their negative, if asked for."""
-        kind, member = np.divmod(target.astype(np.int64), MEMBERS)
+        side = len(self.class_bias)
+        size = side * side
+        kind, member = np.divmod(target.astype(np.int64), side)
         hidden = self.forward(around)
         chance, logs = self._softmax(hidden @ self.by_class + self.class_bias, kind)
         logs = logs.astype(np.float64)
@@ -86,7 +91,7 @@ class Network:
             grads[2] += hidden.T @ chance
             grads[3] += chance.sum(axis=0)
         order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        bounds = np.searchsorted(kind[order], np.arange(side + 1))
         for c in np.flatnonzero(np.diff(bounds)):
             own = order[bounds[c] : bounds[c + 1]]
             chance, within = self._softmax(hidden[own] @ self.by_word[c] + self.word_bias[c], member[own])
@@ -102,32 +107,58 @@ class Network:
             places = np.arange(WIDTH)
             for place in range(len(REACH)):
                 at = (around[:, place].astype(np.int64)[:, None] * WIDTH + places).ravel()
-                grads[0][place] += np.bincount(at, back.ravel(), SIZE * WIDTH).reshape(SIZE, WIDTH)
+                grads[0][place] += np.bincount(at, back.ravel(), size * WIDTH).reshape(size, WIDTH)
         return logs
 
 
-def number_of(word: str, vocabulary: dict[str, int]) -> int:
+def endings_of(size: int) -> int:
+    """Numbers of words outside the vocabulary, by the letters they end with. Number 0 is the edge of a text."""
+    return size // 8
+
+
+def room(side: int) -> int:
+    """Words that have a number of their own."""
+    return side * side - 1 - endings_of(side * side)
+
+
+def side_for(vocabulary: dict[str, int]) -> int:
+    """Classes of the smallest network that has room for the vocabulary."""
+    side = CLASSES
+    while room(side) < len(vocabulary):
+        side += 1
+    return side
+
+
+def number_of(word: str, vocabulary: dict[str, int], size: int = SIZE) -> int:
     found = vocabulary.get(word)
-    return SIZE - 1 - zlib.crc32(word[-3:].encode()) % ENDINGS if found is None else found
+    return size - 1 - zlib.crc32(word[-3:].encode()) % endings_of(size) if found is None else found
 
 
 def windows(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The words of whole texts as numbers, those around each word, and the words per text."""
-    distinct, codes, counts = coded_words(texts)
-    numbers = np.fromiter((number_of(w.lower(), vocabulary) for w in distinct), dtype=np.int16, count=len(distinct))
+    return coded_windows(*coded_words(texts), vocabulary)[1:]
+
+
+def coded_windows(
+    distinct: list[str], codes: np.ndarray, counts: np.ndarray, vocabulary: dict[str, int]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers of the distinct words, then the windows of the texts that are coded by them."""
+    size = side_for(vocabulary) ** 2
+    kind = np.int16 if size <= 2**15 else np.int32
+    numbers = np.fromiter((number_of(w.lower(), vocabulary, size) for w in distinct), dtype=kind, count=len(distinct))
     target = numbers[codes]
     ends = np.cumsum(counts)
     first, last = np.repeat(ends - counts, counts), np.repeat(ends, counts)
     at = np.arange(len(target))
-    around = np.zeros((len(target), len(REACH)), dtype=np.int16)
+    around = np.zeros((len(target), len(REACH)), dtype=kind)
     for place, step in enumerate(REACH):
         inside = (at + step >= first) & (at + step < last)
         around[inside, place] = target[at[inside] + step]
-    return target, around, counts
+    return numbers, target, around, counts
 
 
-def vocabulary_of(docs: DataFrame, text: str) -> dict[str, int]:
-    """Numbers of the most frequent words, by counts over all texts; the others share numbers by their endings."""
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """All distinct words, in lower case, with their counts over all texts: word, n. Written out once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,7 +168,17 @@ def vocabulary_of(docs: DataFrame, text: str) -> dict[str, int]:
             yield pa.RecordBatch.from_arrays([words, pa.array(counts)], names=["word", "n"])
 
     counted = docs.select(text).mapInArrow(count, "word STRING, n BIGINT").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(SIZE - 1 - ENDINGS).collect()
+    return kept(counted.where("n > 0"), "word-counts")  # the empty word before and after white space counts none
+
+
+def vocabulary_of(docs: DataFrame, text: str, counted: DataFrame | None = None) -> dict[str, int]:
+    """Numbers of the most frequent words, by counts over all texts; the others share numbers by their endings.
+
+    The numbers grow with the square root of the distinct words.
+    """
+    counted = word_counts(docs, text) if counted is None else counted
+    side = max(CLASSES, math.ceil(math.sqrt(2) * counted.count() ** 0.25))
+    top = counted.orderBy(F.desc("n"), "word").limit(room(side)).collect()
     return {row["word"]: number for number, row in enumerate(top, start=1)}
 
 
@@ -149,7 +190,7 @@ def trained(
     In each round every task learns from its documents of that part, from the same start, and what the tasks have learned
     is averaged by words. The sums run in Spark, one row per weight and task; only the averages reach the driver.
     """
-    network = Network.fresh()
+    network = Network.fresh(side=side_for(vocabulary))
     names = "at INT, weighted DOUBLE, words BIGINT"
     for number in range(rounds):
         start = docs.sparkSession.sparkContext.broadcast((network.flat(), vocabulary))
@@ -185,27 +226,91 @@ def trained(
     return network
 
 
-def with_pseudo_likelihood(docs: DataFrame, network: Network, vocabulary: dict[str, int], *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def with_shares(words: DataFrame, counted: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """Words outside the vocabulary with ``share``, the log-probability of each among the words of its number.
+
+    A word that is not among the counted ones counts as one more of its number.
+    """
+
+    def number(word: Column) -> Column:
+        return F.crc32(F.right(word, F.lit(3)).cast("binary")) % endings_of(side_for(vocabulary) ** 2)
+
+    known = literal_rows(counted.sparkSession, [{"word": word} for word in vocabulary], "word STRING")
+    rest = counted.join(F.broadcast(known), "word", "left_anti")
+    totals = rest.groupBy(number(F.col("word")).alias("_number")).agg(F.sum("n").alias("_total"))
+    own = words.join(rest, "word", "left").withColumn("_number", number(F.col("word"))).join(F.broadcast(totals), "_number", "left")
+    new = F.coalesce("_total", F.lit(0)) + 1
+    share = F.when(F.col("n").isNull(), -F.log(new.cast("double"))).otherwise(F.log(F.col("n") / F.col("_total")))
+    return own.select(*words.columns, share.alias("share"))
+
+
+def with_pseudo_likelihood(
+    docs: DataFrame,
+    network: Network,
+    vocabulary: dict[str, int],
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Key, n_words, log_likelihood and mean_log_chance of every whole text.
 
-    Every word is predicted from up to two words on either side; the log-probabilities are summed. A null or empty
-    text has no words, a log_likelihood of 0 and no mean. Rows are independent; other columns are left out.
+    Every word is predicted from up to two words on either side; the log-probabilities are summed. That of a word outside
+    the vocabulary is that of its number plus that of the word within its number, by the counts of all words (``counted``,
+    those of the texts themselves where it is left out). A null or empty text has no words, a log_likelihood of 0 and no
+    mean. Other columns are left out.
+
+    The words outside the vocabulary are looked up once per batch of texts: a batch is one ``_part``, its first row holds
+    its distinct ones, and every row holds the places of its own among them.
     """
+    counted = word_counts(docs, text) if counted is None else counted
     shared = docs.sparkSession.sparkContext.broadcast((network.flat(), vocabulary))
     kind = docs.schema[key].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, known = shared.value
         own = Network.of(flat)
-        for batch in batches:
-            target, around, counts = windows(batch.column(text), known)
+        size = side_for(known) ** 2
+        for number, batch in enumerate(batches):
+            if not len(batch):
+                continue
+            distinct, codes, counts = coded_words(batch.column("_text"))
+            numbers, target, around, _ = coded_windows(distinct, codes, counts, known)
             logs = [own.log_chances(around[i : i + BATCH], target[i : i + BATCH]) for i in range(0, len(target), BATCH)]
             sums = np.r_[0.0, np.cumsum(np.concatenate(logs))] if logs else np.zeros(1)
             ends = np.cumsum(counts)
-            total = sums[ends] - sums[ends - counts]
-            mean = pa.array(total / np.maximum(counts, 1), mask=counts == 0)
-            columns = [batch.column(key), pa.array(counts.astype(np.int64)), pa.array(total), mean]
-            yield pa.RecordBatch.from_arrays(columns, names=[key, "n_words", "log_likelihood", "mean_log_chance"])
-
+            outside = numbers >= size - endings_of(size)
+            place = (np.cumsum(outside) - 1).astype(np.int32)
+            rare = outside[codes]
+            bounds = np.r_[0, np.cumsum(rare)][np.r_[0, ends]].astype(np.int32)
+            words = [[distinct[i].lower() for i in np.flatnonzero(outside)], *[None] * (len(batch) - 1)]
+            columns = [
+                pa.array(np.full(len(batch), TaskContext.get().partitionId() * 2**32 + number)),
+                batch.column("_key"),
+                pa.array(counts.astype(np.int64)),
+                pa.array(sums[ends] - sums[ends - counts]),
+                pa.ListArray.from_arrays(pa.array(bounds), pa.array(place[codes[rare]])),
+                pa.array(words, type=pa.list_(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["_part", "_key", "n_words", "log_likelihood", "_places", "_words"])
+
+    def add(rows: pa.Table, found: pa.Table) -> pa.Table:
+        shares = np.zeros(len(found))
+        shares[found["_at"].to_numpy()] = found["share"].to_numpy()
+        sums = [np.zeros(0)]
+        for chunk in rows["_places"].chunks:
+            at = np.r_[0, np.cumsum(np.diff(chunk.offsets.to_numpy()))]
+            added = np.r_[0.0, np.cumsum(shares[chunk.flatten().to_numpy()])]
+            sums.append(added[at[1:]] - added[at[:-1]])
+        counts = rows["n_words"].to_numpy()
+        total = rows["log_likelihood"].to_numpy() + np.concatenate(sums)
+        mean = pa.array(total / np.maximum(counts, 1), mask=counts == 0)
+        return pa.table([rows["_key"], rows["n_words"], pa.array(total), mean], names=[key, "n_words", "log_likelihood", "mean_log_chance"])
+
+    parts = f"_part BIGINT, _key {kind}, n_words BIGINT, log_likelihood DOUBLE, _places ARRAY<INT>, _words ARRAY<STRING>"
+    scored = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(score, parts)
+    scored = kept(scored, "scored")
+    words = scored.where("_words IS NOT NULL").select("_part", F.posexplode("_words").alias("_at", "word"))
+    found = with_shares(words, counted, vocabulary).select(F.col("_part").alias("_of"), "_at", "share")
     schema = f"`{key}` {kind}, n_words BIGINT, log_likelihood DOUBLE, mean_log_chance DOUBLE"
-    return docs.select(key, text).mapInArrow(score, schema)
+    return scored.drop("_words").groupBy("_part").cogroup(found.groupBy("_of")).applyInArrow(add, schema)

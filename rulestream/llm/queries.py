@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulestream.llm.lm import trained, vocabulary_of, with_pseudo_likelihood
+from rulestream.llm.lm import trained, vocabulary_of, with_pseudo_likelihood, word_counts
 from rulestream.llm.packing import pack_documents
 from rulestream.llm.secrets import KINDS, all_spans, joined_spans, secret_spans
 from rulestream.llm.sharding import shard_documents
@@ -95,8 +95,9 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> Model:
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-likelihood of every document under a network learned from all documents."""
     docs = table(spark, sf_dir, "documents")
-    vocabulary = vocabulary_of(docs, "text")
-    return with_pseudo_likelihood(docs, trained(docs, vocabulary), vocabulary)
+    counted = word_counts(docs, "text")
+    vocabulary = vocabulary_of(docs, "text", counted)
+    return with_pseudo_likelihood(docs, trained(docs, vocabulary), vocabulary, counted=counted)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,19 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from rulestream.llm.lm import BATCH, REACH, SIZE, Network, number_of, trained, vocabulary_of, windows, with_pseudo_likelihood
+from rulestream.llm.lm import (
+    BATCH,
+    REACH,
+    SIZE,
+    Network,
+    number_of,
+    room,
+    side_for,
+    trained,
+    vocabulary_of,
+    windows,
+    with_pseudo_likelihood,
+)
 from tests.llm.cases import ODD, frame
 
 
@@ -93,3 +105,32 @@ def test_no_documents(spark):
     vocabulary = vocabulary_of(docs, "text")
     assert vocabulary == {}
     assert with_pseudo_likelihood(docs, trained(docs, vocabulary), vocabulary).collect() == []
+
+
+def test_rare_words_count_by_their_own_frequency(spark):
+    common = [(i, " ".join(f"w{j}" for j in range(900))) for i in range(5)]
+    docs = frame(spark, [*common, (10, "w1 Xyzing w2"), (11, "w1 qrsing w2"), (12, "qrsing qrsing é ñé"), (13, None)])
+    vocabulary = vocabulary_of(docs, "text")
+    counts = Counter(w.lower() for r in docs.collect() for w in (r.text or "").split())
+    network, inside = Network.fresh(), Counter()
+    numbers = {w: number_of(w, vocabulary) for w in counts}
+    for word, n in counts.items():
+        inside[numbers[word]] += n
+    found = {r.doc_id: r.log_likelihood for r in with_pseudo_likelihood(docs, network, vocabulary).collect()}
+    for r in docs.collect():
+        target, around, _ = windows(pa.array([r.text]), vocabulary)
+        words = (r.text or "").lower().split()
+        within = sum(math.log(counts[w] / inside[numbers[w]]) for w in words)
+        assert found[r.doc_id] == pytest.approx(network.log_chances(around, target).sum() + within, rel=1e-5, abs=1e-6)
+    assert len(found) == 9 and found[11] - found[10] == pytest.approx(math.log(3), rel=1e-4)
+
+
+def test_the_vocabulary_grows_with_the_distinct_words(spark):
+    docs = frame(spark, [(i, " ".join(f"w{i * 4000 + j}" for j in range(4000))) for i in range(100)])
+    vocabulary = vocabulary_of(docs, "text")
+    network = Network.fresh(side=side_for(vocabulary))
+    assert len(vocabulary) == room(36) and len(network.class_bias) == 36
+    assert [p.shape for p in Network.of(network.flat()).parts] == [p.shape for p in network.parts]
+    size = 36 * 36
+    total = np.exp(network.log_chances(np.full((size, len(REACH)), 5, dtype=np.int16), np.arange(size))).sum()
+    assert total == pytest.approx(1, abs=1e-4)
