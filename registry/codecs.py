@@ -16,9 +16,12 @@ from rulestream.operators.audit import (
     merge_ledger,
     metrics_payload,
     metrics_rollup,
+    offset_ranges,
     starting_offsets,
     stats_rows,
 )
+from rulestream.operators.audit import offset_gaps as gaps_of
+from rulestream.operators.audit import offset_overlaps as overlaps_of
 from rulestream.operators.transform import flatten
 from rulestream.sources.sinks import dead_letters
 
@@ -222,6 +225,58 @@ def ledger_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merge_ledger(ledger, fresh)
 
 
+# The events as batches of a hundred, of which one in seven is lost, and of one in seven the later part is read again.
+
+RANGES_SQL = """
+consumed AS (
+  SELECT CAST(event_id % 4 AS VARCHAR) AS topic_partition, event_id // 4 AS place, event_id // 100 AS batch_id, 0 AS run
+  FROM events WHERE event_id // 100 % 7 <> 3
+  UNION ALL
+  SELECT CAST(event_id % 4 AS VARCHAR), event_id // 4, event_id // 100, 1
+  FROM events WHERE event_id // 100 % 7 = 5 AND event_id % 100 >= 40)"""
+
+
+def _ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """The range of offsets that each batch has read of each partition."""
+    batch = F.floor(F.col("event_id") / 100)
+    events = table(spark, sf, "events").select(
+        (F.col("event_id") % 4).alias("partition"),
+        F.floor(F.col("event_id") / 4).alias("offset"),
+        batch.alias("batch_id"),
+        (F.col("event_id") % 100).alias("place"),
+    )
+    runs = events.where("batch_id % 7 <> 3").withColumn("run", F.lit(0))
+    again = events.where("batch_id % 7 = 5 AND place >= 40").withColumn("run", F.lit(1))
+    return offset_ranges(runs.unionByName(again), "events", "run", "batch_id")
+
+
+@query(
+    f"""WITH {RANGES_SQL},
+missing AS (
+  SELECT e.topic_partition, e.place, e.place - row_number() OVER (PARTITION BY e.topic_partition ORDER BY e.place) AS island
+  FROM (SELECT CAST(event_id % 4 AS VARCHAR) AS topic_partition, event_id // 4 AS place FROM events) e
+  JOIN (SELECT topic_partition, min(place) AS low, max(place) AS high FROM consumed GROUP BY 1) c
+  ON e.topic_partition = c.topic_partition AND e.place BETWEEN low AND high
+  WHERE (e.topic_partition, e.place) NOT IN (SELECT (topic_partition, place) FROM consumed))
+SELECT 'events' AS topic_name, topic_partition, min(place) AS first_missing, max(place) AS last_missing
+FROM missing GROUP BY topic_partition, island"""
+)
+def offset_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Offsets that no batch has read."""
+    return gaps_of(_ranges(spark, sf))
+
+
+@query(
+    f"""WITH {RANGES_SQL},
+twice AS (SELECT topic_partition, place, batch_id FROM consumed GROUP BY ALL HAVING count(*) > 1)
+SELECT 'events' AS topic_name, topic_partition, min(place) AS first_again, max(place) AS last_again
+FROM twice GROUP BY topic_partition, batch_id"""
+)
+def offset_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Offsets that a batch has read again."""
+    return overlaps_of(_ranges(spark, sf))
+
+
 @query(
     f"""WITH {LEDGER_SQL}
 SELECT topic_partition, topic_offset FROM ledger WHERE topic_name = 'events'"""

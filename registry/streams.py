@@ -10,7 +10,8 @@ from registry.codecs import DECODED_SQL, TEXT_SQL
 from registry.data import ACCOUNTS_SQL, MESSAGE_SCHEMA, accounts, table, topic_rows, topic_rows_of
 from registry.tables import ACCOUNT_COLUMNS
 from rulestream.functions.codec import decode, split_decoded
-from rulestream.operators.audit import COUNTERS, LEDGER_KEY, metrics_rollup
+from rulestream.operators.audit import COUNTERS, metrics_rollup
+from rulestream.operators.merge import Versioned
 from rulestream.operators.validate import drop_meta
 from rulestream.plans.pipeline import BatchResult, process_batch
 from rulestream.plans.spec import (
@@ -25,17 +26,19 @@ from rulestream.plans.spec import (
     StepKind,
     ValidationRule,
 )
-from rulestream.sources.keyed_table import KeyedTable
+from rulestream.sources.bucket_table import BucketTable
 from rulestream.sources.readers import read_stream
 from rulestream.sources.shared import run_folder
 from rulestream.sources.sinks import FolderSink
-from rulestream.streaming.runner import LEDGER_SCHEMA, StreamJob
+from rulestream.streaming.runner import StreamJob
 
 ACCOUNT_KEY = "concat('ACCT^', acc_num, '^', nsc)"
 
 # The latest message of either status moves its side of an account; the other side stays. Rules fail for views, whose
 # status is not allowed, for every message after the twelfth of a month, whose day is no month, and
-# for accounts whose ledger side has never had a message: theirs has no message number.
+# for accounts of a nation that is not served.
+
+SERVED = 20
 SPEC = PipelineSpec(
     name="balances",
     steps=(
@@ -86,6 +89,7 @@ SPEC = PipelineSpec(
                 start=2,
             )
         ),
+        ColumnMapping(8, "nation", "nation", "int"),
     ),
     pre_rules=RuleSet(
         ("nsc", "acc_num", "seq_num"),
@@ -94,7 +98,16 @@ SPEC = PipelineSpec(
             ValidationRule("side", RuleKind.ENUM, enum=("SHADOW", "POSTED")),
         ),
     ),
-    post_rules=RuleSet(("account_key",), (ValidationRule("ledger_seq", RuleKind.INTEGER),)),
+    post_rules=RuleSet(("account_key",), (ValidationRule("nation", RuleKind.ENUM, enum=tuple(map(str, range(SERVED)))),)),
+)
+
+# A side of an account changes only by a later message than the one it has; the first load has none.
+SIDES = tuple(
+    Versioned(
+        (f"{side}_amt", f"{side}_seq", f"{side}_at"),
+        f"CASE WHEN try_cast({side}_seq AS bigint) IS NOT NULL THEN struct({side}_at, cast({side}_seq AS bigint)) END",
+    )
+    for side in ("ledger", "shadow")
 )
 
 
@@ -120,14 +133,12 @@ mapped AS (
          CAST(coalesce(p_balance, ledger_amt) AS DECIMAL(23,4)) AS ledger_amt,
          coalesce(p_seq, ledger_seq) AS ledger_seq, coalesce(p_sent, ledger_at) AS ledger_at,
          CAST(coalesce(s_balance, shadow_amt) AS DECIMAL(23,4)) AS shadow_amt,
-         coalesce(s_seq, shadow_seq) AS shadow_seq, coalesce(s_sent, shadow_at) AS shadow_at
+         coalesce(s_seq, shadow_seq) AS shadow_seq, coalesce(s_sent, shadow_at) AS shadow_at, nation
   FROM sides LEFT JOIN accounts ON own_key = accounts.account_key),
-checked AS (
-  SELECT *, ledger_seq IS NULL OR regexp_extract(ledger_seq, '^\\s*[-+]?\\d*\\s*$', 0) <> '' AS ok
-  FROM mapped)"""
+checked AS (SELECT *, coalesce(nation BETWEEN 0 AND {SERVED - 1}, false) AS ok FROM mapped)"""
 
 RESULT_SQL = f"""WITH {RUN_SQL},
-done AS (SELECT c.account_key, account_name, nation, c.ledger_amt, c.ledger_seq, c.ledger_at,
+done AS (SELECT c.account_key, account_name, c.nation, c.ledger_amt, c.ledger_seq, c.ledger_at,
                 c.shadow_amt, c.shadow_seq, c.shadow_at
          FROM checked c LEFT JOIN accounts a ON c.account_key = a.account_key WHERE ok)
 SELECT {ACCOUNT_COLUMNS} FROM accounts
@@ -140,7 +151,7 @@ def _batch(spark: SparkSession, sf: str) -> BatchResult:
     return process_batch(valid, SPEC, lambda session, name: accounts(session, sf))
 
 
-MAPPED = "account_key, ledger_amt, ledger_seq, ledger_at, shadow_amt, shadow_seq, shadow_at"
+MAPPED = "account_key, ledger_amt, ledger_seq, ledger_at, shadow_amt, shadow_seq, shadow_at, nation"
 
 
 @query(f"WITH {RUN_SQL} SELECT {MAPPED} FROM checked WHERE ok")
@@ -176,14 +187,15 @@ def stream_job(spark: SparkSession, sf: str, folder: str, run: int = 0) -> Strea
         topic="events",
         schema=MESSAGE_SCHEMA,
         required="body",
-        target=KeyedTable(f"{folder}/accounts", ("account_key",), accounts(spark, sf).schema),
+        target=BucketTable(f"{folder}/accounts", ("account_key",), accounts(spark, sf).schema, versioned=SIDES),
         target_name="bank.account",
         target_key={"account_key": ACCOUNT_KEY},
+        batches=f"{folder}/batches",
         dead_letters=FolderSink(f"{folder}/dead_letters"),
         rejects=FolderSink(f"{folder}/rejects"),
-        ledger=KeyedTable(f"{folder}/ledger", LEDGER_KEY, LEDGER_SCHEMA),
+        ledger=FolderSink(f"{folder}/ledger", balance=False),
         metrics=FolderSink(f"{folder}/metrics", balance=False),
-        summaries=FolderSink(f"{folder}/summaries"),
+        summaries=FolderSink(f"{folder}/summaries", partitions=("validation_yr_month",)),
         stats=FolderSink(f"{folder}/stats", balance=False),
         labels={"workflow": "accounts", "task": "balances"},
         run=run,
@@ -196,9 +208,7 @@ def run_stream(spark: SparkSession, sf: str, parts: tuple[str, ...] = ("true",))
     Each of the ``parts`` is a filter over the events and a run with a checkpoint of its own.
     """
     folder = run_folder(spark, "stream")
-    first = stream_job(spark, sf, folder)
-    first.target.create(accounts(spark, sf))
-    first.ledger.create(spark.createDataFrame([], LEDGER_SCHEMA))
+    stream_job(spark, sf, folder).target.create(accounts(spark, sf))
     for run, part in enumerate(parts):
         events = read_stream(
             spark,
@@ -213,6 +223,24 @@ def run_stream(spark: SparkSession, sf: str, parts: tuple[str, ...] = ("true",))
     return job
 
 
+def run_parts(spark: SparkSession, sf: str, parts: int, late_first: bool) -> StreamJob:
+    """All events in one run, as so many micro-batches of a stretch of time each: forward, or the last one first."""
+    folder = run_folder(spark, "stream-parts")
+    events = table(spark, sf, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (high - low) / parts
+    for number in reversed(range(parts)) if late_first else range(parts):
+        inside = (F.col("ts") >= low + step * number) & (F.col("ts") < low + step * (number + 1))
+        if number == parts - 1:
+            inside = F.col("ts") >= low + step * number
+        events.where(inside).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+    job = stream_job(spark, sf, folder)
+    job.target.create(accounts(spark, sf))
+    source = read_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, events.schema, f"{folder}/events")
+    job.start(topic_rows_of(source), f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    return job
+
+
 @query(RESULT_SQL)
 def stream_balance_update(spark: SparkSession, sf: str) -> DataFrame:
     return run_stream(spark, sf).target.current(spark)
@@ -224,6 +252,18 @@ def stream_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     return run_stream(spark, sf, ("user_id % 2 = 0", "user_id % 2 = 1")).target.current(spark)
 
 
+@query(RESULT_SQL)
+def stream_in_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by several micro-batches in the order of time."""
+    return run_parts(spark, sf, 4, late_first=False).target.current(spark)
+
+
+@query(RESULT_SQL)
+def stream_late_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by several micro-batches of which the last stretch of time comes first."""
+    return run_parts(spark, sf, 4, late_first=True).target.current(spark)
+
+
 @query(
     f"""WITH {DECODED_SQL}
 SELECT 'accounts' AS workflow, 'balances' AS task, 'events' AS topic_name,
@@ -269,7 +309,7 @@ SELECT 'post_transform',
        '{{"account_key":"' || account_key || '","shadow_at":"' || strftime(shadow_at, '{ISO}')
        || '","ledger_at":"' || strftime(ledger_at, '{ISO}') || '","shadow_seq":"' || shadow_seq
        || '","ledger_seq":"' || ledger_seq || '","shadow_amt":' || shadow_amt
-       || ',"ledger_amt":' || ledger_amt || '}}'
+       || ',"ledger_amt":' || ledger_amt || ',"nation":' || nation || '}}'
 FROM checked WHERE NOT ok"""
 )
 def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,8 +330,8 @@ SELECT 'balances', 'sent_day', 'nsc,acc_num,seq_num', id, strftime(sent, '%d/%m/
        'is_valid_date', 'sent_day = ' || strftime(sent, '%d/%m/%Y') || ': not a date of the pattern given'
 FROM failed WHERE NOT day_ok
 UNION ALL
-SELECT 'balances', 'ledger_seq', 'account_key', account_key, ledger_seq, 'post_transform',
-       'is_integer', 'ledger_seq = ' || ledger_seq || ': not a whole number'
+SELECT 'balances', 'nation', 'account_key', account_key, CAST(nation AS VARCHAR), 'post_transform',
+       'is_enum', 'nation = ' || nation || ': not among the values allowed'
 FROM checked WHERE NOT ok"""
 )
 def stream_reject_summary(spark: SparkSession, sf: str) -> DataFrame:

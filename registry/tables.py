@@ -1,4 +1,4 @@
-"""Upserts, the keyed table and CSV files."""
+"""Upserts, the table by buckets and CSV files."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry import query
-from registry.data import ACCOUNTS_SQL, MESSAGES_SQL, accounts, table
+from registry.data import ACCOUNT_PREFIX, ACCOUNTS_SQL, MESSAGES_SQL, accounts, table
 from registry.transforms import LATEST_SQL, ROUTED_SQL, balance_update
+from rulestream.functions.keys import composite_key
 from rulestream.operators.joins import lookup_semi
 from rulestream.operators.merge import upsert
-from rulestream.sources.keyed_table import KeyedTable
+from rulestream.sources.bucket_table import BucketTable
 from rulestream.sources.readers import read_csv
 from rulestream.sources.shared import run_folder, written
 
@@ -38,10 +39,10 @@ def updates(spark: SparkSession, sf: str) -> DataFrame:
     return written(rows, run_folder(spark, "updates"))
 
 
-def account_table(spark: SparkSession, sf: str) -> KeyedTable:
-    """The accounts as a new keyed table."""
+def account_table(spark: SparkSession, sf: str) -> BucketTable:
+    """The accounts as a new table by buckets of their key."""
     rows = accounts(spark, sf)
-    made = KeyedTable(run_folder(spark, "accounts"), ("account_key",), rows.schema)
+    made = BucketTable(run_folder(spark, "accounts"), ("account_key",), rows.schema)
     made.create(rows)
     return made
 
@@ -70,12 +71,11 @@ def upsert_whole_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(UPSERTED_SQL)
 def keyed_table_current(spark: SparkSession, sf: str) -> DataFrame:
-    """The same upsert through the table on files, with the batch written twice."""
+    """The same upsert through the table on files, with the batch merged twice."""
     made = account_table(spark, sf)
     changes = updates(spark, sf)
     made.merge(changes, batch_id=0)
     made.merge(changes, batch_id=0)
-    made.commit(spark, batch_id=0)
     return made.current(spark)
 
 
@@ -88,17 +88,27 @@ def keyed_table_lookup(spark: SparkSession, sf: str) -> DataFrame:
     made = account_table(spark, sf)
     changes = updates(spark, sf)
     made.merge(changes, batch_id=0)
-    made.commit(spark, batch_id=0)
     return made.lookup(lookup_semi(accounts(spark, sf), changes, ["account_key"]))
 
 
 @query(UPSERTED_SQL)
 def keyed_table_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """The upserted table, dealt anew to more buckets."""
     made = account_table(spark, sf)
     made.merge(updates(spark, sf), batch_id=0)
-    made.commit(spark, batch_id=0)
-    made.fold(spark)
-    return made.current(spark)
+    return made.resized(spark, run_folder(spark, "accounts"), 40).current(spark)
+
+
+@query(
+    f"""WITH {ACCOUNTS_SQL} SELECT {ACCOUNT_COLUMNS} FROM accounts
+WHERE account_key IN (SELECT 'ACCT^' || o_custkey || '^' || (o_custkey % 10) FROM orders WHERE o_totalprice > 300000)"""
+)
+def lookup_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """The accounts of the dearest orders; buckets without one are not read."""
+    buyer = F.col("o_custkey")
+    orders = table(spark, sf, "orders").where("o_totalprice > 300000")
+    keys = orders.select(composite_key(ACCOUNT_PREFIX, [buyer, buyer % 10]).alias("account_key"))
+    return account_table(spark, sf).lookup(keys)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -26,7 +26,7 @@ from rulestream.operators.transform import (
     run_source_query,
     run_steps,
 )
-from rulestream.plans.spec import ColumnMapping, JoinKind, SourceQuery, SqlStep, Stage, StepKind
+from rulestream.plans.spec import ColumnMapping, JoinKind, Latest, SourceQuery, SqlStep, Stage, StepKind
 
 LATEST_SQL = """
 latest AS (
@@ -147,6 +147,40 @@ def latest_row(spark: SparkSession, sf: str) -> DataFrame:
     return latest_messages(spark, sf)
 
 
+@query(
+    f"""WITH {MESSAGES_SQL},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY acc_num, nsc ORDER BY sent_at DESC, event_id DESC) AS place FROM messages)
+SELECT * FROM ranked WHERE place <= 3"""
+)
+def latest_n_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The three latest messages of each account, by a step of the specification."""
+    messages(spark, sf).createOrReplaceTempView("all_messages")
+    latest = Latest(("acc_num", "nsc"), ("sent_at", "event_id"), rows=3)
+    return run_steps(spark, [SqlStep(1, "all_messages", "three_latest", StepKind.LATEST, latest=latest)])
+
+
+@query(
+    """WITH per_order AS (
+  SELECT l_orderkey, sum(l_quantity) AS quantity, count(*) AS lines FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, quantity, 'large' AS kind FROM per_order WHERE quantity >= 150
+UNION ALL SELECT l_orderkey, quantity, 'single' FROM per_order WHERE lines = 1"""
+)
+def shared_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """A step that two later ones read is computed once."""
+    steps = [
+        SqlStep(1, "lineitem", "shared_lines", StepKind.TABLE),
+        SqlStep(
+            2,
+            "SELECT l_orderkey, sum(l_quantity) AS quantity, count(*) AS lines FROM shared_lines GROUP BY l_orderkey",
+            "per_order",
+        ),
+        SqlStep(3, "SELECT l_orderkey, quantity, 'large' AS kind FROM per_order WHERE quantity >= 150", "large_orders"),
+        SqlStep(4, "SELECT l_orderkey, quantity, 'single' AS kind FROM per_order WHERE lines = 1", "single_orders"),
+        SqlStep(5, "SELECT * FROM large_orders UNION ALL SELECT * FROM single_orders", "told_orders"),
+    ]
+    return run_steps(spark, steps, lambda session, name: table(session, sf, name))
+
+
 @query(
     f"""WITH {MESSAGES_SQL},
 ranked AS (

@@ -9,6 +9,7 @@ from registry import query
 from registry.data import table
 from rulestream.functions.checks import is_date, is_enum, is_float, is_integer, is_mandatory
 from rulestream.operators.validate import (
+    LEVELS,
     META,
     META_VALID,
     accept,
@@ -17,6 +18,7 @@ from rulestream.operators.validate import (
     failure_counts,
     reject,
     reject_counts,
+    reject_cube,
     reject_summary,
     select_rules,
     tag,
@@ -339,3 +341,20 @@ def reject_limit_two_stages(spark: SparkSession, sf: str) -> DataFrame:
     left = drop_meta(accept(rows, before))
     rejected, total = check_reject_limit(left, after, limit=1.0, carried=carried)
     return spark.range(1).select(F.lit(total).cast("bigint").alias("total"), F.lit(rejected).cast("bigint").alias("rejected"))
+
+
+@query(
+    f"""WITH {RECORDS_SQL}, {FAILURES_SQL},
+summary AS (SELECT 'both' AS validated_type, field_validated, validated_name,
+                   strftime(ts, '%Y-%m') AS validation_yr_month FROM failures)
+SELECT validated_type, field_validated, validated_name, validation_yr_month,
+       CAST(grouping(validated_type) AS VARCHAR) || grouping(field_validated) || grouping(validated_name)
+       || grouping(validation_yr_month) AS level, count(*) AS failures
+FROM summary GROUP BY GROUPING SETS (
+  (validated_type, field_validated, validated_name, validation_yr_month), (validated_type, validation_yr_month),
+  (field_validated, validated_name), (validated_type), ())"""
+)
+def reject_summary_cube(spark: SparkSession, sf: str) -> DataFrame:
+    """Failures by stage, field, rule and month, and their totals at four levels."""
+    levels = (LEVELS, ("validated_type", "validation_yr_month"), ("field_validated", "validated_name"), ("validated_type",), ())
+    return reject_cube(_summary(spark, sf), levels)

@@ -13,10 +13,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.avro.functions import from_avro, to_avro
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 PERMISSIVE = {"mode": "PERMISSIVE"}
-#: Holds the text of a record of which a field does not fit its type.
+#: Names of the parsed text: its records, and the text where one has a value that does not fit its type.
+RECORDS = "_records"
 FAULTY = "_faulty"
 WHOLE = {
     "ignoreNullFields": "false",
@@ -41,21 +42,28 @@ def decode_payload(value: Column, schema: StructType | str, codec: str = "json")
 
 
 def _parsed(value: Column, schema: StructType | str) -> Column:
-    """The record with the text of one that has a fault, and how many records the text is."""
+    """The records that the text holds, the text of one that has a fault, and whether nothing follows the record.
+
+    The parser stops at the end of a record. As the element of an array, what follows the record is a fault or one more element,
+    unless it closes the array. Only a text with a bracket is looked through for that, as the value of an object, where
+    a bracket is a fault.
+    """
     kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    marked = StructType([*kind.fields, StructField(FAULTY, StringType())])
+    marked = StructType([StructField(RECORDS, ArrayType(kind)), StructField(FAULTY, StringType())])
     text = value.cast("string")
+    wrapped = F.concat(F.lit(f'{{"{RECORDS}":['), text, F.lit("]}"))
+    keys = F.json_object_keys(F.concat(F.lit(f'{{"{RECORDS}":'), text, F.lit("}")))
     return F.struct(
-        F.from_json(text, marked, {**PERMISSIVE, "columnNameOfCorruptRecord": FAULTY}).alias("record"),
-        # the parser stops at the end of the record; text after it would make an array of one a bad one
-        F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).alias("records"),
+        F.from_json(wrapped, marked, {**PERMISSIVE, "columnNameOfCorruptRecord": FAULTY}).alias("found"),
+        F.when(text.contains("]"), F.size(keys) == 1).otherwise(True).alias("alone"),
     )
 
 
 def _whole(parsed: Column) -> Column:
-    """The record if nothing is wrong with it."""
-    whole = parsed["record"][FAULTY].isNull() & (parsed["records"] == 1)
-    return F.when(whole, parsed["record"].dropFields(FAULTY))
+    """The record if it is the only one and nothing is wrong with it."""
+    records = parsed["found"][RECORDS]
+    whole = parsed["found"][FAULTY].isNull() & (F.size(records) == 1) & parsed["alone"]
+    return F.when(whole, F.get(records, 0))
 
 
 def decode(df: DataFrame, schema: StructType | str, codec: str = "json") -> DataFrame:

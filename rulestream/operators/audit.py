@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 LEDGER_KEY = ("topic_name", "topic_partition")
@@ -19,21 +20,52 @@ def latest_offsets(df: DataFrame) -> DataFrame:
     return df.groupBy("partition").agg(F.max("offset").alias("offset"))
 
 
-def batch_progress(df: DataFrame, undecodable: Column) -> DataFrame:
-    """Per partition: highest offset, rows and undecodable rows."""
-    return df.groupBy("partition").agg(
-        F.max("offset").alias("offset"),
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(undecodable).alias("undecodable"),
+def offset_ranges(df: DataFrame, topic: str, *by: str) -> DataFrame:
+    """Per partition of a topic: the first offset, the next one to read, and the rows read. ``by`` names columns that tell batches apart."""
+    ranges = df.groupBy("partition", *by).agg(
+        F.min("offset").alias("first_offset"), F.max("offset").alias("offset"), F.count(F.lit(1)).alias("rows")
     )
+    return ledger_rows(ranges, topic, "first_offset", "rows", *by)
 
 
-def ledger_rows(latest: DataFrame, topic: str) -> DataFrame:
-    """Latest offsets in the form of the ledger."""
+def _consumed(ranges: DataFrame) -> DataFrame:
+    """The ranges with ``_next``, the offset up to which their partition has been read by those that start before.
+
+    Ranges that start alike follow each other by their end, the longer one first. A partition of a topic has one row per batch
+    here, not one per message.
+    """
+    order = (F.col("first_offset"), F.desc("topic_offset"))
+    before = W.partitionBy(*LEDGER_KEY).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return ranges.withColumn("_next", F.max("topic_offset").over(before))
+
+
+def offset_gaps(ranges: DataFrame) -> DataFrame:
+    """Offsets between the first and the last one read that no batch has read: ``first_missing`` to ``last_missing``.
+
+    ``ranges`` has one row per batch and partition, of any number of runs. A topic whose offsets are not dense, as
+    that of a compacted or transactional one, has gaps of its own.
+    """
+    return _consumed(ranges).filter("first_offset > _next").select(
+        *LEDGER_KEY, F.col("_next").alias("first_missing"), (F.col("first_offset") - 1).alias("last_missing")
+    )
+
+
+def offset_overlaps(ranges: DataFrame) -> DataFrame:
+    """Offsets that a batch has read although one that starts before it had: ``first_again`` to ``last_again``."""
+    return _consumed(ranges).filter("first_offset < _next").select(
+        *LEDGER_KEY,
+        F.col("first_offset").alias("first_again"),
+        (F.least("topic_offset", "_next") - 1).alias("last_again"),
+    )
+
+
+def ledger_rows(latest: DataFrame, topic: str, *more: str) -> DataFrame:
+    """Latest offsets in the form of the ledger, with more columns if named."""
     return latest.select(
         F.lit(topic).alias("topic_name"),
         F.col("partition").cast("string").alias("topic_partition"),
         (F.col("offset") + 1).cast("bigint").alias("topic_offset"),
+        *more,
     )
 
 

@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulestream.operators.joins import quoted
 
 
+@dataclass(frozen=True)
+class Versioned:
+    """Columns that change together, and the expression of their version in SQL. A null version is the oldest.
+
+    Give every change a version of its own, such as its time and its sequence number.
+    """
+
+    columns: tuple[str, ...]
+    version: str
+
+
 def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The frame as it is; it raises while it runs if a key is null or occurs twice.
 
@@ -81,3 +93,55 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     )
     new = typed.join(target.select(*map(quoted, keys)), list(keys), "left_anti")
     return merged.unionByName(new, allowMissingColumns=True).select(*map(quoted, target.columns))
+
+
+def merge_rows(
+    old: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    versioned: Sequence[Versioned] = (),
+    together: Sequence[str] = (),
+) -> DataFrame:
+    """The old rows after the updates, by one aggregate over both.
+
+    A versioned group takes the value with the higher version, and keeps the old one where they are equal: the result does not
+    depend on the order in which updates come, and the same ones may come twice. The other columns take the value of
+    the update. Columns that an update does not carry, or a group of which it lacks a column, keep the old one.
+    A null or repeated key among the updates raises while the result is computed. ``together`` names columns
+    derived from the key, among ``keys`` as well, by which the rows are brought together; without it Spark does so by the whole key.
+    """
+    names = {k.lower() for k in keys}
+    given = {c.lower() for c in updates.columns}
+    of_group = {c.lower() for group in versioned for c in group.columns}
+    rest = [c for c in old.columns if c.lower() not in names | of_group]
+    groups = [(list(group.columns), group.version) for group in versioned]
+    groups += [([c for c in rest if c.lower() in given], None), ([c for c in rest if c.lower() not in given], None)]
+    groups = [(columns, version) for columns, version in groups if columns]
+
+    new = F.col("_new")
+    both = old.withColumn("_new", F.lit(False)).unionByName(updates.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    if together:
+        both = both.repartition(*map(quoted, together))
+
+    def latest(number: int, columns: list[str], version: str | None) -> Column:
+        values = F.struct(*(F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)))
+        if not all(c.lower() in given for c in columns):
+            order = ~new
+        else:
+            order = F.struct(F.expr(version), ~new) if version else new
+        return F.max_by(values, order).alias(f"_group{number}")
+
+    found = [latest(i, columns, version) for i, (columns, version) in enumerate(groups)]
+    by_key = both.groupBy(*map(quoted, keys)).agg(F.count_if(new).alias("_updates"), *found)
+    own = [k for k in keys if k not in together]
+    told = F.concat_ws(",", *(F.coalesce(F.col(quoted(k)).cast("string"), F.lit("null")) for k in own))
+    null = F.greatest(*(F.col(quoted(k)).isNull() for k in own), F.lit(False))
+    right = (
+        F.when(null, F.raise_error(F.concat(F.lit("A key is null: "), told)).cast("boolean"))
+        .when(F.col("_updates") > 1, F.raise_error(F.concat(F.lit("A key occurs more than once: "), told)).cast("boolean"))
+        .otherwise(True)
+    )
+    place = {c.lower(): f"_group{i}.c{j}" for i, (columns, _) in enumerate(groups) for j, c in enumerate(columns)}
+    return by_key.filter(right).select(
+        *(F.col(quoted(c)) if c.lower() in names else F.col(place[c.lower()]).alias(c) for c in old.columns)
+    )

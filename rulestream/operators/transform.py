@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,10 +22,13 @@ from rulestream.plans.spec import (
     StepKind,
     check_mappings,
 )
+from rulestream.sources.shared import run_folder, written
 
 GLOBAL_VIEWS = "global_temp."
 
 TableReader = Callable[[SparkSession, str], DataFrame]
+#: Writes a frame out under the name of its view, and reads it back.
+Keeper = Callable[[DataFrame, str], DataFrame]
 
 
 def publish(df: DataFrame, view: str) -> None:
@@ -39,31 +43,76 @@ def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def keep_in_run_folder(df: DataFrame, view: str) -> DataFrame:
+    return written(df, run_folder(df.sparkSession, "view"))
+
+
+def names_read(spark: SparkSession, query: str) -> set[str]:
+    """The tables and views that a query names, in lower case, from its parsed plan. Names of its own subqueries are among them."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(query).toString()
+    return {name.replace(", ", ".").replace("`", "").lower() for name in re.findall(r"UnresolvedRelation \[([^\]]+)\]", plan)}
+
+
+def shared_views(spark: SparkSession, steps: Sequence[SqlStep], then: Sequence[str] = ()) -> set[int]:
+    """Places of the steps whose view is read by two or more of the later steps, or of the queries that come ``then``.
+
+    A step that publishes a view of the same name ends the life of the earlier one. A table is not among them: a copy of it
+    costs more than to read the columns that each step needs.
+    """
+    read = [
+        set() if s.kind is StepKind.TABLE else {s.query.lower()} if s.kind is StepKind.LATEST else names_read(spark, s.query)
+        for s in steps
+    ]
+    read += [names_read(spark, query) for query in then]
+    shared = set()
+    for place, step in enumerate(steps):
+        if step.kind is StepKind.TABLE:
+            continue
+        view = step.view.lower()
+        readers = 0
+        for later in range(place + 1, len(read)):
+            readers += view in read[later]
+            if later < len(steps) and steps[later].view.lower() == view:
+                break
+        if readers > 1:
+            shared.add(place)
+    return shared
+
+
 def run_steps(
     spark: SparkSession,
     steps: Sequence[SqlStep],
     read_table: TableReader = read_catalog_table,
+    then: Sequence[str] = (),
+    keep: Keeper = keep_in_run_folder,
 ) -> DataFrame | None:
     """Run the steps in order and return the last frame, or None without steps.
 
-    Nothing is executed here: each step only adds to the plan of those that read it.
+    A step only adds to the plan of those that read it. Where several do, it would be computed for each of them: such a view
+    is written out once with ``keep``, and they read that. ``then`` are queries over the views that follow the steps.
     """
     last = None
-    for step in sorted(steps, key=lambda s: s.order):
+    ordered = sorted(steps, key=lambda s: s.order)
+    shared = shared_views(spark, ordered, then)
+    for place, step in enumerate(ordered):
         if step.kind is StepKind.TABLE:
             last = read_table(spark, step.query)
         elif step.kind is StepKind.LATEST:
             last = _latest(spark.table(step.query), step.latest)
         else:
             last = spark.sql(step.query)
+        if place in shared:
+            last = keep(last, step.view)
         publish(last, step.view)
     return last
 
 
 def _latest(df: DataFrame, by: Latest) -> DataFrame:
-    if not by.status:
-        return latest_per_key(df, by.keys, by.order[:1], by.order)
-    return latest_per_status(df, by.keys, by.status, by.statuses, by.order, by.values)
+    if by.status:
+        return latest_per_status(df, by.keys, by.status, by.statuses, by.order, by.values)
+    if by.rows > 1:
+        return latest_n_per_key(df, by.keys, by.order, by.rows)
+    return latest_per_key(df, by.keys, by.order[:1], by.order)
 
 
 def run_source_query(
@@ -151,6 +200,17 @@ def latest_per_key(
     )
 
 
+def latest_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, place: str = "place") -> DataFrame:
+    """The ``rows`` rows with the highest ``order`` columns of each key, and their ``place`` from 1.
+
+    Columns are compared one after the other, nulls are lowest, and rows that are alike in all of them may stand in for each
+    other: end the order with a column that is unique within a key. Spark limits the rows of a key in each map task
+    before it shuffles, so that a hot key sends so many rows per task.
+    """
+    ranked = W.partitionBy(*(F.col(f"`{k}`") for k in keys)).orderBy(*(F.desc(f"`{c}`") for c in order))
+    return df.withColumn(place, F.row_number().over(ranked)).filter(F.col(place) <= rows)
+
+
 def _has_map(kind: DataType) -> bool:
     """Whether a type is, or holds, one that has no order."""
     if isinstance(kind, StructType):

@@ -69,7 +69,7 @@ PROCESS_NAME = "stream_process_name"
 
 @dataclass(frozen=True)
 class Latest:
-    """Which rows are the latest: the highest ``order`` columns of each key.
+    """Which rows are the latest: the highest ``order`` columns of each key, so many ``rows`` of them.
 
     With a ``status`` column, the latest ``values`` of each of the ``statuses`` stand side by side.
     """
@@ -79,6 +79,11 @@ class Latest:
     status: str = ""
     statuses: tuple[str, ...] = ()
     values: tuple[str, ...] = ()
+    rows: int = 1
+
+    def __post_init__(self) -> None:
+        if self.rows < 1 or (self.status and self.rows > 1):
+            raise ValueError("The latest rows are one or more, and one of each status")
 
 
 @dataclass(frozen=True)

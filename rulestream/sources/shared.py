@@ -26,3 +26,26 @@ def written(df: DataFrame, folder: str) -> DataFrame:
     """
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write of the folder has ended well."""
+    system, place = _file_system(spark, f"{folder}/_SUCCESS")
+    return system.exists(place)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that a job has written and does not need any more."""
+    system, place = _file_system(spark, folder)
+    system.delete(place, True)
+
+
+def folders_of(spark: SparkSession, folder: str, depth: int) -> list[str]:
+    """The folders so many levels below a folder; none where it does not exist."""
+    system, place = _file_system(spark, f"{folder}{'/*' * depth}")
+    return [str(found.getPath()) for found in system.globStatus(place) or [] if found.isDirectory()]

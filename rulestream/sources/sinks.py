@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
+from rulestream.sources.readers import read_table
+
 RUN = "run"
 BATCH = "batch_id"
 
@@ -39,7 +41,7 @@ def claim_run(spark: SparkSession, path: str, run: int, checkpoint: str) -> None
             raise
         found = None
     if found is None:
-        replace_folder(spark.createDataFrame([(checkpoint,)], "checkpoint string"), holder)
+        replace_folder(spark.createDataFrame([(checkpoint,)], "checkpoint string").coalesce(1), holder)
     elif found["checkpoint"] != checkpoint:
         raise ValueError(f"Run {run} of {path} belongs to checkpoint {found['checkpoint']}")
 
@@ -80,6 +82,10 @@ class ConnectorSink:
     def write(self, df: DataFrame, batch_id: int, run: int = 0) -> None:
         append(df, self.fmt, self.options)
 
+    def read(self, spark: SparkSession, schema: StructType | str) -> DataFrame:
+        """All that the store holds."""
+        return read_table(spark, self.fmt, self.options)
+
 
 @dataclass(frozen=True)
 class FolderSink:
@@ -87,18 +93,17 @@ class FolderSink:
 
     Rows are balanced before they are written: what is rejected or undecodable is
     spread thinly over all tasks of a batch and would leave a small file in each. A place
-    for a row per batch needs no balance.
+    for a row per batch needs no balance. ``partitions`` names columns whose values
+    have a folder each below that of the batch; rows are balanced by them.
     """
 
     path: str
     balance: bool = True
+    partitions: tuple[str, ...] = ()
 
     def write(self, df: DataFrame, batch_id: int, run: int = 0) -> None:
-        rows = df.hint("rebalance") if self.balance else df
-        replace_folder(rows, place_of(self.path, run, batch_id))
-
-    def claim(self, spark: SparkSession, run: int, checkpoint: str) -> None:
-        claim_run(spark, self.path, run, checkpoint)
+        rows = df.hint("rebalance", *self.partitions) if self.balance else df
+        replace_folder(rows, place_of(self.path, run, batch_id), *self.partitions)
 
     def read(self, spark: SparkSession, schema: StructType | str) -> DataFrame:
         """All batches, with their ``run`` and ``batch_id``. Nothing written yet gives no rows."""

@@ -1,53 +1,56 @@
 """A streaming run: one source, one checkpoint, and all outputs of a micro-batch.
 
-The decoded micro-batch and the tagged records of both stages are kept for the time of their
-processing, so that no rule and no payload is evaluated twice. All results of a batch go to
-places named by the run and the batch, so that a batch replayed after a failure replaces
-what it had written; the tables show a batch once all of it is written.
+Each stage of a batch is written once, with the outcome of every record as its partition. What follows reads the outcome it
+needs: undecodable rows go to the dead letters, rejected ones to the rejects and their summary, valid ones to the
+transformation and accepted ones to the target. Counters are observed by the same writes. All results go to places named by
+the run and the batch, so that a batch replayed after a failure replaces what it had written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 from typing import Protocol
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructType, TimestampType
+from pyspark.sql.types import LongType, NullType, StringType, StructField, StructType, TimestampType
 
-from rulestream.functions.codec import as_json, decodable, decode, split_decoded
+from rulestream.functions.codec import as_json, decodable, decode
 from rulestream.operators.audit import (
     COUNTERS,
-    batch_progress,
-    ledger_changes,
-    ledger_rows,
     merge_ledger,
+    offset_ranges,
     read_starting_offsets,
     stats_rows,
 )
-from rulestream.operators.transform import TableReader, read_catalog_table
+from rulestream.operators.joins import quoted
+from rulestream.operators.transform import Keeper, TableReader, read_catalog_table
 from rulestream.operators.validate import (
+    META_VALID,
     drop_meta,
     enforce_limit,
     reject_summary,
     tagged_counts,
 )
-from rulestream.plans.pipeline import BatchResult, process_batch
-from rulestream.plans.spec import PipelineSpec, ValidationStage, check_date_patterns
-from rulestream.sources.keyed_table import KeyedTable
+from rulestream.plans.pipeline import normalise, transform
+from rulestream.plans.spec import PipelineSpec, RuleSet, ValidationStage, check_date_patterns
 from rulestream.sources.readers import read_topic
-from rulestream.sources.sinks import FolderSink, dead_letters
+from rulestream.sources.shared import remove
+from rulestream.sources.sinks import FolderSink, claim_run, dead_letters, place_of, replace_folder
 
+#: The ledger has one row per batch and partition that it read.
 LEDGER_SCHEMA = (
     StructType()
     .add("topic_name", StringType())
     .add("topic_partition", StringType())
     .add("topic_offset", LongType())
+    .add("first_offset", LongType())
+    .add("rows", LongType())
 )
 METRICS_SCHEMA = (
     StructType()
@@ -58,15 +61,21 @@ METRICS_SCHEMA = (
 for _counter in COUNTERS:
     METRICS_SCHEMA = METRICS_SCHEMA.add(_counter, LongType())
 
+#: The partition column of a written stage, and its values.
+OUTCOME = "outcome"
+PASSED, REJECTED, UNDECODABLE = "passed", "rejected", "undecodable"
+
 
 class BatchSink(Protocol):
     """Anything that can take the rows of one batch."""
 
     def write(self, df: DataFrame, batch_id: int, run: int = 0) -> None: ...
 
+    def read(self, spark: SparkSession, schema: StructType | str) -> DataFrame: ...
+
 
 class Target(Protocol):
-    """A keyed table: a ``KeyedTable`` on files or a ``ConnectorTable``."""
+    """A keyed table: a ``BucketTable`` on files or a ``ConnectorTable``."""
 
     def current(self, spark: SparkSession) -> DataFrame: ...
 
@@ -75,6 +84,19 @@ class Target(Protocol):
     def merge(self, updates: DataFrame, batch_id: int, run: int = 0) -> None: ...
 
 
+@dataclass(frozen=True)
+class Written:
+    """A stage of a batch on disk: ``record`` holds its columns, ``letter`` an undecodable row."""
+
+    path: str
+    schema: StructType
+
+    def of(self, spark: SparkSession, outcome: str, column: str = "record") -> DataFrame:
+        """The rows of one outcome. Only its partition is read."""
+        rows = spark.read.schema(self.schema).parquet(self.path)
+        return rows.where(F.col(OUTCOME) == outcome).select(f"{column}.*")
+
+
 @dataclass(frozen=True)
 class StreamJob:
     """A stream of ``partition, offset, value`` rows into a keyed table.
@@ -85,10 +107,10 @@ class StreamJob:
     one row per record and failed rule. A batch that rejects more than ``reject_limit``
     (a share of its records) stops the query before it reaches the target.
 
-    ``ledger`` keeps the next offset of each partition of the topic, and gets those a batch moves. ``stats``
-    gets one row per batch that read something, told apart by ``labels``. ``run`` tells this
-    checkpoint's batches from those of another: give a fresh checkpoint a new, higher
-    number. With ``fold_every`` the tables on files are folded after so many batches.
+    ``batches`` is a folder for the stages of the batch that runs. ``ledger`` gets the range of offsets that
+    a batch has read of each partition of the topic. ``stats`` gets one row per batch that read something, told apart by
+    ``labels``. ``run`` tells this checkpoint's batches from those of another: give a fresh checkpoint a new, higher
+    number.
     """
 
     spec: PipelineSpec
@@ -98,9 +120,10 @@ class StreamJob:
     target: Target
     target_name: str
     target_key: Mapping[str, str]
+    batches: str
     dead_letters: BatchSink
     rejects: BatchSink
-    ledger: Target
+    ledger: BatchSink
     metrics: FolderSink
     codec: str = "json"
     read_table: TableReader = read_catalog_table
@@ -109,15 +132,12 @@ class StreamJob:
     labels: Mapping[str, str] = field(default_factory=dict)
     reject_limit: float | None = None
     run: int = 0
-    fold_every: int | None = None
 
     def start(self, source: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         """Start the query, for example with ``availableNow=True`` as the trigger."""
         rules = (*self.spec.pre_rules.rules, *self.spec.post_rules.rules)
         check_date_patterns(source.sparkSession, rules)
-        for place in (self.target, self.ledger, self.dead_letters, self.rejects, self.metrics, self.summaries, self.stats):
-            if hasattr(place, "claim"):
-                place.claim(source.sparkSession, self.run, checkpoint)
+        claim_run(source.sparkSession, self.batches, self.run, checkpoint)
         writer = source.writeStream.foreachBatch(self.run_batch)
         writer = writer.option("checkpointLocation", checkpoint)
         return (writer.trigger(**trigger) if trigger else writer).start()
@@ -134,73 +154,86 @@ class StreamJob:
         return columns.select("partition", "offset", "value")
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Process one micro-batch. One that is marked as done is left alone."""
+        """Process one micro-batch."""
         spark = batch.sparkSession
-        target, ledger = (t.pinned(spark) if isinstance(t, KeyedTable) else t for t in (self.target, self.ledger))
-        tables = [t for t in (target, ledger) if isinstance(t, KeyedTable)]
-        if tables and all(t.committed(spark, batch_id, self.run) for t in tables):
-            return
-        job = replace(self, target=target, ledger=ledger)
         started = datetime.now(timezone.utc)
-        kept: list[DataFrame] = []
-
-        def keep(df: DataFrame) -> DataFrame:
-            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-            return kept[-1]
-
+        # read by both sides of the first write and by the ledger
+        decoded = decode(batch, self.schema, self.codec).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counts = job._run(keep(decode(batch, self.schema, self.codec)), batch_id, keep)
+            counts = self._run(decoded, batch_id)
         finally:
-            for df in reversed(kept):
-                df.unpersist()
+            decoded.unpersist()
         row = (self.topic, started, datetime.now(timezone.utc), *(counts[c] for c in COUNTERS))
         metrics = spark.createDataFrame([row], METRICS_SCHEMA).coalesce(1)
         self.metrics.write(metrics, batch_id, self.run)
         if self.stats is not None and counts["total"]:
             self.stats.write(stats_rows(metrics, self.topic, self.labels), batch_id, self.run)
-        for table in tables:
-            table.commit(spark, batch_id, self.run)
-            if self.fold_every and (batch_id + 1) % self.fold_every == 0:
-                table.fold(spark)
-
-    def _run(
-        self, decoded: DataFrame, batch_id: int, keep: Callable[[DataFrame], DataFrame]
-    ) -> dict[str, int]:
-        """All outputs of a batch. Each stage is evaluated once: all that reads it reads what was kept."""
-        valid, invalid = split_decoded(decoded, self.required)
-        # one entry per partition of the topic
-        progress = batch_progress(decoded, ~decodable(decoded, self.required)).collect()
-        undecodable = sum(p["undecodable"] for p in progress)
-        if undecodable:
-            self.dead_letters.write(dead_letters(invalid), batch_id, self.run)
-
-        result = process_batch(valid, self.spec, self._table_reader, keep)
-        before = tagged_counts(result.normalised, self.spec.pre_rules).first()
-        after = tagged_counts(result.transformed, self.spec.post_rules).first()
-        rejected = before["rejected"] + after["rejected"]
+        for stage in ("read", "transformed", "views"):
+            remove(spark, self._place(stage, batch_id))
+
+    def _place(self, stage: str, batch_id: int) -> str:
+        return place_of(f"{self.batches}/{stage}", self.run, batch_id)
+
+    def _keeper(self, batch_id: int) -> Keeper:
+        """Writes out views that several steps read."""
+
+        def keep(df: DataFrame, view: str) -> DataFrame:
+            place = f"{self._place('views', batch_id)}/{view}"
+            replace_folder(df, place)
+            return df.sparkSession.read.schema(df.schema).parquet(place)
+
+        return keep
+
+    def write_read(self, decoded: DataFrame, batch_id: int) -> tuple[Written, dict[str, int]]:
+        """Write what was read, by its outcome before the transformation, and count it."""
+        seen, checked = Observation(), Observation()
+        whole = decodable(decoded, self.required)
+        watched = decoded.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(~whole).alias("undecodable"))
+        letters = dead_letters(watched.filter(~whole))
+        normalised = normalise(decoded.filter(whole), self.spec, self.read_table, self._keeper(batch_id))
+        rules = self.spec.pre_rules
+        records = _by_outcome(normalised.observe(checked, *tagged_counts(rules)), rules)
+        apart = letters.select(F.struct("*").alias("letter"), F.lit(UNDECODABLE).alias(OUTCOME))
+        rows = records.unionByName(apart, allowMissingColumns=True)
+        replace_folder(rows, self._place("read", batch_id), OUTCOME)
+        counts = {"total": seen.get["total"], "dlq": seen.get["undecodable"], "validation": checked.get["rejected"]}
+        return Written(self._place("read", batch_id), rows.schema), counts | {"checked": checked.get["total"]}
+
+    def write_transformed(self, read: Written, spark: SparkSession, batch_id: int) -> tuple[Written, dict[str, int]]:
+        """Write the transformed records by the outcome of the rules after it, and count them."""
+        checked = Observation()
+        rules = self.spec.post_rules
+        transformed = transform(drop_meta(read.of(spark, PASSED)), self.spec, self._table_reader, self._keeper(batch_id))
+        rows = _by_outcome(transformed.observe(checked, *tagged_counts(rules)), rules)
+        replace_folder(rows, self._place("transformed", batch_id), OUTCOME)
+        counts = {"transformation": checked.get["total"], "exception": checked.get["rejected"]}
+        return Written(self._place("transformed", batch_id), rows.schema), counts
+
+    def _run(self, decoded: DataFrame, batch_id: int) -> dict[str, int]:
+        """All outputs of a batch, from its two writes."""
+        spark = decoded.sparkSession
+        read, counts = self.write_read(decoded, batch_id)
+        if counts["dlq"]:
+            self.dead_letters.write(read.of(spark, UNDECODABLE, "letter"), batch_id, self.run)
+        transformed, after = self.write_transformed(read, spark, batch_id)
+        counts |= after | {"target_write": after["transformation"] - after["exception"]}
+
+        rejected = counts["validation"] + counts["exception"]
         if rejected:
-            self.rejects.write(_reject_messages(result), batch_id, self.run)
+            stages = (
+                (read.of(spark, REJECTED), self.spec.pre_rules, ValidationStage.PRE),
+                (transformed.of(spark, REJECTED), self.spec.post_rules, ValidationStage.POST),
+            )
+            self.rejects.write(_reject_messages(stages), batch_id, self.run)
             if self.summaries is not None:
-                self.summaries.write(self._summary(result), batch_id, self.run)
+                parts = [reject_summary(rows, rules, self.spec.name, stage) for rows, rules, stage in stages if rules.rules]
+                self.summaries.write(reduce(DataFrame.unionByName, parts), batch_id, self.run)
         if self.reject_limit is not None:
-            enforce_limit(rejected, before["total"], self.reject_limit)
-        self.target.merge(result.accepted, batch_id, self.run)
-
-        last = decoded.sparkSession.createDataFrame(
-            [(str(p["partition"]), p["offset"]) for p in progress],
-            "partition string, offset bigint",
-        ).coalesce(1)
-        offsets = ledger_rows(last, self.topic)
-        moved = ledger_changes(self.ledger.current(decoded.sparkSession).select(*offsets.columns), offsets)
-        self.ledger.merge(moved, batch_id, self.run)
-        return {
-            "total": sum(p["rows"] for p in progress),
-            "validation": before["rejected"],
-            "transformation": after["total"],
-            "exception": after["rejected"],
-            "dlq": undecodable,
-            "target_write": after["total"] - after["rejected"],
-        }
+            enforce_limit(rejected, counts["checked"], self.reject_limit)
+        if counts["target_write"]:
+            self.target.merge(drop_meta(transformed.of(spark, PASSED)), batch_id, self.run)
+        self.ledger.write(offset_ranges(decoded, self.topic), batch_id, self.run)
+        return counts
 
     def _table_reader(self, spark: SparkSession, name: str) -> DataFrame:
         if name != self.target_name:
@@ -209,33 +242,28 @@ class StreamJob:
         keys = view.select(*(F.expr(e).alias(k) for k, e in self.target_key.items()))
         return self.target.lookup(keys)
 
-    def _summary(self, result: BatchResult) -> DataFrame:
-        parts = [
-            reject_summary(frame, rules, self.spec.name, stage)
-            for frame, rules, stage in (
-                (result.normalised, self.spec.pre_rules, ValidationStage.PRE),
-                (result.transformed, self.spec.post_rules, ValidationStage.POST),
-            )
-            if rules.rules
-        ]
-        return reduce(DataFrame.unionByName, parts)
-
     def offsets(self, spark: SparkSession) -> DataFrame:
         """Next offset per partition after all batches that are done."""
-        return merge_ledger(self.ledger.current(spark).select(*LEDGER_SCHEMA.names))
+        columns = ("topic_name", "topic_partition", "topic_offset")
+        return merge_ledger(self.ledger.read(spark, LEDGER_SCHEMA).select(*columns))
 
     def batch_metrics(self, spark: SparkSession) -> DataFrame:
         """Counters and processing window of every batch."""
         return self.metrics.read(spark, METRICS_SCHEMA)
 
 
-def _reject_messages(result: BatchResult) -> DataFrame:
-    """Rejected records of both stages as JSON, with the stage as the key."""
-    parts = [
-        as_json(drop_meta(frame)).withColumn("key", F.lit(stage.value))
-        for frame, stage in (
-            (result.rejected_before, ValidationStage.PRE),
-            (result.rejected_after, ValidationStage.POST),
-        )
-    ]
-    return parts[0].unionByName(parts[1]).select("key", "value")
+def _by_outcome(tagged: DataFrame, rules: RuleSet) -> DataFrame:
+    """A tagged frame as ``record`` and its outcome. A column without a type is kept as text."""
+    outcome = F.when(F.col(META_VALID), PASSED).otherwise(REJECTED) if rules.rules else F.lit(PASSED)
+
+    def column(given: StructField):
+        value = F.col(quoted(given.name))
+        return (value.cast("string") if isinstance(given.dataType, NullType) else value).alias(given.name)
+
+    return tagged.select(F.struct(*map(column, tagged.schema.fields)).alias("record"), outcome.alias(OUTCOME))
+
+
+def _reject_messages(stages: Sequence[tuple[DataFrame, RuleSet, ValidationStage]]) -> DataFrame:
+    """Rejected records of all stages as JSON, with the stage as the key."""
+    parts = [as_json(drop_meta(rows)).select(F.lit(stage.value).alias("key"), "value") for rows, _, stage in stages]
+    return reduce(DataFrame.unionByName, parts)

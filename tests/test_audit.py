@@ -35,7 +35,38 @@ def test_progress_counts_undecodable_rows(spark):
     df = spark.createDataFrame(
         [(0, 1, "a"), (0, 2, None), (1, 5, None)], "partition int, offset bigint, body string"
     )
-    assert bag(audit.batch_progress(df, F.col("body").isNull())) == [(0, 2, 2, 1), (1, 5, 1, 1)]
+    assert bag(audit.offset_ranges(df, "t")) == [("t", "0", 3, 1, 2), ("t", "1", 6, 5, 1)]
+
+
+def by_offset(ranges):
+    """Missing and repeated offsets of one partition, offset by offset."""
+    read = [range(first, after) for first, after in sorted(ranges, key=lambda r: (r[0], -r[1]))]
+    seen, again = set(), set()
+    for part in read:
+        again |= seen & set(part)
+        seen |= set(part)
+    return set(range(min(seen), max(seen))) - seen, again
+
+
+@pytest.mark.parametrize(
+    "ranges",
+    [
+        [(0, 5), (5, 9)],
+        [(0, 5), (7, 9), (12, 13)],
+        [(3, 9), (3, 5), (4, 6), (8, 12)],
+        [(0, 100), (10, 20), (30, 40), (100, 101)],
+        [(5, 6), (0, 2), (0, 2)],
+    ],
+)
+def test_gaps_and_overlaps_of_ranges(spark, ranges):
+    rows = [("t", "p", after, first) for first, after in ranges] + [("t", "q", 9, 1)]
+    frame = spark.createDataFrame(rows, "topic_name string, topic_partition string, topic_offset bigint, first_offset bigint")
+    missing, again = by_offset(ranges)
+    gaps = audit.offset_gaps(frame).collect()
+    assert {o for r in gaps for o in range(r.first_missing, r.last_missing + 1)} == missing
+    overlaps = audit.offset_overlaps(frame).collect()
+    assert {o for r in overlaps for o in range(r.first_again, r.last_again + 1)} == again
+    assert {r.topic_partition for r in gaps + overlaps} <= {"p"}
 
 
 def test_ledger_holds_the_next_offset(spark):

@@ -117,6 +117,13 @@ def test_avro_goes_through_the_avro_functions(spark, monkeypatch):
         GOOD + " tail",
         GOOD + GOOD,
         f"{GOOD},{GOOD}",
+        f"{GOOD},null",
+        f'{GOOD},"x":1',
+        GOOD + " ] tail",
+        GOOD + "],[1",
+        GOOD + '],"x":[1',
+        GOOD + "}",
+        f"[{GOOD}]",
     ],
 )
 def test_a_fault_in_any_field_makes_a_message_undecodable(spark, payload):

@@ -12,7 +12,7 @@ import registry
 from registry import data
 from rulestream.operators import joins, transform
 from rulestream.operators.audit import latest_offsets
-from rulestream.plans.spec import JoinKind
+from rulestream.plans.spec import JoinKind, SqlStep, StepKind
 
 registry.load()
 # Queries that only plan; the others write tables before they return a frame.
@@ -160,3 +160,64 @@ def _shuffled_rows(plan) -> int:
 def test_latest_offsets_of_a_hot_partition(spark, skewed):
     rows = skewed.select(F.col("k").alias("partition"), F.col("n").alias("offset"))
     assert latest_offsets(rows).filter("partition = 7").first().offset == 299_997
+
+
+def test_top_rows_are_limited_on_both_sides_of_the_shuffle(spark, sf):
+    plan = physical(registry.QUERIES["latest_n_rows"](spark, sf))
+    above, below = plan.split("Exchange hashpartitioning", 1)
+    assert plan.count("Exchange") == 1
+    assert "WindowGroupLimit" in above and "Final" in above
+    assert "WindowGroupLimit" in below and "Partial" in below
+
+
+def test_ties_of_top_rows_are_decided_by_the_whole_order(spark):
+    rows = [(k, day, number) for k in (1, 2) for day in (1, 2) for number in range(5)] + [(3, None, 1), (3, 1, None)]
+    frame = spark.createDataFrame(rows, "k int, day int, number int")
+    top = transform.latest_n_per_key(frame, ["k"], ["day", "number"], 3)
+    assert sorted((tuple(r) for r in top.collect()), key=str) == sorted(
+        [(k, 2, 4 - i, i + 1) for k in (1, 2) for i in range(3)] + [(3, 1, None, 1), (3, None, 1, 2)], key=str
+    )
+
+
+def test_levels_of_rejects_take_one_shuffle(spark, sf):
+    plan = physical(registry.QUERIES["reject_summary_cube"](spark, sf))
+    assert plan.count("Exchange") == 1
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_a_view_read_by_several_steps_is_computed_once(spark, sf):
+    plan = physical(registry.QUERIES["shared_steps"](spark, sf))
+    assert "lineitem.parquet" not in plan and "HashAggregate" not in plan
+    assert plan.count("FileScan parquet") == 2
+
+
+@pytest.mark.parametrize(
+    ("query", "names"),
+    [
+        ("SELECT * FROM a JOIN db.b USING (k) WHERE x IN (SELECT y FROM `c`)", {"a", "db.b", "c"}),
+        ("WITH own AS (SELECT 1 AS x FROM A) SELECT (SELECT max(z) FROM d) FROM own", {"a", "d", "own"}),
+        ("SELECT 'FROM nothing'", set()),
+    ],
+)
+def test_views_that_a_query_names(spark, query, names):
+    assert transform.names_read(spark, query) == names
+
+
+def test_views_that_are_shared(spark):
+    def step(order, query, view, kind=StepKind.SQL):
+        return SqlStep(order, query, view, kind)
+
+    steps = [
+        step(1, "t", "scan", StepKind.TABLE),
+        step(2, "SELECT * FROM scan", "a"),
+        step(3, "SELECT * FROM a JOIN a AS again USING (x)", "b"),
+        step(4, "SELECT * FROM scan JOIN b USING (x)", "a"),
+        step(5, "SELECT * FROM a JOIN b USING (x)", "c"),
+    ]
+    assert transform.shared_views(spark, steps) == {2}
+    assert transform.shared_views(spark, steps, ["SELECT * FROM a"]) == {2, 3}
+
+
+def test_a_lookup_of_accounts_prunes_buckets(spark, sf):
+    plan = physical(registry.QUERIES["lookup_pruned"](spark, sf))
+    assert "dynamicpruning" in plan

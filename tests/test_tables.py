@@ -1,4 +1,4 @@
-"""Upserts and the keyed table on files."""
+"""Upserts and the table by buckets."""
 
 from __future__ import annotations
 
@@ -8,10 +8,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from rulestream.operators.merge import upsert
-from rulestream.sources.keyed_table import KeyedTable
-from rulestream.sources.shared import run_folder, written
-from rulestream.sources.sinks import FolderSink
+from rulestream.operators.merge import Versioned, upsert
+from rulestream.sources.bucket_table import BUCKET, BucketTable
+from rulestream.sources.shared import complete, run_folder, written
+from rulestream.sources.sinks import FolderSink, place_of
 
 COLUMNS = "k int, a string, b string"
 
@@ -27,7 +27,7 @@ def rows(spark):
 
 @pytest.fixture
 def made(folder, rows):
-    table = KeyedTable(f"{folder}/table", ("k",), rows.schema)
+    table = BucketTable(f"{folder}/table", ("k",), rows.schema)
     table.create(rows)
     return table
 
@@ -55,37 +55,34 @@ def test_table_reads_back_its_first_load(spark, rows, made):
 
 
 def test_a_table_may_start_empty(spark, folder, rows):
-    table = KeyedTable(f"{folder}/empty", ("k",), rows.schema)
+    table = BucketTable(f"{folder}/empty", ("k",), rows.schema)
     table.create(rows.limit(0))
     assert bag(table.current(spark)) == []
     assert bag(table.lookup(rows)) == []
     table.merge(rows.filter("k < 2").select("k", "a"), 0)
-    assert bag(table.current(spark)) == []
-    table.commit(spark, 0)
     assert bag(table.current(spark)) == [(0, "a0", None), (1, "a1", None)]
 
 
 def put(table, spark, updates, batch_id, run=0):
     table.merge(updates, batch_id, run)
-    table.commit(spark, batch_id, run)
+
+
+def files_of(table):
+    return {str(f.relative_to(table.rows_path)) for f in Path(table.rows_path).rglob("*.parquet")}
 
 
 def test_replayed_batch_changes_nothing(spark, made):
     first = spark.createDataFrame([(1, "one"), (99, "new")], "k int, a string")
     second = spark.createDataFrame([(1, "two")], "k int, b string")
     put(made, spark, first, 0)
-    made.merge(spark.createDataFrame([(2, "lost")], "k int, b string"), 1)
-    # the run fails before it marks the batch, and the replay finds other rows
-    assert (2, "a2", "b2") in bag(made.current(spark))
     put(made, spark, second, 1)
     once = bag(made.current(spark))
     assert (1, "one", "two") in once and (2, "a2", "b2") in once
     put(made, spark, second, 1)
     assert bag(made.current(spark)) == once
-    assert made.committed(spark, 1) and not made.committed(spark, 2)
 
 
-def test_a_later_run_wins_whatever_its_batch_numbers(spark, made):
+def test_a_later_run_follows_whatever_its_batch_numbers(spark, made):
     put(made, spark, spark.createDataFrame([(1, "old"), (2, "old")], "k int, a string"), 7, run=0)
     put(made, spark, spark.createDataFrame([(1, "new")], "k int, a string"), 0, run=1)
     assert {r.k: r.a for r in made.current(spark).collect()}[1] == "new"
@@ -94,10 +91,71 @@ def test_a_later_run_wins_whatever_its_batch_numbers(spark, made):
         1: "new",
         2: "old",
     }
-    made.fold(spark)
-    assert made.committed(spark, 0, run=1)
-    with pytest.raises(ValueError, match="older than run 1"):
-        made.committed(spark, 8, run=0)
+
+
+def test_a_batch_rewrites_the_buckets_it_touches_and_no_other(spark, made):
+    keys = spark.createDataFrame([(3, "x"), (4, "y")], "k int, a string")
+    placed = made._placed(keys, ["k", "a"]).select(BUCKET).distinct().collect()
+    touched = {f"{BUCKET}={r[0]}" for r in placed}
+    before = files_of(made)
+    put(made, spark, keys, 0)
+    after = files_of(made)
+    assert {f.split("/")[0] for f in before - after} == {f.split("/")[0] for f in after - before} == touched
+    assert len(after - before) == len(touched) < len(before)
+
+
+def test_an_interrupted_batch_is_finished_first(spark, made, monkeypatch):
+    """It fails after its buckets are written and before they replace those of the table."""
+    updates = spark.createDataFrame([(1, "x"), (70, "y")], "k int, a string")
+    before = bag(made.current(spark))
+    publish = BucketTable._publish
+
+    def fail(*given):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(BucketTable, "_publish", fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        made.merge(updates, 4)
+    monkeypatch.setattr(BucketTable, "_publish", publish)
+    assert bag(made.current(spark)) == before and complete(spark, place_of(made.staged_path, 0, 4))
+    # another run comes first, with an update of the same row
+    put(made, spark, spark.createDataFrame([(1, "z")], "k int, b string"), 0, run=1)
+    assert {(1, "x", "z"), (70, "y", None)} <= set(bag(made.current(spark)))
+    assert not complete(spark, place_of(made.staged_path, 0, 4))
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 0, 2), (0, 0, 1, 2, 2)])
+def test_versions_make_the_order_of_batches_irrelevant(spark, folder, order):
+    schema = "k int, a string, a_at int, a_seq int, b string"
+    groups = (Versioned(("a", "a_at", "a_seq"), "struct(a_at, a_seq)"),)
+    start = spark.createDataFrame([(1, "first", None, None, "b"), (2, "kept", 9, 9, "b")], schema)
+    table = BucketTable(f"{folder}/versions", ("k",), start.schema, 4, groups)
+    table.create(start)
+    batches = [
+        [(1, "old", 1, 1), (2, "late", 8, 99)],
+        [(1, "new", 2, 2), (3, "own", 1, 1)],
+        [(1, "tie", 2, 1), (3, "more", 1, 2)],
+    ]
+    for place, number in enumerate(order):
+        put(table, spark, spark.createDataFrame(batches[number], "k int, a string, a_at int, a_seq int"), place)
+    assert bag(table.current(spark)) == [(1, "new", 2, 2, "b"), (2, "kept", 9, 9, "b"), (3, "more", 1, 2, None)]
+
+
+def test_a_lookup_prunes_buckets_while_it_runs(spark, made):
+    keys = spark.createDataFrame([(7,)], "k int")
+    found = made.lookup(keys)
+    assert bag(found) == [(7, "a7", "b7")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "PartitionFilters" in line and BUCKET in line]
+    assert any("dynamicpruning" in line for line in scans)
+    assert bag(made.lookup(keys.limit(0))) == []
+
+
+def test_a_resized_table_has_the_same_rows(spark, made, folder):
+    put(made, spark, spark.createDataFrame([(1, "x")], "k int, a string"), 0)
+    copy = made.resized(spark, f"{folder}/copy", 3)
+    assert bag(copy.current(spark)) == bag(made.current(spark))
+    assert len({f.split("/")[0] for f in files_of(copy)}) == 3
 
 
 def test_keys_are_unique_in_the_table_and_in_an_upsert(spark, made, rows):
@@ -116,7 +174,7 @@ def test_keys_are_unique_in_the_table_and_in_an_upsert(spark, made, rows):
 def test_names_with_a_dot(spark, folder):
     schema = "`k.x` int, `a.b` string, c string"
     start = spark.createDataFrame([(1, "a", "c"), (2, "b", "d")], schema)
-    table = KeyedTable(f"{folder}/dots", ("k.x",), start.schema)
+    table = BucketTable(f"{folder}/dots", ("k.x",), start.schema)
     table.create(start)
     changes = spark.createDataFrame([(2, "z"), (3, "y")], "`k.x` int, `a.b` string")
     put(table, spark, changes, 0)
@@ -124,44 +182,6 @@ def test_names_with_a_dot(spark, folder):
     assert bag(table.current(spark)) == bag(upsert(start, changes, ["k.x"])) == expected
 
 
-def test_lookup_reads_as_many_files_after_twenty_batches(spark, made):
-    keys = spark.createDataFrame([(7,)], "k int")
-    counts = []
-    for number in range(20):
-        put(made, spark, spark.createDataFrame([(7, str(number))], "k int, a string"), number)
-        if number % 5 == 4:
-            made.fold(spark)
-            found = made.lookup(keys)
-            assert bag(found) == [(7, str(number), "b7")]
-            counts.append(len(found.inputFiles()))
-    assert len(set(counts)) == 1
-    assert bag(made.lookup(keys.limit(0))) == []
-
-
-def test_first_load_is_neither_ranked_nor_shuffled(spark, made):
-    put(made, spark, spark.createDataFrame([(1, "x")], "k int, a string"), 0)
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    first = sum(f.stat().st_size for f in Path(f"{made.path}/generation=0/base").rglob("*.parquet"))
-    # the first load alone is larger than the limit, the batch is not
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(first - 1))
-    try:
-        plan = made.current(spark)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" not in plan
-
-
-def test_fold(spark, made):
-    put(made, spark, spark.createDataFrame([(1, "x"), (70, "y")], "k int, a string"), 0)
-    before = bag(made.current(spark))
-    made.merge(spark.createDataFrame([(3, "unseen")], "k int, a string"), 1)
-    made.fold(spark)
-    assert bag(made.current(spark)) == before
-    put(made, spark, spark.createDataFrame([(3, "seen")], "k int, a string"), 1)
-    assert (3, "seen", "b3") in bag(made.current(spark))
-
-
 @settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
@@ -170,14 +190,12 @@ def test_table_behaves_like_a_dict(spark, batches):
     start = {k: str(k) for k in range(6)}
     schema = "k int, a string"
     first = spark.createDataFrame(list(start.items()), schema)
-    table = KeyedTable(run_folder(spark, "dict"), ("k",), first.schema)
+    table = BucketTable(run_folder(spark, "dict"), ("k",), first.schema)
     table.create(first)
     expected = dict(start)
     for number, batch in enumerate(batches):
         changes = {k: str(v) for k, v in batch.items()}
         put(table, spark, spark.createDataFrame(list(changes.items()), schema), number)
-        if number == 1:
-            table.fold(spark)
         expected |= changes
     assert bag(table.current(spark)) == sorted(expected.items(), key=str)
     keys = spark.createDataFrame([(k,) for k in range(0, 13, 2)], "k int")
