@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -58,9 +60,20 @@ def ranked(df: DataFrame, klass: str, tie: Column, rank: str, per_cell: int = 50
     )
 
 
-def coded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def in_parts(batches: Iterable[pa.RecordBatch], column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that a part has about ``size`` bytes of a text column, and one text at least."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = (np.cumsum(lengths) - lengths) // size
+        for begin, end in pairwise([*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(batch)]):
+            yield batch.slice(begin, end - begin)
+
+
+def coded_words(
+    texts: pa.Array, split_up: Callable[[pa.Array], pa.Array] = pc.utf8_split_whitespace
+) -> tuple[list[str], np.ndarray, np.ndarray]:
     """White-space separated words of texts: the distinct ones, the number of each word's, words per text."""
-    split = pc.utf8_split_whitespace(pc.fill_null(pc.cast(texts, pa.large_string()), ""))
+    split = split_up(pc.fill_null(pc.cast(texts, pa.large_string()), ""))
     coded = split.flatten().dictionary_encode()
     codes, counts = coded.indices.to_numpy(), np.diff(split.offsets.to_numpy())
     if (empty := coded.dictionary.index("").as_py()) >= 0:  # before and after white space at the ends of a text

@@ -14,6 +14,7 @@ from rulestream.llm.secrets import KINDS, all_spans, joined_spans, secret_spans
 from rulestream.llm.sharding import shard_documents
 from rulestream.llm.simhash import near_duplicates
 from rulestream.llm.sketch import fingerprints
+from rulestream.llm.substring import without_repeats
 from rulestream.llm.tiling import contaminated
 from rulestream.llm.tokens import count_tokens
 from rulestream.llm.toxicity import Model, held_out, learn, with_score
@@ -113,5 +114,26 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_document_fingerprints, op8_lm_scoring, op9_toxicity, op10_best_fit_packing)}
-ORACLES: dict[str, str] = {}
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of passages of 35 words or more that occur more than once."""
+    made = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP12_SQL = r"""
+WITH own AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+windows AS (SELECT place, unnest(range(1, len(words) - 33)) AS start, words FROM own),
+told AS (SELECT place, start, array_to_string(words[start : start + 34], ' ') AS window_text FROM windows),
+again AS (SELECT window_text FROM told GROUP BY window_text HAVING count(*) > 1),
+covered AS (SELECT DISTINCT place, start + unnest(range(0, 35)) AS spot FROM told SEMI JOIN again USING (window_text)),
+removed AS (SELECT place, count(*) AS n, list(spot) AS gone FROM covered GROUP BY place)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(CASE WHEN n IS NULL THEN array_to_string(words, ' ') ELSE
+         coalesce(array_to_string(list_filter(words, lambda x, i: NOT list_contains(gone, i)), ' '), '') END) AS kept_sha256
+FROM own LEFT JOIN removed USING (place)"""
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_document_fingerprints, op8_lm_scoring, op9_toxicity, op10_best_fit_packing, op12_substring_dedup)}
+ORACLES: dict[str, str] = {"op12_substring_dedup": OP12_SQL}
