@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulestream.llm.lexical import top_documents
 from rulestream.llm.lm import trained, vocabulary_of, with_pseudo_likelihood, word_counts
 from rulestream.llm.packing import pack_documents
 from rulestream.llm.secrets import KINDS, all_spans, joined_spans, secret_spans
@@ -114,6 +115,29 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+OP11_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS place, doc_id, {TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+stats AS (SELECT count(*) AS many, CAST(sum(len(terms)) AS BIGINT) AS total FROM docs WHERE len(terms) > 0),
+items AS (SELECT row_number() OVER () AS number, item_id, {TERMS} AS terms FROM benchmark WHERE text IS NOT NULL),
+asked AS (SELECT number, item_id, term, count(*) AS often FROM (SELECT number, item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+held AS (SELECT place, doc_id, n, term, count(*) AS tf
+         FROM (SELECT place, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * many + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, stats GROUP BY term, many),
+scored AS (
+  SELECT number, item_id, place, doc_id,
+         sum(often * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * many) // total)))) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term), stats GROUP BY number, item_id, place, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY number ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10"""
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of passages of 35 words or more that occur more than once."""
     made = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -135,5 +159,5 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_remove
 FROM own LEFT JOIN removed USING (place)"""
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_document_fingerprints, op8_lm_scoring, op9_toxicity, op10_best_fit_packing, op12_substring_dedup)}
-ORACLES: dict[str, str] = {"op12_substring_dedup": OP12_SQL}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_document_fingerprints, op8_lm_scoring, op9_toxicity, op10_best_fit_packing, op11_lexical_search, op12_substring_dedup)}
+ORACLES: dict[str, str] = {"op11_lexical_search": OP11_SQL, "op12_substring_dedup": OP12_SQL}
