@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulestream.llm.alignment import aligned_tokens
 from rulestream.llm.lexical import top_documents
 from rulestream.llm.lm import trained, vocabulary_of, with_pseudo_likelihood, word_counts
 from rulestream.llm.packing import pack_documents
@@ -159,5 +160,11 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_remove
 FROM own LEFT JOIN removed USING (place)"""
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_document_fingerprints, op8_lm_scoring, op9_toxicity, op10_best_fit_packing, op11_lexical_search, op12_substring_dedup)}
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in two tokenizations, aligned by bytes."""
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return aligned_tokens(table(spark, sf_dir, "documents"), *paths)
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_token_counts, op3_secret_scans, op4_warc, op5_benchmark_decontamination, op6_simhash_near_dedup, op7_document_fingerprints, op8_lm_scoring, op9_toxicity, op10_best_fit_packing, op11_lexical_search, op12_substring_dedup, op13_tokenizer_alignment)}
 ORACLES: dict[str, str] = {"op11_lexical_search": OP11_SQL, "op12_substring_dedup": OP12_SQL}
