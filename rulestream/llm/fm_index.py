@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: The bits of a word below each of its places.
+BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
     """Places of all suffixes in their order, by doubling the length that is compared. No two suffixes may be alike."""
@@ -42,19 +45,19 @@ class WaveletTree:
             self.zeros.append(int(len(symbols) - self.ones[-1][-1]))
             symbols = np.concatenate([symbols[bits == 0], symbols[bits == 1]])
 
+        kinds = np.arange(size)
+        self.begin = self._down(kinds, np.zeros(size, dtype=np.int64))
+
     def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Occurrences of each symbol before each place."""
-        low, high = np.zeros_like(place), place
-        for row, level in enumerate(reversed(range(self.levels))):
-            one = ((symbol >> level) & 1).astype(bool)
-            low, high = (self._down(row, at, one) for at in (low, high))
-        return high - low
+        return self._down(symbol, place) - self.begin[symbol]
 
-    def _down(self, row: int, place: np.ndarray, one: np.ndarray) -> np.ndarray:
-        word = place >> 6
-        below = (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1)
-        ones = self.ones[row][word] + np.bitwise_count(self.words[row][word] & below)
-        return np.where(one, self.zeros[row] + ones, place - ones)
+    def _down(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
+        for row, level in enumerate(reversed(range(self.levels))):
+            word = place >> 6
+            ones = self.ones[row][word] + np.bitwise_count(self.words[row][word] & BELOW[place & 63])
+            place = np.where((symbol >> level) & 1, self.zeros[row] + ones, place - ones)
+        return place
 
 
 class FMIndex:
@@ -85,8 +88,9 @@ class FMIndex:
 
     def extended(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The suffixes that begin with the symbol and go on with those between low and high."""
-        before = self.first[symbol]
-        return before + self.tree.rank(symbol, low), before + self.tree.rank(symbol, high)
+        both = np.concatenate([symbol, symbol])
+        found = self.first[both] + self.tree.rank(both, np.concatenate([low, high]))
+        return found[: len(symbol)], found[len(symbol) :]
 
     def weight(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Weight of the sequences in which these suffixes lie."""
