@@ -34,6 +34,10 @@ BLOCK = 8192
 BATCH = 32 * BLOCK
 
 MARK = "▁".encode()
+#: Letters below this one are Latin.
+LATIN = "\u0250"
+# Fixed value: the pattern by which byte-level files of this kind cut a text.
+WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_letters() -> dict[str, int]:
@@ -44,23 +48,24 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """The bytes of all tokens, one after the other."""
+    """The bytes of all tokens."""
 
     def __init__(self, tokens: list[bytes]) -> None:
+        self.tokens = tokens
         self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
 
-    def joined(self, ids: np.ndarray) -> np.ndarray:
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.bytes[np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(total)]
+    def joined(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 @lru_cache(maxsize=1)
 def byte_level(path: str) -> tuple[Callable[[list[str]], list[list[int]]], Vocabulary]:
-    """The encoder of a byte-level file, which takes special strings as plain text, and the bytes of its tokens."""
+    """The encoder of a byte-level file, which takes special strings as plain text, and the bytes of its tokens.
+
+    Where the numbers of the tokens follow the order of the merges, tiktoken finds the same tokens by them, several times
+    faster. It gets the texts of Latin letters; for others the two libraries may know letters of different versions of Unicode.
+    """
+    import tiktoken
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -68,14 +73,25 @@ def byte_level(path: str) -> tuple[Callable[[list[str]], list[list[int]]], Vocab
     letters = byte_letters()
     with open(path, encoding="utf-8") as file:
         given = json.load(file)
+    special = {t["content"] for t in given["added_tokens"]}
     entries = given["model"]["vocab"]
-    tokens = [b""] * (max([*entries.values(), *(t["id"] for t in given["added_tokens"])]) + 1)
-    for entry, number in entries.items():
-        if all(c in letters for c in entry):
-            tokens[number] = bytes(letters[c] for c in entry)
+    numbers = {bytes(letters[c] for c in e): n for e, n in entries.items() if e not in special and all(c in letters for c in e)}
+    tokens = [b""] * (max(entries.values()) + 1)
+    for token, number in numbers.items():
+        tokens[number] = token
+    merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in given["model"]["merges"]]
+    places = [entries[m] for m in merges]
+    fast = None
+    if places == sorted(places) and len(numbers) == 256 + len(merges):
+        fast = tiktoken.Encoding("bytes", pat_str=WORDS, mergeable_ranks=numbers, special_tokens={})
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+        return [
+            fast.encode_ordinary(text)
+            if fast and (text.isascii() or max(text) < LATIN)
+            else tokenizer.encode(text, add_special_tokens=False).ids
+            for text in texts
+        ]
 
     return encode, Vocabulary(tokens)
 
@@ -112,36 +128,28 @@ class Aligned:
         given = [" " + t if t else "" for t in texts]
         raw = [t.encode() for t in given]
         sizes = np.fromiter(map(len, raw), dtype=np.int64, count=size)
-        a, n_a = flat(encode_a(given))
-        b, n_b = flat(encode_b([t[1:] for t in given]))
-        alike = (sizes > 0) & self.same(raw, sizes, a, n_a, bytes_a) & self.same(raw, sizes, b, n_b, bytes_b)
-        self.a, self.n_a, ends_a = self.kept(a, n_a, alike, sizes, bytes_a)
-        self.b, self.n_b, ends_b = self.kept(b, n_b, alike, sizes, bytes_b)
-        #: Each stretch between ends of either side is one link.
-        ends = np.union1d(ends_a, ends_b)
-        self.link_a = np.searchsorted(ends_a, ends)
-        self.link_b = np.searchsorted(ends_b, ends)
+        lists_a, lists_b = encode_a(given), encode_b([t[1:] for t in given])
+        sides = zip(raw, lists_a, lists_b, strict=True)
+        alike = np.array([len(t) > 0 and bytes_a.joined(x) == t == bytes_b.joined(y) for t, x, y in sides], dtype=bool)
+        self.a, self.n_a, ends_a = self.kept(lists_a, alike, bytes_a)
+        self.b, self.n_b, ends_b = self.kept(lists_b, alike, bytes_b)
+        # each stretch between ends of either side is one link
         upto = np.cumsum(np.where(alike, sizes, 0))
+        marks = np.zeros((2, (int(upto[-1]) if size else 0) + 1), dtype=bool)
+        marks[0, ends_a] = marks[1, ends_b] = True
+        before = np.cumsum(marks, axis=1, dtype=np.int32) - marks
+        ends, both = np.flatnonzero(marks[0] | marks[1]), np.flatnonzero(marks[0] & marks[1])
+        self.link_a, self.link_b = before[0, ends].astype(np.int64), before[1, ends].astype(np.int64)
         self.link_doc = np.searchsorted(upto, ends)
         self.n_links = np.bincount(self.link_doc, minlength=size)
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
         self.n_groups = np.bincount(np.searchsorted(upto, both), minlength=size)
         self.group_a, self.group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
 
     @staticmethod
-    def same(raw: list[bytes], sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-        """Whether the tokens of each text have its bytes."""
-        of_tokens = np.concatenate([[0], np.cumsum(vocabulary.lengths[ids])])
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        joined = vocabulary.joined(ids).tobytes()
-        places = of_tokens[bounds].tolist()
-        return np.array([joined[x:y] == t for t, x, y in zip(raw, places, places[1:], strict=False)], dtype=bool)
-
-    @staticmethod
-    def kept(ids, counts, alike, sizes, vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def kept(lists: list[list[int]], alike: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The tokens of the texts that stay, their number per text, and where each ends among the bytes of these texts."""
-        ids = ids[np.repeat(alike, counts)]
-        return ids, np.where(alike, counts, 0), np.cumsum(vocabulary.lengths[ids])
+        ids, counts = flat([own if stays else [] for own, stays in zip(lists, alike.tolist(), strict=True)])
+        return ids, counts, np.cumsum(vocabulary.lengths[ids])
 
     def digests(self) -> list[str]:
         """The digest of each text's groups as numbers: those of a group by commas, sides by a bar, groups by semicolons."""
