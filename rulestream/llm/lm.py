@@ -21,6 +21,8 @@ REACH = (-2, -1, 1, 2)
 CLASSES = 32
 SIZE = CLASSES * CLASSES
 WIDTH = 16
+#: Power of the number of distinct words by which the classes grow: a word costs as much as there are classes.
+GROWTH = 0.23
 #: Words that are scored together.
 BATCH = 8192
 
@@ -71,43 +73,55 @@ class Network:
         return np.tanh(total)
 
     @staticmethod
-    def _softmax(logits: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _softmax(logits: np.ndarray, picked: np.ndarray) -> np.ndarray:
+        """The log-probability of the picked ones; the logits become probabilities."""
         logits -= logits.max(axis=1, keepdims=True)
-        chance = np.exp(logits)
-        sums = chance.sum(axis=1, keepdims=True)
-        return chance / sums, np.take_along_axis(logits, picked[:, None], 1)[:, 0] - np.log(sums[:, 0])
+        own = logits[np.arange(len(picked)), picked]
+        np.exp(logits, out=logits)
+        sums = logits.sum(axis=1)
+        logits /= sums[:, None]
+        return own - np.log(sums)
 
     def log_chances(self, around: np.ndarray, target: np.ndarray, grads: list[np.ndarray] | None = None) -> np.ndarray:
-        """The log-probability of each target; also the summed gradients of their negative, if asked for."""
+        """The log-probability of each target; also the summed gradients of their negative, if asked for.
+
+        The targets are sorted by class, so that each class is one product over rows that lie together.
+        """
         side = len(self.class_bias)
         size = side * side
-        kind, member = np.divmod(target.astype(np.int64), side)
+        kind, member = np.divmod(target.astype(np.int32), np.int32(side))
+        order = np.argsort(kind.astype(np.int16 if side < 2**15 else np.int32), kind="stable")
+        kind, member, around = kind[order], member[order], around[order]
+        bounds = np.searchsorted(kind, np.arange(side + 1))
+        classes = np.flatnonzero(np.diff(bounds)).tolist()
         hidden = self.forward(around)
-        chance, logs = self._softmax(hidden @ self.by_class + self.class_bias, kind)
-        logs = logs.astype(np.float64)
+        chance = hidden @ self.by_class + self.class_bias
+        within = np.empty((len(kind), side), dtype=np.float32)
+        for c in classes:
+            own = slice(bounds[c], bounds[c + 1])
+            np.matmul(hidden[own], self.by_word[c], out=within[own])
+            within[own] += self.word_bias[c]
+        logs = np.empty(len(kind))
+        logs[order] = self._softmax(chance, kind).astype(np.float64) + self._softmax(within, member)
         if grads is not None:
-            chance[np.arange(len(kind)), kind] -= 1
+            at = np.arange(len(kind))
+            chance[at, kind] -= 1
+            within[at, member] -= 1
             back = chance @ self.by_class.T
             grads[2] += hidden.T @ chance
             grads[3] += chance.sum(axis=0)
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(side + 1))
-        for c in np.flatnonzero(np.diff(bounds)):
-            own = order[bounds[c] : bounds[c + 1]]
-            chance, within = self._softmax(hidden[own] @ self.by_word[c] + self.word_bias[c], member[own])
-            logs[own] += within
-            if grads is not None:
-                chance[np.arange(len(own)), member[own]] -= 1
-                back[own] += chance @ self.by_word[c].T
-                grads[4][c] += hidden[own].T @ chance
-                grads[5][c] += chance.sum(axis=0)
-        if grads is not None:
+            for c in classes:
+                own = slice(bounds[c], bounds[c + 1])
+                back[own] += within[own] @ self.by_word[c].T
+                grads[4][c] += hidden[own].T @ within[own]
+            if classes:
+                grads[5][classes] += np.add.reduceat(within, bounds[classes], axis=0)
             back *= 1 - hidden * hidden
             grads[1] += back.sum(axis=0)
-            places = np.arange(WIDTH)
+            weights, places = back.astype(np.float64).ravel(), np.arange(WIDTH)
             for place in range(len(REACH)):
-                at = (around[:, place].astype(np.int64)[:, None] * WIDTH + places).ravel()
-                grads[0][place] += np.bincount(at, back.ravel(), size * WIDTH).reshape(size, WIDTH)
+                spots = (around[:, place].astype(np.int64)[:, None] * WIDTH + places).ravel()
+                grads[0][place] += np.bincount(spots, weights, size * WIDTH).reshape(size, WIDTH)
         return logs
 
 
@@ -145,7 +159,11 @@ def coded_windows(
     """The numbers of the distinct words, then the windows of the texts that are coded by them."""
     size = side_for(vocabulary) ** 2
     kind = np.int16 if size <= 2**15 else np.int32
-    numbers = np.fromiter((number_of(w.lower(), vocabulary, size) for w in distinct), dtype=kind, count=len(distinct))
+    lowered = [w.lower() for w in distinct]
+    numbers = np.fromiter((vocabulary.get(w, -1) for w in lowered), dtype=kind, count=len(distinct))
+    last, many = size - 1, endings_of(size)
+    outside = np.flatnonzero(numbers < 0)
+    numbers[outside] = [last - zlib.crc32(lowered[i][-3:].encode()) % many for i in outside.tolist()]
     target = numbers[codes]
     ends = np.cumsum(counts)
     first, last = np.repeat(ends - counts, counts), np.repeat(ends, counts)
@@ -174,10 +192,11 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 def vocabulary_of(docs: DataFrame, text: str, counted: DataFrame | None = None) -> dict[str, int]:
     """Numbers of the most frequent words, by counts over all texts; the others share numbers by their endings.
 
-    The numbers grow with the square root of the distinct words.
+    The numbers grow with the distinct words, as the power 2 x ``GROWTH`` of them; the counts that give each word its share of
+    its number are those of all words.
     """
     counted = word_counts(docs, text) if counted is None else counted
-    side = max(CLASSES, math.ceil(math.sqrt(2) * counted.count() ** 0.25))
+    side = max(CLASSES, math.ceil(counted.count() ** GROWTH))
     top = counted.orderBy(F.desc("n"), "word").limit(room(side)).collect()
     return {row["word"]: number for number, row in enumerate(top, start=1)}
 
