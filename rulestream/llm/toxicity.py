@@ -23,15 +23,50 @@ SLICE, ROWS = 500, 2_500
 NOT_WORD = re.compile(r"\W+")
 CLAUSE_END = re.compile(r"[.!?;:][\"')\]]*$")
 
-# Closed classes of words of the grammar.
-TARGET = frozenset("you your you're youre he she they them him her his their these those people everyone".split())
-NEGATION = frozenset("not no never isn't aren't wasn't weren't don't doesn't didn't neither nor without".split())
-REPORT = frozenset("said says say told tells wrote writes claimed claims called quoted quote reported according".split())
-INTENT = frozenset("will gonna going shall should must i'll we'll".split())
-HARM = frozenset("kill hurt beat destroy shoot stab hang burn punish murder die".split())
-
-#: What a matched insult or threat counts for, by the way its clause presents it. A plain one counts as learned.
-WEIGHTS = {"plain": 1.0, "aimed": 1.5, "negated": 0.2, "reported": 0.3, "threat": 4.0}
+# Closed classes of words of the grammar, by language. A clause is read in the language whose words it has most of.
+LANGUAGES = ("en", "de", "fr", "es")
+FUNCTION = {
+    "en": "the of and to in is it that was for on are with as be at this have from or had by not but what you your he she they will",
+    "de": "der die das und ist nicht ein eine zu mit den von ich du er sie wir ihr auf für im dem des sich auch als war wird",
+    "fr": "le la les et est un une de des du que qui dans pour pas ne au ce il elle nous vous je tu sur avec par sont en",
+    "es": "el la los las y es un una de del que en por para no con su al lo se yo tú él ella como más pero son",
+}
+CLOSED = {
+    "en": {
+        "target": "you your you're youre he she they them him her his these those people everyone",
+        "negation": "not no never isn't aren't wasn't weren't don't doesn't didn't neither nor without",
+        "report": "said says say told tells wrote writes claimed claims called quoted quote reported according",
+        "intent": "will gonna going shall should must i'll we'll",
+        "harm": "kill hurt beat destroy shoot stab hang burn punish murder die",
+    },
+    "de": {
+        "target": "du dich dir dein deine er sie ihn ihm ihr euch ihnen diese jene leute alle",
+        "negation": "nicht kein keine keinen nie niemals weder noch ohne",
+        "report": "sagte sagt sagen schrieb schreibt behauptete behauptet nannte zitierte laut",
+        "intent": "werde werden wirst wird will wollen soll sollen muss müssen",
+        "harm": "töten umbringen schlagen verletzen zerstören erschießen erstechen verbrennen ermorden",
+    },
+    "fr": {
+        "target": "tu toi te ton ta vous votre il elle ils elles lui leur eux ces gens tous",
+        "negation": "ne pas non jamais aucun aucune ni sans",
+        "report": "dit dire disait disent écrit écrivait affirme affirmait cité selon",
+        "intent": "vais va allons vont veux veut dois doit devons",
+        "harm": "tuer blesser frapper détruire brûler poignarder pendre punir assassiner",
+    },
+    "es": {
+        "target": "tú tu te ti usted ustedes él ella ellos ellas le les esos esas gente todos",
+        "negation": "no nunca jamás ningún ninguna ni sin tampoco",
+        "report": "dijo dice decir dicen escribió escribe afirmó afirma citó según",
+        "intent": "voy va vamos van quiero quiere debo debe debemos",
+        "harm": "matar herir golpear destruir disparar apuñalar quemar castigar asesinar",
+    },
+}
+KNOWN = {name: {word: kind for kind, words in CLOSED[name].items() for word in words.split()} for name in LANGUAGES}
+SPOKEN = {name: frozenset(FUNCTION[name].split()) for name in LANGUAGES}
+
+#: How a clause presents an insult or a threat. Each has a learned coefficient, and begins with that given here.
+CLASSES = ("plain", "aimed", "negated", "reported", "threat")
+PRIOR = [-4.0, 1.0, 1.5, 0.0, 0.0, 3.0, 1.0]
 #: Words of a clause over which a negation or a target reaches.
 REACH = 3
 
@@ -90,57 +125,82 @@ def grammar() -> Transducer:
 GRAMMAR = grammar()
 
 
+@dataclass(frozen=True)
+class Reading:
+    """What a word may be: its symbol in each language, its weight as an insult, and the languages that have it as a function word."""
+
+    symbols: tuple[str, ...]
+    weight: float
+    spoken: tuple[bool, ...]
+    ends: bool
+
+
 @dataclass
 class Model:
     """Learned stems with their weights, and the coefficients that turn features into a score."""
 
     stems: dict[str, float]
-    coefficients: list[float] = field(default_factory=lambda: [-4.0, 1.0, 1.0])
+    coefficients: list[float] = field(default_factory=lambda: list(PRIOR))
 
-    def read(self, word: str) -> tuple[str, float]:
-        """The symbol of a word, marked with . where it ends a clause, and its weight if it is an insult."""
-        ends = "." if CLAUSE_END.search(word) else ""
+    def read(self, word: str) -> Reading:
         plain = word.lower().strip(".,;:!?\"()[]")
-        for symbol, words in (("target", TARGET), ("negation", NEGATION), ("report", REPORT), ("intent", INTENT), ("harm", HARM)):
-            if plain in words:
-                return symbol + ends, 0.0
-        letters = NOT_WORD.sub("", plain) + END
+        letters, weight = NOT_WORD.sub("", plain) + END, 0.0
         for size in range(STEM[0], min(STEM[1], len(letters)) + 1):
-            if (weight := self.stems.get(letters[:size])) is not None:
-                return "insult" + ends, weight
-        return "other" + ends, 0.0
-
-    def strength(self, symbols: list[str], weights: list[float]) -> float:
-        """The summed weight of the matched clauses of a text."""
-        total, state = 0.0, GRAMMAR.start
-        for symbol, weight in zip(symbols, weights, strict=True):
-            name = symbol.rstrip(".")
-            state, out = GRAMMAR.step(state, name)
-            if name == "insult" or out == "threat":
-                total += WEIGHTS["plain" if out == "insult" else out] * (weight or 1.0)
-            elif name == "harm" and out in WEIGHTS:  # a threat that is negated or reported
-                total += WEIGHTS[out]
-            if symbol != name:
-                state = GRAMMAR.start
-        return total
+            if (found := self.stems.get(letters[:size])) is not None:
+                weight = found
+                break
+        other = "insult" if weight else "other"
+        symbols = tuple(KNOWN[name].get(plain, other) for name in LANGUAGES)
+        return Reading(symbols, weight, tuple(plain in SPOKEN[name] for name in LANGUAGES), bool(CLAUSE_END.search(word)))
+
+    def clause(self, words: list[Reading], language: int) -> np.ndarray:
+        """Summed weights of a clause by class, as the transducer reads it in a language; a threat counts 1."""
+        sums, state = np.zeros(len(CLASSES)), GRAMMAR.start
+        for word in words:
+            symbol = word.symbols[language]
+            state, out = GRAMMAR.step(state, symbol)
+            if symbol == "insult":
+                sums[CLASSES.index("plain" if out == "insult" else out)] += word.weight
+            elif symbol == "harm" and out in CLASSES:  # one that is meant, or a negated or reported one
+                sums[CLASSES.index(out)] += 1.0
+        return sums
+
+    def classes(self, words: list[Reading]) -> np.ndarray:
+        """Summed weights of the clauses of a text by class.
+
+        A clause is read in the language of most of its function words; one without any like the text.
+        """
+        ends = [i for i, word in enumerate(words, start=1) if word.ends or i == len(words)]
+        overall = np.sum([w.spoken for w in words], axis=0, dtype=np.int64)
+        sums = np.zeros(len(CLASSES))
+        for begin, end in zip([0, *ends], ends, strict=False):
+            own = words[begin:end]
+            if any(w.weight or "harm" in w.symbols for w in own):
+                votes = np.sum([w.spoken for w in own], axis=0, dtype=np.int64)
+                sums += self.clause(own, int(np.argmax(votes if votes.any() else overall)))
+        return sums
 
     def features(self, texts: pa.Array) -> np.ndarray:
-        """Rows (1, log of strength, log of strength per hundred words)."""
+        """Rows of 1, the log of the strength of each class, and the log of all but negated and reported ones per hundred words."""
         if len(texts) > ROWS:
             return np.concatenate([self.features(texts.slice(i, ROWS)) for i in range(0, len(texts), ROWS)])
         distinct, codes, counts = coded_words(texts)
         read = [self.read(word) for word in distinct]
-        symbols = np.array([symbol for symbol, _ in read], dtype=object)
-        weights = np.array([weight for _, weight in read], dtype=np.float64)
         ends = np.cumsum(counts)
-        loud = np.array([symbol.startswith(("insult", "harm")) for symbol, _ in read], dtype=bool)
-        heard = np.r_[0, np.cumsum(loud[codes])]
-        strength = np.zeros(len(counts))
-        for row in np.flatnonzero(heard[ends] > heard[ends - counts]):
-            own = codes[ends[row] - counts[row] : ends[row]]
-            strength[row] = self.strength(symbols[own].tolist(), weights[own].tolist())
-        rate = strength * 100 / np.maximum(counts, 20)
-        return np.stack([np.ones(len(counts)), np.log1p(strength), np.log1p(rate)], axis=1)
+
+        def holds(mask: list[bool]) -> np.ndarray:
+            upto = np.r_[0, np.cumsum(np.array(mask, dtype=bool)[codes])]
+            return upto[ends] > upto[ends - counts]
+
+        loud = holds([r.weight > 0 for r in read])
+        for place in range(len(LANGUAGES)):  # words of harm count with an intent of their language only
+            loud |= holds([r.symbols[place] == "harm" for r in read]) & holds([r.symbols[place] == "intent" for r in read])
+        strength = np.zeros((len(counts), len(CLASSES)))
+        for row in np.flatnonzero(loud):
+            strength[row] = self.classes([read[c] for c in codes[ends[row] - counts[row] : ends[row]].tolist()])
+        said = strength.sum(axis=1) - strength[:, CLASSES.index("negated")] - strength[:, CLASSES.index("reported")]
+        rate = said * 100 / np.maximum(counts, 20)
+        return np.column_stack([np.ones(len(counts)), np.log1p(strength), np.log1p(rate)])
 
     def score(self, texts: pa.Array) -> np.ndarray:
         value = self.features(texts) @ np.array(self.coefficients)
@@ -205,12 +265,13 @@ def chosen_stems(counts: dict[str, tuple[int, int, int]], clean: int, toxic: int
     return out
 
 
-def fitted(features: np.ndarray, labels: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -> list[float]:
-    """Logistic regression by Newton's method."""
+def fitted(features: np.ndarray, labels: np.ndarray, prior: list[float], rounds: int = 50, ridge: float = 1e-2) -> list[float]:
+    """Logistic regression by Newton's method. Features that the labels say nothing of keep their prior coefficient."""
+    before = np.array(prior)
     weights = np.zeros(features.shape[1])
     for _ in range(rounds):
         chance = 1 / (1 + np.exp(-np.clip(features @ weights, -30, 30)))
-        slope = features.T @ (labels - chance) - ridge * weights
+        slope = features.T @ (labels - chance) - ridge * (weights - before)
         curve = (features * (chance * (1 - chance))[:, None]).T @ features + ridge * np.eye(len(weights))
         weights = weights + np.linalg.solve(curve, slope)
     return [round(float(w), 6) for w in weights]
@@ -251,16 +312,14 @@ def learn(
 
         def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                values = model.features(batch.column("text"))
-                columns = [pa.array(values[:, 1]), pa.array(values[:, 2]), batch.column("_label")]
-                yield pa.RecordBatch.from_arrays(columns, names=["strength", "rate", "label"])
+                values = pa.array(model.features(batch.column("text")).tolist(), type=pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([values, batch.column("_label")], names=["features", "label"])
 
-        rows = labelled.mapInArrow(describe, "strength DOUBLE, rate DOUBLE, label INT")
-        points = rows.groupBy(*(F.round(c, 2).alias(c) for c in ("strength", "rate")), "label").count().collect()
+        # as many rows as labels were drawn
+        points = labelled.mapInArrow(describe, "features ARRAY<DOUBLE>, label INT").collect()
         if points:
-            x = np.array([[1.0, row["strength"], row["rate"]] for row in points for _ in range(row["count"])])
-            y = np.array([row["label"] for row in points for _ in range(row["count"])], dtype=np.float64)
-            model.coefficients = fitted(x, y)
+            x = np.array([row["features"] for row in points])
+            model.coefficients = fitted(x, np.array([row["label"] for row in points], dtype=np.float64), PRIOR)
         return model
     finally:
         labelled.unpersist()
@@ -269,10 +328,10 @@ def learn(
 def with_score(docs: DataFrame, model: Model, *, text: str = "text", into: str = "score") -> DataFrame:
     """Every row with its score from 0 to 1; nothing is shuffled. A column named as ``into`` is replaced.
 
-    The score rests on the text alone: words become symbols (learned insult stems, words of
-    harm and intent, targets, negations, verbs of reporting), the composed transducers read them clause by
-    clause, and the weights of what they match add up. Null and empty texts match nothing and
-    get the lowest score of the model.
+    The score rests on the text alone: words become symbols (learned insult stems; words of
+    harm and intent, targets, negations, verbs of reporting of the clause's own language), the composed transducers read them clause by
+    clause, and the weights of what they match add up by the way the clause presents it: plain, aimed at someone, negated,
+    reported, or a threat. How much each counts is learned. Null and empty texts match nothing.
     """
     rest = [c for c in docs.columns if c != into]
     schema = docs.select(*rest, F.lit(0.0).alias(into)).schema

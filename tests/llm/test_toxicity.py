@@ -6,7 +6,7 @@ import zlib
 import pyarrow as pa
 import pytest
 
-from rulestream.llm.toxicity import GRAMMAR, Model, Transducer, composed, held_out, learn, with_score
+from rulestream.llm.toxicity import CLASSES, GRAMMAR, LANGUAGES, REACH, Model, Transducer, composed, held_out, learn, with_score
 from tests.llm.cases import ODD, frame, texts
 
 WORDS = ("grumbler", "snotface", "twitbag")
@@ -52,22 +52,94 @@ def test_columns_stay_and_odd_texts_score_low(spark, learned):
     assert with_score(frame(spark, []), model).collect() == []
 
 
-def strength(text):
+def classes(text):
     model = Model({"idiot$": 2.0})
-    read = [model.read(word) for word in text.split()]
-    return model.strength([s for s, _ in read], [w for _, w in read])
+    found = model.classes([model.read(word) for word in text.split()])
+    return {name: value for name, value in zip(CLASSES, found.tolist(), strict=True) if value}
 
 
 def test_clauses_count_by_how_they_present_an_insult():
-    assert strength("some idiot came by") == pytest.approx(2.0)
-    assert strength("you idiot") == pytest.approx(3.0)
-    assert strength("not an idiot") == pytest.approx(0.4)
-    assert strength("he said idiot often") == pytest.approx(0.6)
-    assert strength("he said nothing. Some idiot came") == pytest.approx(2.0)
-    assert strength("you and all of the others there idiot") == pytest.approx(2.0)
-    assert strength("i will kill them") == pytest.approx(4.0)
-    assert strength("kill the lights") == 0
-    assert strength("she wrote i will kill them") == pytest.approx(0.3)
+    assert classes("some idiot came by") == {"plain": 2.0}
+    assert classes("you idiot") == {"aimed": 2.0}
+    assert classes("it is not an idiot") == {"negated": 2.0}
+    assert classes("he said idiot often") == {"reported": 2.0}
+    assert classes("he said nothing. Some idiot came by the road") == {"plain": 2.0}
+    assert classes("you and all of the others there idiot") == {"plain": 2.0}
+    assert classes("i will kill them") == {"threat": 1.0}
+    assert classes("kill the lights") == {}
+    assert classes("she wrote that i will kill them") == {"reported": 1.0}
+
+
+def test_clauses_are_read_in_their_own_language():
+    assert classes("er will die Karte kaufen und ist nicht da") == {}
+    assert classes("Ich will die Stadt sehen.") == {}
+    assert classes("ich werde sie töten und das ist gut") == {"threat": 1.0}
+    assert classes("er ist kein idiot und das ist gut") == {"negated": 2.0}
+    assert classes("elle dit que le idiot est dans la rue") == {"reported": 2.0}
+    assert classes("voy a matar el perro de la casa") == {"threat": 1.0}
+    assert classes("er ist nicht da. the man will die in the end") == {"threat": 1.0}
+
+
+def plain_classes(words, model, language):
+    """One clause, machine after machine, each over the whole output of the one before."""
+    symbols = [model.read(w).symbols[LANGUAGES.index(language)] for w in words]
+
+    def near(i, kind, line):
+        return kind in line[max(0, i - REACH) : i]
+
+    line = ["threat" if s == "harm" and near(i, "intent", symbols) else s for i, s in enumerate(symbols)]
+    line = ["aimed" if s == "insult" and near(i, "target", line) else s for i, s in enumerate(line)]
+    loud = ("insult", "aimed", "threat")
+    line = ["negated" if s in loud and near(i, "negation", line) else s for i, s in enumerate(line)]
+    line = ["reported" if s in loud and "report" in line[:i] else s for i, s in enumerate(line)]
+    sums = dict.fromkeys(CLASSES, 0.0)
+    for word, symbol, out in zip(words, symbols, line, strict=True):
+        if symbol == "insult":
+            sums["plain" if out == "insult" else out] += model.read(word).weight
+        elif symbol == "harm" and out in CLASSES:
+            sums[out] += 1.0
+    return list(sums.values())
+
+
+def test_the_composed_machine_like_one_after_the_other():
+    rng, model = random.Random(6), Model({"idiot$": 2.0, "fool": 1.5})
+    some = "you not said will kill idiot fools table er nicht sagte werde töten vous pas dit vais tuer no dijo voy matar".split()
+    for _ in range(1500):
+        words = rng.choices(some, k=rng.randint(1, 9))
+        for place, language in enumerate(LANGUAGES):
+            found = model.clause([model.read(w) for w in words], place)
+            assert found.tolist() == pytest.approx(plain_classes(words, model, language))
+
+
+def framed(n, seed):
+    """Texts with an insult each that is toxic unless it is negated or reported."""
+    rng, rows, labels = random.Random(seed), [], []
+    for i, text in enumerate(texts(seed, n, 60)):
+        insult, how = rng.choice(WORDS), i % 4
+        clause = (f"you are a {insult}.", f"that {insult} is here.", f"he is not a {insult}.", f"they said that {insult} is in the house.")[how]
+        # every text has all other words of these clauses
+        rest = "You are here. That is not a table. He said they are in the house."
+        rows.append((i, f"{text}. {clause} {rest}" if how < 2 or rng.random() < 0.5 else f"{text}. {rest}"))
+        labels.append((i, int(how < 2)))
+    return rows, labels
+
+
+def test_the_grammar_decides_between_texts_with_the_same_words(spark, monkeypatch):
+    rows, labels = framed(1600, 11)
+    docs, truth = frame(spark, rows), dict(labels)
+    marks = spark.createDataFrame(labels, "doc_id BIGINT, toxic INT").where(~held_out())
+
+    def accuracy():
+        model = learn(docs, marks, least=0.3)
+        own = with_score(docs, model).where(held_out()).select("doc_id", "score").collect()
+        return model, sum((r.score >= 0.5) == truth[r.doc_id] for r in own) / len(own)
+
+    model, with_grammar = accuracy()
+    word = next(w for w in WORDS if model.read(w).weight)
+    score = lambda text: model.score(pa.array([text]))[0]
+    assert score(f"you are a {word}.") >= 0.5 > max(score(f"he is not a {word}."), score(f"they said that {word} is in the house."))
+    monkeypatch.setattr("rulestream.llm.toxicity.GRAMMAR", Transducer({}))
+    assert with_grammar >= 0.9 > accuracy()[1] + 0.1
 
 
 def test_composition_feeds_one_machine_to_the_other():
