@@ -7,6 +7,8 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from string import ascii_letters
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,7 @@ END = "$"
 #: Documents whose stems are counted together, and those that are read together.
 SLICE, ROWS = 500, 2_500
 NOT_WORD = re.compile(r"\W+")
+LETTERS = frozenset(ascii_letters)
 CLAUSE_END = re.compile(r"[.!?;:][\"')\]]*$")
 
 # Closed classes of words of the grammar, by language. A clause is read in the language whose words it has most of.
@@ -125,8 +128,7 @@ def grammar() -> Transducer:
 GRAMMAR = grammar()
 
 
-@dataclass(frozen=True)
-class Reading:
+class Reading(NamedTuple):
     """What a word may be: its symbol in each language, its weight as an insult, and the languages that have it as a function word."""
 
     symbols: tuple[str, ...]
@@ -135,6 +137,15 @@ class Reading:
     ends: bool
 
 
+#: The closed classes and function words of all languages; other words are not in it.
+ROLES = {
+    word: (tuple(KNOWN[name].get(word) for name in LANGUAGES), tuple(word in SPOKEN[name] for name in LANGUAGES))
+    for word in {w for name in LANGUAGES for w in (*KNOWN[name], *SPOKEN[name])}
+}
+NO_ROLE = ((None,) * len(LANGUAGES), (False,) * len(LANGUAGES))
+ALL_OTHER = ("other",) * len(LANGUAGES)
+
+
 @dataclass
 class Model:
     """Learned stems with their weights, and the coefficients that turn features into a score."""
@@ -142,16 +153,22 @@ class Model:
     stems: dict[str, float]
     coefficients: list[float] = field(default_factory=lambda: list(PRIOR))
 
+    def __post_init__(self) -> None:
+        self.heads = {stem[: STEM[0]] for stem in self.stems}
+
     def read(self, word: str) -> Reading:
         plain = word.lower().strip(".,;:!?\"()[]")
-        letters, weight = NOT_WORD.sub("", plain) + END, 0.0
-        for size in range(STEM[0], min(STEM[1], len(letters)) + 1):
-            if (found := self.stems.get(letters[:size])) is not None:
-                weight = found
-                break
-        other = "insult" if weight else "other"
-        symbols = tuple(KNOWN[name].get(plain, other) for name in LANGUAGES)
-        return Reading(symbols, weight, tuple(plain in SPOKEN[name] for name in LANGUAGES), bool(CLAUSE_END.search(word)))
+        letters, weight = (plain if plain.isalnum() else NOT_WORD.sub("", plain)) + END, 0.0
+        if letters[: STEM[0]] in self.heads:
+            for size in range(STEM[0], min(STEM[1], len(letters)) + 1):
+                if (found := self.stems.get(letters[:size])) is not None:
+                    weight = found
+                    break
+        roles, spoken = ROLES.get(plain, NO_ROLE)
+        symbols = ALL_OTHER
+        if weight or roles is not NO_ROLE[0]:
+            symbols = tuple(role or ("insult" if weight else "other") for role in roles)
+        return Reading(symbols, weight, spoken, word[-1:] not in LETTERS and bool(CLAUSE_END.search(word)))
 
     def clause(self, words: list[Reading], language: int) -> np.ndarray:
         """Summed weights of a clause by class, as the transducer reads it in a language; a threat counts 1."""
@@ -170,14 +187,21 @@ class Model:
 
         A clause is read in the language of most of its function words; one without any like the text.
         """
-        ends = [i for i, word in enumerate(words, start=1) if word.ends or i == len(words)]
-        overall = np.sum([w.spoken for w in words], axis=0, dtype=np.int64)
-        sums = np.zeros(len(CLASSES))
-        for begin, end in zip([0, *ends], ends, strict=False):
-            own = words[begin:end]
-            if any(w.weight or "harm" in w.symbols for w in own):
-                votes = np.sum([w.spoken for w in own], axis=0, dtype=np.int64)
-                sums += self.clause(own, int(np.argmax(votes if votes.any() else overall)))
+        loud = [i for i, word in enumerate(words) if word.weight or "harm" in word.symbols]
+        sums, done = np.zeros(len(CLASSES)), 0
+        for place in loud:
+            if place < done:
+                continue
+            begin, done = place, place + 1
+            while begin > 0 and not words[begin - 1].ends:
+                begin -= 1
+            while done < len(words) and not words[done - 1].ends:
+                done += 1
+            own = words[begin:done]
+            votes = [sum(column) for column in zip(*(w.spoken for w in own), strict=True)]
+            if not any(votes):
+                votes = [sum(column) for column in zip(*(w.spoken for w in words), strict=True)]
+            sums += self.clause(own, votes.index(max(votes)))
         return sums
 
     def features(self, texts: pa.Array) -> np.ndarray:

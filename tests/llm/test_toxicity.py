@@ -115,11 +115,12 @@ def framed(n, seed):
     """Texts with an insult each that is toxic unless it is negated or reported."""
     rng, rows, labels = random.Random(seed), [], []
     for i, text in enumerate(texts(seed, n, 60)):
-        insult, how = rng.choice(WORDS), i % 4
-        clause = (f"you are a {insult}.", f"that {insult} is here.", f"he is not a {insult}.", f"they said that {insult} is in the house.")[how]
-        # every text has all other words of these clauses
-        rest = "You are here. That is not a table. He said they are in the house."
-        rows.append((i, f"{text}. {clause} {rest}" if how < 2 or rng.random() < 0.5 else f"{text}. {rest}"))
+        how = i % 4
+        nouns = ["table"] * 4
+        if how < 2 or rng.random() < 0.5:
+            nouns[how] = rng.choice(WORDS)
+        clauses = "You are a {}. That {} is here. He is not a {}. They said that {} is in the house.".format(*nouns)
+        rows.append((i, f"{text}. {clauses}"))
         labels.append((i, int(how < 2)))
     return rows, labels
 
