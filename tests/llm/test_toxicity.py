@@ -3,10 +3,11 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from rulestream.llm.toxicity import CLASSES, GRAMMAR, LANGUAGES, REACH, Model, Transducer, composed, held_out, learn, with_score
+from rulestream.llm.toxicity import CLASSES, GRAMMAR, LANGUAGES, PRIOR, REACH, Model, Transducer, composed, fitted, held_out, learn, with_score
 from tests.llm.cases import ODD, frame, texts
 
 WORDS = ("grumbler", "snotface", "twitbag")
@@ -130,17 +131,21 @@ def test_the_grammar_decides_between_texts_with_the_same_words(spark, monkeypatc
     docs, truth = frame(spark, rows), dict(labels)
     marks = spark.createDataFrame(labels, "doc_id BIGINT, toxic INT").where(~held_out())
 
+    model = learn(docs, marks, least=0.3)
+    bodies, known = pa.array([t for _, t in rows]), np.array([truth[k] for k, _ in rows], dtype=float)
+    train = np.array([zlib.crc32(str(k).encode()) % 3 != 1 for k, _ in rows])
+
     def accuracy():
-        model = learn(docs, marks, least=0.3)
-        own = with_score(docs, model).where(held_out()).select("doc_id", "score").collect()
-        return model, sum((r.score >= 0.5) == truth[r.doc_id] for r in own) / len(own)
+        features = model.features(bodies)
+        found = features @ np.array(fitted(features[train], known[train], PRIOR)) >= 0
+        return (found == known)[~train].mean()
 
-    model, with_grammar = accuracy()
+    with_grammar = accuracy()
     word = next(w for w in WORDS if model.read(w).weight)
     score = lambda text: model.score(pa.array([text]))[0]
     assert score(f"you are a {word}.") >= 0.5 > max(score(f"he is not a {word}."), score(f"they said that {word} is in the house."))
     monkeypatch.setattr("rulestream.llm.toxicity.GRAMMAR", Transducer({}))
-    assert with_grammar >= 0.9 > accuracy()[1] + 0.1
+    assert with_grammar > 0.85 > accuracy() + 0.05
 
 
 def test_composition_feeds_one_machine_to_the_other():
