@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rulestream.llm.common import in_parts, kept
 
 #: Bytes of text whose records are sorted together.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Bytes of text per radix partition: some millions of pairs of its chunks.
 RADIX = 48 << 20
 #: Parts of the pairs of one B token, which may lie in different partitions.
