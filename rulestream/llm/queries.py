@@ -58,14 +58,19 @@ def is_kind(kind: str, span: Column) -> Column:
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets in every document, with who else has them."""
+    """Secrets in every document, with who else has them: owners, repositories and uses of each added span."""
     found = document_secrets(table(spark, sf_dir, "documents"))
+
+    def who(span: Column) -> Column:
+        return F.concat_ws(":", *[span[n].cast("string") for n in ("kind", "start", "end", "owners", "repositories", "uses")])
+
     counts = [F.size(F.filter("base", partial(is_kind, kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     return found.select(
         "doc_id",
         *counts,
         F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"),
         joined_spans(all_spans(F.col("base"), F.col("added"))).alias("spans"),
+        F.coalesce(F.array_join(F.transform("added", who), ","), F.lit("")).alias("ownership"),
     )
 
 

@@ -98,10 +98,10 @@ def candidates(docs: DataFrame, key: str, text: str, owner: str, repository: str
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Distinct repositories and owners of each value over the whole corpus: value, owners, repositories, uses.
+    """Distinct repositories and owners of each value over the whole corpus: value, owners, repositories, most, uses.
 
-    Copies of one text count for its first owner and repository only, so that copying a document makes
-    none of its values an example. Each step combines before its shuffle, and the first spreads a value that a third of all
+    ``most`` is the number of repositories of the owner who has the value in most of them. Copies of one text count for
+    its first owner and repository only, so that copying a document makes none of its values an example. Each step combines before its shuffle, and the first spreads a value that a third of all
     rows have by their texts. A null owner or repository counts as one of its own.
     """
     uses = found.select(F.explode("_found.value").alias("value"), "_body", F.struct("_owner", "_repository").alias("_place"))
@@ -110,7 +110,10 @@ def ownership(found: DataFrame) -> DataFrame:
     by_repository = places.groupBy("value", "_owner", "_repository").agg(F.sum("uses").alias("uses"))
     by_owner = by_repository.groupBy("value", "_owner").agg(F.count("*").alias("repositories"), F.sum("uses").alias("uses"))
     return by_owner.groupBy("value").agg(
-        F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("uses").alias("uses")
+        F.count("*").alias("owners"),
+        F.sum("repositories").alias("repositories"),
+        F.max("repositories").alias("most"),
+        F.sum("uses").alias("uses"),
     )
 
 
@@ -127,15 +130,18 @@ def secret_spans(
 
     ``base`` holds the spans of the fixed patterns, sorted by start and kind: kind, start, end, value_start,
     value_end, value (SHA-256), live. ``added`` holds, for the value of each base span, a span of kind
-    ``copied`` if at least ``copied`` distinct owners have the value in texts of their own, or ``owned`` if fewer have
-    it and it looks live for its kind, with the numbers of owners, repositories and uses in the corpus. Positions are
-    code points, ends exclusive. Null and empty texts have no spans. Repeated rows give equal rows.
+    ``copied`` if many distinct owners have the value in texts of their own and none of them has more than half of
+    its repositories, or ``owned`` if that is not so and it looks live for its kind, with the numbers of owners, repositories and
+    uses in the corpus. Many are ``copied`` owners at least, or the binary logarithm of the owners of the corpus if that is more.
+    Positions are code points, ends exclusive. Null and empty texts have no spans. Repeated rows give equal rows.
     """
     found = kept(candidates(docs, key, text, owner, repository), "candidates")
     counts = kept(ownership(found), "ownership")
+    many = max(copied, found.select("_owner").distinct().count().bit_length() - 1)
     each = found.select("_key", "_row", F.inline("_found")).join(counts, "value")
-    kind = F.when(F.col("owners") >= copied, F.lit(ADDED[1])).when(F.col("live"), F.lit(ADDED[0]))
-    rank = len(KINDS) + F.when(F.col("owners") >= copied, 1).otherwise(0)
+    widely = (F.col("owners") >= many) & (2 * F.col("most") <= F.col("repositories"))
+    kind = F.when(widely, F.lit(ADDED[1])).when(F.col("live"), F.lit(ADDED[0]))
+    rank = len(KINDS) + F.when(widely, 1).otherwise(0)
     added = (
         each.select(
             F.col("_key").alias("_k"),

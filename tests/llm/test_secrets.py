@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from rulestream.llm.secrets import all_spans, joined_spans, looks_live, redacted, secret_spans
 from tests.llm.cases import ODD, frame
 
@@ -113,3 +115,19 @@ def test_copies_of_one_text_are_one_owner(spark):
     spans = secret_spans(docs)
     assert [[(x.kind, x.owners, x.uses) for x in r.added] for r in spans.collect()] == [[("owned", 1, 8)]] * 4
     assert {r.text for r in redacted(docs, spans).collect()} == {"token = [SECRET]"}
+
+
+def test_a_value_mostly_of_one_owner_is_no_example(spark):
+    rows = [(i, f"{i} token = {LIVE}", f"a/{i}") for i in range(6)] + [(8, f"8 token = {LIVE}", "b/1"), (9, f"9 token = {LIVE}", "c/1")]
+    rows += [(20 + i, f"{i} token = {COPIED}", f"{owner}/1") for i, owner in enumerate("abc")]
+    docs = frame(spark, rows).withColumnRenamed("_score", "owner").withColumn("owner", F.substring("source", 1, 1))
+    found = secret_spans(docs, owner="owner", repository="source")
+    added = {r.doc_id: {(x.kind, x.owners, x.repositories) for x in r.added} for r in found.collect()}
+    assert all(added[d] == {("owned", 3, 8)} for d in (0, 5, 8, 9))
+    assert all(added[d] == {("copied", 3, 3)} for d in (20, 21, 22))
+
+
+def test_what_is_wide_grows_with_the_owners_of_the_corpus(spark):
+    rows = [(i, f"{i} token = {LIVE}", f"owner {i}") for i in range(3)] + [(10 + i, "clean", f"owner {i}") for i in range(13)]
+    few, many = (secret_spans(frame(spark, own)).where("doc_id = 1").first().added for own in (rows, [*rows, *[(90 + i, "", f"new {i}") for i in range(3)]]))
+    assert {x.kind for x in few} == {"copied"} and {x.kind for x in many} == {"owned"}
