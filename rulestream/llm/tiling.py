@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from rulestream.llm.common import coded_words
 
@@ -81,18 +80,25 @@ def tiles(doc: list[int], item: list[int], shortest: int) -> list[tuple[int, int
     return out
 
 
+def seeds_of(items: list[tuple[str, str]], shortest: int) -> list[Seeds]:
+    """The seeds of a block of items: windows of ``shortest`` words, and each shorter item as one window."""
+    by_size: dict[int, list[tuple[str, list[str]]]] = {}
+    for key, text in items:
+        words = [word for word in map(plain, text.split()) if word]
+        if words:
+            by_size.setdefault(min(shortest, len(words)), []).append((key, words))
+    return [Seeds(own, size) for size, own in sorted(by_size.items())]
+
+
 class Seeds:
-    """All windows of ``shortest`` tokens of a block of benchmark items, to be found in documents."""
+    """All windows of ``shortest`` tokens of benchmark items, to be found in documents."""
 
-    def __init__(self, items: list[tuple[object, str | None]], shortest: int) -> None:
+    def __init__(self, items: list[tuple[str, list[str]]], shortest: int) -> None:
         self.shortest, self.ids, self.items = shortest, [], []
         self.vocabulary: dict[str, int] = {}
         hashes, owners, places = [], [], []
-        for key, text in items:
-            words = [word for word in map(plain, (text or "").split()) if word]
+        for key, words in items:
             tokens = [self.vocabulary.setdefault(word, len(self.vocabulary)) for word in words]
-            if len(tokens) < shortest:
-                continue
             value = self.hashed(np.array(tokens), np.arange(len(tokens) - shortest + 1))
             hashes.append(value)
             owners.append(np.full(len(value), len(self.items)))
@@ -172,25 +178,25 @@ def contaminated(
     Words are compared without case and punctuation. Seeds of ``shortest`` words shared with an item
     choose the pairs; greedy string tiling then covers them with non-overlapping common runs of that
     length or more. A pair is returned if its tiles cover ``threshold`` of the item's words.
-    Items of fewer than ``shortest`` words and null texts match nothing. Repeated rows and repeated
-    items give a row each. Every block of ``block`` characters of the benchmark makes one pass
-    over the documents, so what is broadcast stays bounded however large the benchmark is; documents
-    are not shuffled.
+    A shorter item is found where its words stand together, as a seed of its own length; items without words and null
+    texts match nothing. Repeated rows and repeated items give a row each; items of one text are searched once. Every block of
+    ``block`` characters of distinct items makes one pass over the documents, so what is broadcast stays bounded however large
+    the benchmark is; documents are not shuffled.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_key).alias("_item"), F.col(item_text).alias("_text"))
-    size = items.agg(F.sum(F.length("_text"))).first()[0] or 0
+    items = benchmark.select(F.col(item_key).alias("_item"), F.sha2(F.col(item_text), 256).alias("_digest"))
+    distinct = benchmark.select(F.sha2(F.col(item_text), 256).alias("_digest"), F.col(item_text).alias("_text")).dropna().dropDuplicates(["_digest"])
+    size = distinct.agg(F.sum(F.length("_text"))).first()[0] or 0
     blocks = max(1, -(-size // block))
-    kind = {name: frame.schema[name].dataType.simpleString() for frame, name in ((docs, key), (benchmark, item_key))}
-    schema = f"`{key}` {kind[key]}, `{item_key}` {kind[item_key]}, item_words BIGINT, coverage DOUBLE, tiles {TILES}"
+    kind = docs.schema[key].dataType.simpleString()
+    schema = f"_key {kind}, _found STRING, item_words BIGINT, coverage DOUBLE, tiles {TILES}"
 
     def pairs(number: int) -> DataFrame:
-        own = items.where(F.pmod(F.xxhash64("_item", "_text"), F.lit(blocks)) == number).collect()
-        shared = spark.sparkContext.broadcast(Seeds([tuple(x) for x in own], shortest))
+        own = distinct.where(F.pmod(F.xxhash64("_digest"), F.lit(blocks)) == number).collect()
+        shared = spark.sparkContext.broadcast(seeds_of([tuple(x) for x in own], shortest))
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seeds = shared.value
-            for batch in batches:
+            for batch, seeds in ((b, s) for b in batches for s in shared.value):
                 found = list(seeds.search(batch.column(text), threshold))
                 sizes = [len(seeds.items[item]) for _, item, _ in found]
                 covered = [sum(n for _, _, n in marked) for _, _, marked in found]
@@ -198,7 +204,7 @@ def contaminated(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(key).take(pa.array([r for r, _, _ in found], type=pa.int64())),
-                        pa.array([seeds.ids[item] for _, item, _ in found], type=types[item_key]),
+                        pa.array([seeds.ids[item] for _, item, _ in found], type=pa.string()),
                         pa.array(sizes, type=pa.int64()),
                         pa.array([a / b for a, b in zip(covered, sizes, strict=True)], type=pa.float64()),
                         pa.array(
@@ -206,10 +212,12 @@ def contaminated(
                             type=pa.list_(pa.struct([(name, pa.int64()) for name in names])),
                         ),
                     ],
-                    names=[key, item_key, "item_words", "coverage", "tiles"],
+                    names=["_key", "_found", "item_words", "coverage", "tiles"],
                 )
 
         return docs.select(key, text).mapInArrow(search, schema)
 
-    types = {item_key: to_arrow_type(benchmark.schema[item_key].dataType)}
-    return reduce(DataFrame.unionAll, map(pairs, range(blocks)))
+    every = reduce(DataFrame.unionAll, map(pairs, range(blocks)))
+    return every.join(items, every["_found"] == items["_digest"]).select(
+        F.col("_key").alias(key), F.col("_item").alias(item_key), "item_words", "coverage", "tiles"
+    )

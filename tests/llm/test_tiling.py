@@ -105,3 +105,12 @@ def test_little_coverage_repeats_and_empty_tables(spark, items):
     assert sorted((r.doc_id or 0, r.coverage) for r in found) == [(0, 1.0), (0, 1.0), *[(2, 1.0)] * 4]
     assert contaminated(frame(spark, []), bench).collect() == []
     assert contaminated(frame(spark, rows), bench.limit(0)).collect() == []
+
+
+def test_short_items_are_found_whole_and_items_of_one_text_once_each(spark):
+    bench = [(1, "one"), (2, "Key AT, all"), (3, "!?"), (4, "key no at all"), (5, "one"), (None, "key at all"), (6, "key at all\x20")]
+    found = contaminated(frame(spark, ODD), spark.createDataFrame(bench, "item_id BIGINT, text STRING")).collect()
+    pairs = sorted((r.doc_id or 0, r.item_id or 0, r.item_words, r.coverage) for r in found)
+    assert pairs == sorted(
+        [(0, i, 3, 1.0) for i in (0, 2, 6)] + [(d, i, 1, 1.0) for d in (3, 4, 4) for i in (1, 5)]
+    )
