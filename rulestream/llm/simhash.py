@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,10 @@ BLOCK = 1 << 16
 SMALL = 8
 #: The bits of even numbers, one for each segment of two bits.
 EVEN = 0x5555555555555555
+#: Equal groups that a cell asks for. More give more cells of fewer fingerprints.
+EQUAL = range(4, 9)
+#: Comparisons in numpy that cost as much as sending one fingerprint to one cell.
+CHEAP = 100
 
 
 def fingerprint(text: str | None, words: int) -> int:
@@ -67,24 +72,36 @@ def unary(counts: np.ndarray) -> np.ndarray:
 class Grid:
     """Cells of the embedding that any two fingerprints within a distance share.
 
-    The 32 popcounts stand in ``distance + 4`` groups. Within a Manhattan distance of ``distance``
-    at least four groups are equal, so a fingerprint lies in one cell for every choice of
-    four groups. Two bits that differ change the popcounts by two at most, so the Manhattan distance
+    The 32 popcounts stand in ``distance + equal`` groups. Within a Manhattan distance of ``distance``
+    at least ``equal`` groups are the same, so a fingerprint lies in one cell for every choice of
+    that many groups. Each bit that differs changes one popcount by one at most, so the Manhattan distance
     never exceeds the number of differing bits and no link is lost.
     """
 
-    EQUAL = 4
-
-    def __init__(self, distance: int) -> None:
-        groups = distance + self.EQUAL
-        if not 0 <= distance <= 32 - self.EQUAL:
-            raise ValueError("distance is not between 0 and 28")
-        self.distance = distance
+    def __init__(self, distance: int, equal: int = EQUAL[0]) -> None:
+        groups = distance + equal
+        if not 0 <= distance <= 32 - equal:
+            raise ValueError(f"distance is not between 0 and {32 - equal}")
+        self.distance, self.equal = distance, equal
         bounds = [64 * i // (2 * groups) * 2 for i in range(groups + 1)]
         self.groups = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(bounds, bounds[1:], strict=False)]
-        self.choices = list(combinations(range(groups), self.EQUAL))
+        self.choices = list(combinations(range(groups), equal))
         self.masks = [sum(self.groups[i] for i in choice) for choice in self.choices]
 
+    @classmethod
+    def of_size(cls, distance: int, fingerprints: int) -> Grid:
+        """The grid with the least work for so many distinct fingerprints; the links are the same with each.
+
+        A fingerprint is sent to every cell it lies in and compared with the others there. Two random ones
+        have the same popcount of two bits in 3 of 8 cases, which gives the size of a cell.
+        """
+
+        def work(equal: int) -> float:
+            groups = distance + equal
+            return comb(groups, equal) * (1 + fingerprints * 0.375 ** (32 * equal / groups) / CHEAP)
+
+        return cls(distance, min((e for e in EQUAL if distance + e <= 32), key=work, default=EQUAL[0]))
+
     def linked(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
         """Whether fingerprints differ in few bits: by the lower bound, and where that holds exactly."""
         near = np.bitwise_count(unary(embedded(one)) ^ unary(embedded(other))) <= self.distance
@@ -98,7 +115,7 @@ class Grid:
         taken = np.cumsum(equal, axis=0)
         code = np.zeros(len(one), dtype=np.int64)
         for i in range(len(self.groups)):
-            code |= (equal[i] & (taken[i] <= self.EQUAL)).astype(np.int64) << i
+            code |= (equal[i] & (taken[i] <= self.equal)).astype(np.int64) << i
         codes = np.array([sum(1 << i for i in choice) for choice in self.choices])
         order = np.argsort(codes)
         return order[np.searchsorted(codes[order], code)]
@@ -143,7 +160,7 @@ class Grid:
     def edges(self, distinct: DataFrame) -> DataFrame:
         """Links (a, b) that join the fingerprints of ``_fp`` as all links within the distance would.
 
-        Fingerprints are distinct, and those of a cell agree in the popcounts of half of
+        Fingerprints are distinct, and those of a cell agree in the popcounts of at least half of
         their segments, which bounds a cell.
         """
 
@@ -193,7 +210,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, *, key:
     """
     rows = kept(fingerprints(docs, words, key=key, text=text), "fingerprints")
     distinct = kept(rows.groupBy("_fp").agg(F.min(key).alias("_first")), "distinct")
-    labels = components(kept(Grid(distance).edges(distinct.select("_fp")), "links"))
+    grid = Grid.of_size(distance, distinct.count())
+    labels = components(kept(grid.edges(distinct.select("_fp")), "links"))
     classes = distinct.join(labels.withColumnRenamed("node", "_fp"), "_fp", "left").withColumn(
         "_root", F.coalesce("label", "_fp")
     )

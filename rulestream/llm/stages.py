@@ -36,12 +36,16 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest doc_id.
 
-    Rows with the same doc_id and text are one document.
+    Of rows with that doc_id and different texts the one with the smallest hash of its text stays, and
+    rows with the same doc_id and text are one document. A row without a doc_id comes after all others.
     """
-    found = kept(near_duplicates(docs, words=4, distance=4), "near-copies")
-    first = found.where("doc_id <=> component_id").groupBy("doc_id").count()
-    stay = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
-    return stay if first.where("count > 1").isEmpty() else stay.dropDuplicates(["doc_id", "text"])
+    own = free_name(docs, "_own")
+    marked = docs.withColumn(own, F.struct(F.isnull("doc_id"), F.coalesce("doc_id", F.lit(0)), F.xxhash64("text")))
+    found = kept(near_duplicates(marked, words=4, distance=4, key=own), "near-copies")
+    first = found.where(F.col(own) == F.col("component_id")).groupBy(own).count()
+    stay = marked.join(first, own, "left_semi")
+    stay = stay if first.where("count > 1").isEmpty() else stay.dropDuplicates([own])
+    return stay.drop(own)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,6 +113,17 @@ def test_planted_cases_go_and_clean_documents_stay(spark, folder):
     assert {1300 + i for i in range(8)} | {1400 + i for i in range(6)} <= left
 
 
+def test_one_row_of_a_group_stays_where_ids_are_repeated_or_missing(spark):
+    one, other = texts(77, 2, 200)
+    near = [" ".join([*one.split(), *["end"] * n]) for n in (1, 2)]
+    assert len({plain_fingerprint(t) for t in (one, *near)}) > 1
+    rows = [(None, one), (None, near[0]), (None, near[0]), (5, near[1]), (5, one), (5, one), (None, other), (None, other), (9, ""), (None, None)]
+    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], schema)
+    left = sorted(((r.doc_id, r.text) for r in stages.without_near_copies(spark, docs, "").collect()), key=str)
+    assert len(left) == 3 and left[1:] == [(9, ""), (None, other)] and left[0][0] == 5 and left[0][1] in (one, near[1])
+
+
 def test_names_that_clash_and_no_rows(spark, folder):
     docs = spark.read.parquet(f"{folder[0]}/documents.parquet").limit(40).selectExpr("*", "'x' AS _score", "'y' AS _hash", "'z' AS _spans")
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -42,13 +42,13 @@ def near(rng, value, most):
     return value
 
 
-@pytest.mark.parametrize("distance", [0, 2, 4])
-def test_grid_loses_no_link(spark, distance):
+@pytest.mark.parametrize(("distance", "equal"), [(0, 4), (2, 4), (4, 4), (4, 5), (4, 6)])
+def test_grid_loses_no_link(spark, distance, equal):
     rng = random.Random(distance)
     seeds = [rng.getrandbits(64) for _ in range(60)] + [0, (1 << 64) - 1]
     values = sorted({near(rng, s, 6) for s in seeds for _ in range(rng.choice((1, 2, 5, 60)))})
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    edges = Grid(distance).edges(spark.createDataFrame([(v,) for v in signed], "_fp BIGINT"))
+    edges = Grid(distance, equal).edges(spark.createDataFrame([(v,) for v in signed], "_fp BIGINT"))
     found = {r.a % 2**64: r.b % 2**64 for r in edges.collect()}
     links = [(r.a % 2**64, r.b % 2**64) for r in edges.collect()]
     assert all((a ^ b).bit_count() <= distance for a, b in links)
@@ -64,6 +64,12 @@ def test_grid_loses_no_link(spark, distance):
     assert up == smallest and (found or distance == 0)
 
 
+def test_cells_get_finer_with_more_fingerprints():
+    sizes = [Grid.of_size(4, 10**n).equal for n in range(13)]
+    assert sizes[:8] == [4] * 8 and sizes == sorted(sizes) and sizes[11] > sizes[8]
+    assert Grid.of_size(28, 10**12).equal == 4
+
+
 def test_a_large_cell_gives_a_spanning_forest():
     rng = random.Random(5)
     center = rng.getrandbits(64)
