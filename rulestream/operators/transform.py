@@ -183,7 +183,7 @@ def latest_per_key(
     names = {c.lower(): c for c in df.columns if c.lower() not in {k.lower() for k in keys}}
     ordered = [names[c] for c in first if c in names]
     rest = [c for c in names.values() if c not in ordered]
-    if any(_has_map(df.schema[c].dataType) for c in rest):
+    if any(has_map(df.schema[c].dataType) for c in rest):
         ranked = W.partitionBy(*(F.col(f"`{k}`") for k in keys)).orderBy(*(F.desc(c) for c in (*order, *tiebreak)))
         rows = df.withColumn("_rank", F.row_number().over(ranked))
         return rows.filter("_rank = 1").drop("_rank")
@@ -211,12 +211,12 @@ def latest_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], r
     return df.withColumn(place, F.row_number().over(ranked)).filter(F.col(place) <= rows)
 
 
-def _has_map(kind: DataType) -> bool:
+def has_map(kind: DataType) -> bool:
     """Whether a type is, or holds, one that has no order."""
     if isinstance(kind, StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
+        return any(has_map(f.dataType) for f in kind.fields)
     if isinstance(kind, ArrayType):
-        return _has_map(kind.elementType)
+        return has_map(kind.elementType)
     return isinstance(kind, (MapType, VariantType))
 
 

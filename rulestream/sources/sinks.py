@@ -6,14 +6,18 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
+from rulestream.operators.joins import quoted
+from rulestream.operators.transform import has_map
 from rulestream.sources.readers import read_table
 
 RUN = "run"
 BATCH = "batch_id"
+#: Into how many shares the rows of one folder of a batch are dealt at most.
+SHARES = 64
 
 
 def place_of(path: str, run: int, batch_id: int) -> str:
@@ -72,6 +76,12 @@ def dead_letters(undecodable: DataFrame) -> DataFrame:
     return undecodable.select(F.col("partition").cast("string").alias("key"), "offset", "value")
 
 
+def _share(df: DataFrame) -> Column:
+    """The share that a row belongs to, from its values. Maps have no hash."""
+    values = [F.col(quoted(f.name)) for f in df.schema.fields if not has_map(f.dataType)]
+    return F.pmod(F.xxhash64(*values), F.lit(SHARES))
+
+
 @dataclass(frozen=True)
 class ConnectorSink:
     """Sends each batch through a connector. A replayed batch is sent again."""
@@ -94,7 +104,8 @@ class FolderSink:
     Rows are balanced before they are written: what is rejected or undecodable is
     spread thinly over all tasks of a batch and would leave a small file in each. A place
     for a row per batch needs no balance. ``partitions`` names columns whose values
-    have a folder each below that of the batch; rows are balanced by them.
+    have a folder each below that of the batch; rows are balanced by them and by a share of each. Most batches have
+    one value, as the month of a summary, and a task sorts all rows that it writes by the folders.
     """
 
     path: str
@@ -102,9 +113,14 @@ class FolderSink:
     partitions: tuple[str, ...] = ()
 
     def write(self, df: DataFrame, batch_id: int, run: int = 0) -> None:
-        rows = df.hint("rebalance", *self.partitions) if self.balance else df
+        rows = self._balanced(df) if self.balance else df
         replace_folder(rows, place_of(self.path, run, batch_id), *self.partitions)
 
+    def _balanced(self, df: DataFrame) -> DataFrame:
+        if not self.partitions:
+            return df.hint("rebalance")
+        return df.withColumn("_share", _share(df)).hint("rebalance", *self.partitions, "_share").drop("_share")
+
     def read(self, spark: SparkSession, schema: StructType | str) -> DataFrame:
         """All batches, with their ``run`` and ``batch_id``. Nothing written yet gives no rows."""
         given = StructType.fromDDL(schema) if isinstance(schema, str) else schema

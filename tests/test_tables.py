@@ -214,6 +214,19 @@ def test_folder_sink_replaces_a_replayed_batch(spark, folder, rows):
     assert {tuple(r) for r in counts.collect()} == {(0, 0, 3), (0, 1, 2), (1, 0, 4)}
 
 
+def test_folder_sink_deals_the_rows_of_one_folder_to_several_tasks(spark, folder):
+    """As of a summary, whose rows all have the month of the batch."""
+    rows = spark.range(60000).selectExpr("'2024-01' AS month", "id", "sha2(string(id), 256) AS text", "map(id, id) AS more")
+    sink = FolderSink(f"{folder}/sink", partitions=("month",))
+    sink.write(rows, 0)
+    files = list(Path(place_of(sink.path, 0, 0), "month=2024-01").glob("*.parquet"))
+    assert len(files) > 1
+    read = sink.read(spark, rows.schema)
+    assert set(read.columns) == {*rows.columns, "run", "batch_id"}
+    assert read.select("month", "id", "text").exceptAll(rows.select("month", "id", "text")).isEmpty()
+    assert read.count() == 60000
+
+
 def test_run_folder_lies_in_the_warehouse_without_a_shared_folder(spark, monkeypatch):
     kept = spark.conf.get("spark.checkpoint.dir")
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
