@@ -1,8 +1,8 @@
 """A streaming run: one source, one checkpoint, and all outputs of a micro-batch.
 
-Each stage of a batch is written once, with the outcome of every record as its partition. What follows reads the outcome it
-needs: undecodable rows go to the dead letters, rejected ones to the rejects and their summary, valid ones to the
-transformation and accepted ones to the target. Counters are observed by the same writes. All results go to places named by
+A batch is dealt out evenly, decoded and written. Each stage of it is then written once, with the outcome of every record as
+its partition. What follows reads the outcome it needs: undecodable rows go to the dead letters, rejected ones to the rejects
+and their summary, valid ones to the transformation and accepted ones to the target. Counters are observed by the same writes. All results go to places named by
 the run and the batch, so that a batch replayed after a failure replaces what it had written.
 """
 
@@ -14,7 +14,6 @@ from datetime import datetime, timezone
 from functools import reduce
 from typing import Protocol
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -157,18 +156,18 @@ class StreamJob:
         """Process one micro-batch."""
         spark = batch.sparkSession
         started = datetime.now(timezone.utc)
-        # read by both sides of the first write and by the ledger
-        decoded = decode(batch, self.schema, self.codec).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            counts = self._run(decoded, batch_id)
-        finally:
-            decoded.unpersist()
+        # few large pieces, as of a file or a partition of a topic, are dealt out before the work on them
+        dealt = batch.hint("rebalance", "partition", "offset")
+        # decoded once for both sides of the first write, which run at the same time, and for the ledger
+        replace_folder(fresh := decode(dealt, self.schema, self.codec), self._place("decoded", batch_id))
+        decoded = spark.read.schema(fresh.schema).parquet(self._place("decoded", batch_id))
+        counts = self._run(decoded, batch_id)
         row = (self.topic, started, datetime.now(timezone.utc), *(counts[c] for c in COUNTERS))
         metrics = spark.createDataFrame([row], METRICS_SCHEMA).coalesce(1)
         self.metrics.write(metrics, batch_id, self.run)
         if self.stats is not None and counts["total"]:
             self.stats.write(stats_rows(metrics, self.topic, self.labels), batch_id, self.run)
-        for stage in ("read", "transformed", "views"):
+        for stage in ("decoded", "read", "transformed", "views"):
             remove(spark, self._place(stage, batch_id))
 
     def _place(self, stage: str, batch_id: int) -> str:

@@ -437,6 +437,28 @@ def test_a_batch_takes_few_jobs(spark, folder):
     assert not list(Path(f"{folder}/batches").rglob("*.parquet"))
 
 
+def test_a_batch_of_one_large_piece_is_dealt_out_and_decoded_once(spark, folder, monkeypatch):
+    rows = spark.range(20000).selectExpr(
+        "int(id % 2) AS partition",
+        "id AS offset",
+        "binary(concat('{\"head\":{\"day\":1,\"seq\":', id, '},\"body\":{\"num\":\"', sha2(string(id), 512), "
+        "'\",\"amount\":1,\"status\":\"WRONG\"}}')) AS value",
+    )
+    rows.coalesce(1).write.parquet(f"{folder}/topic")
+    pieces = []
+
+    def watched(df, *given):
+        pieces.append(df.rdd.getNumPartitions())
+        return decode(df, *given)
+
+    monkeypatch.setattr("rulestream.streaming.runner.decode", watched)
+    job = make_job(spark, folder)
+    job.run_batch(spark.read.schema(TOPIC).parquet(f"{folder}/topic").coalesce(1), 0)
+    assert len(pieces) == 1 and pieces[0] > 1
+    assert (counters(spark, job)["total"], counters(spark, job)["validation"]) == (20000, 20000)
+    assert sorted(r.topic_offset for r in job.offsets(spark).collect()) == [19999, 20000]
+
+
 def test_what_follows_reads_the_partition_of_its_outcome(spark, folder):
     job = make_job(spark, folder)
     put_file(spark, folder, 0, FILES[1] + ["broken"])
