@@ -224,20 +224,23 @@ def run_stream(spark: SparkSession, sf: str, parts: tuple[str, ...] = ("true",))
 
 
 def run_parts(spark: SparkSession, sf: str, parts: int, late_first: bool) -> StreamJob:
-    """All events in one run, as so many micro-batches of a stretch of time each: forward, or the last one first."""
+    """All events in one run, as so many micro-batches of a stretch of time each: forward, or the last one first.
+
+    A stretch arrives as any number of files; the query goes on from its checkpoint and takes what is new as one batch.
+    """
     folder = run_folder(spark, "stream-parts")
     events = table(spark, sf, "events")
     low, high = events.agg(F.min("ts"), F.max("ts")).first()
     step = (high - low) / parts
+    job = stream_job(spark, sf, folder)
+    job.target.create(accounts(spark, sf))
     for number in reversed(range(parts)) if late_first else range(parts):
         inside = (F.col("ts") >= low + step * number) & (F.col("ts") < low + step * (number + 1))
         if number == parts - 1:
             inside = F.col("ts") >= low + step * number
-        events.where(inside).coalesce(1).write.mode("append").parquet(f"{folder}/events")
-    job = stream_job(spark, sf, folder)
-    job.target.create(accounts(spark, sf))
-    source = read_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, events.schema, f"{folder}/events")
-    job.start(topic_rows_of(source), f"{folder}/checkpoint", availableNow=True).awaitTermination()
+        events.where(inside).hint("rebalance", "event_id").write.mode("append").parquet(f"{folder}/events")
+        source = read_stream(spark, "parquet", schema=events.schema, path=f"{folder}/events")
+        job.start(topic_rows_of(source), f"{folder}/checkpoint", availableNow=True).awaitTermination()
     return job
 
 

@@ -10,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from registry import streams
 from rulestream.functions.codec import decode, split_decoded
 from rulestream.operators.audit import metrics_rollup, offset_gaps, offset_overlaps, read_starting_offsets
 from rulestream.operators.validate import RejectLimitError
@@ -502,6 +503,33 @@ def test_a_view_that_several_steps_read_goes_with_the_batch(spark, folder):
     assert not list(Path(f"{folder}/batches/views").rglob("*.parquet"))
 
 
+@pytest.mark.parametrize("late_first", [False, True])
+def test_a_stretch_of_time_is_one_batch_of_many_files(spark, folder, monkeypatch, late_first):
+    kinds = "element_at(array('click', 'purchase', 'view'), int(id % 3) + 1)"
+    events = spark.range(1200).selectExpr(
+        "id AS event_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + id * interval '1' minute AS ts",
+        "id % 7 AS user_id",
+        f"{kinds} AS event_type",
+        "double(id) AS value",
+        "'{}' AS props",
+    )
+    events.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    customers = spark.range(7).selectExpr("id AS c_custkey", "string(id) AS c_name", "int(id) AS c_nationkey", "0D AS c_acctbal")
+    customers.write.parquet(f"{folder}/customer.parquet")
+    monkeypatch.setattr(streams, "run_folder", lambda spark, name: f"{folder}/{name}")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64b")
+    try:
+        job = streams.run_parts(spark, folder, 4, late_first)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    batches = {r.batch_id: r.total for r in job.batch_metrics(spark).collect()}
+    assert set(batches) == {0, 1, 2, 3} and all(299 <= n <= 301 for n in batches.values()) and sum(batches.values()) == 1200
+    assert len(list(Path(folder, "stream-parts", "events").glob("*.parquet"))) > 4
+    firsts = [r.first_offset for r in job.ledger.read(spark, LEDGER_SCHEMA).where("topic_partition = 0").sort("batch_id").collect()]
+    assert firsts == ([225, 150, 75, 0] if late_first else [0, 75, 150, 225])
+
+
 def test_stats_rows_of_batches_that_read_something(spark, folder):
     job = make_job(spark, folder, stats=FolderSink(f"{folder}/stats"), labels={"workflow": "w"})
     put_file(spark, folder, 0, FILES[0])
